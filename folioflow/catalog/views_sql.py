@@ -56,7 +56,7 @@ SELECT CAST(r_regionkey AS INTEGER) AS run_id,
        CAST(r_regionkey % 3 AS INTEGER) AS sphinx_db
 FROM region""",
     "v_outputs": """
-SELECT doc_id, kind, CASE WHEN kind IN ('source', 'state', 'manifest') THEN 0 ELSE page_no END AS page_no
+SELECT doc_id, kind, CASE WHEN kind IN ('source', 'state', 'manifest', 'temp') THEN 0 ELSE page_no END AS page_no
 FROM (
   SELECT doc_id, page_no, 'thumbs' AS kind FROM v_pages
   UNION ALL SELECT doc_id, page_no, 'png' FROM v_pages WHERE NOT (returnflag = 'A' AND linestatus = 'F')
@@ -65,7 +65,8 @@ FROM (
   UNION ALL SELECT doc_id, page_no, 'txt' FROM v_pages WHERE NOT (returnflag = 'N' AND linestatus = 'O')
   UNION ALL SELECT doc_id, page_no, 'source' FROM v_pages WHERE page_no = 1
   UNION ALL SELECT doc_id, page_no, 'state' FROM v_pages WHERE page_no = 1
-  UNION ALL SELECT doc_id, page_no, 'manifest' FROM v_pages WHERE page_no = 1 AND linestatus = 'O')""",
+  UNION ALL SELECT doc_id, page_no, 'manifest' FROM v_pages WHERE page_no = 1 AND linestatus = 'O'
+  UNION ALL SELECT doc_id, page_no, 'temp' FROM v_pages WHERE page_no = 1 AND returnflag <> 'R')""",
     "v_users": """
 SELECT c_custkey AS id, c_name AS name,
        lower(c_mktsegment) || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,

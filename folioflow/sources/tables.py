@@ -139,9 +139,10 @@ def outputs(spark: SparkSession, sf_dir: str, pages_df: DataFrame | None = None)
         F.when(F.col("page_no") == 1, F.lit("source")),
         F.when(F.col("page_no") == 1, F.lit("state")),
         F.when((F.col("page_no") == 1) & (ls == "O"), F.lit("manifest")),
+        F.when((F.col("page_no") == 1) & (rf != "R"), F.lit("temp")),
     )
     x = p.select("doc_id", "page_no", F.explode(kinds).alias("kind")).where(F.col("kind").isNotNull())
-    per_doc = F.col("kind").isin("source", "state", "manifest")
+    per_doc = F.col("kind").isin("source", "state", "manifest", "temp")
     return x.select("doc_id", "kind", F.when(per_doc, F.lit(0)).otherwise(F.col("page_no")).alias("page_no"))
 
 
