@@ -24,7 +24,7 @@ def _label_map(d: dict) -> Column:
 
 def code_label(code: str | Column, table: dict, strict: bool = False, what: str = "code") -> Column:
     """Label for a code; unknown -> null, or an error when ``strict``."""
-    v = F.element_at(_label_map(table), _c(code).cast("int"))
+    v = F.try_element_at(_label_map(table), _c(code).cast("int"))
     if strict:
         return F.when(_c(code).isNull() | v.isNotNull(), v).otherwise(
             F.raise_error(F.concat(F.lit(f"unknown {what} "), _c(code).cast("string"))))

@@ -38,8 +38,8 @@ def searchable_code(text: str | Column, max_junk_share: float = 0.5) -> Column:
     t = F.replace(F.regexp_replace(F.coalesce(_c(text), F.lit("")), "[^A-Za-z ]+ ", "@"), F.lit(" "), F.lit(""))
     blank = ~t.rlike(f"[^\\t\\n\\x0B\\f\\r ]")
     n_at = F.length(t) - F.length(F.replace(t, F.lit("@"), F.lit("")))
-    junk = (n_at / F.length(t)) > F.lit(max_junk_share)
-    return F.when(blank | junk, F.lit(0)).otherwise(F.lit(1))
+    junk = F.when(F.length(t) > 0, (n_at / F.length(t)) > F.lit(max_junk_share))
+    return F.when(blank, F.lit(0)).when(junk, F.lit(0)).otherwise(F.lit(1))
 
 
 def classify_searchable(docs: DataFrame, text_col: str = "text", max_junk_share: float = 0.5) -> DataFrame:
