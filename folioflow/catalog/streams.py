@@ -1,3 +1,64 @@
-"""Jobs (see module docstring of folioflow.catalog)."""
+"""Jobs that run a stream, a page function or emit XML."""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..plans import merge, page_functions, split
+from ..session import shared_path
+from ..sources import tables as T
+from ..streaming import requests as rq
+from . import job
+from .records import non_bulk
+
+RUN_DATE = "2024-01-20"
+
+
+@job("completion_tracker", """
+SELECT doc_id, num_pages AS pages_seen, num_pages, 'complete' AS status FROM v_counts""", ("v_pages", "v_counts"))
+def completion_tracker(spark, sf_dir):
+    """Finished pages streamed in; per document a ``complete`` row once all pages are in.
+
+    The line-item file is read as a stream (each line item = one finished
+    page) and joined with the page counts; state lives in the checkpoint under
+    the shared ``spark.checkpoint.dir``.  Runs one trigger over all files and
+    returns what the memory sink received.
+    """
+    li = T.table(spark, sf_dir, "lineitem")
+    counts = split.page_counts(li.select(F.col("l_orderkey").alias("doc_id")))
+    li_schema = li.schema
+    stream = (spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet")
+              .parquet(sf_dir.rstrip("/"))
+              .select(F.col("l_orderkey").alias("doc_id")))
+    tracked = rq.track_completion(stream, counts, timeout_ms=190_000)
+    name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
+    q = (tracked.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", shared_path(spark, "streams", name))
+         .trigger(once=True).start())
+    # One batch over everything available (an availableNow query with
+    # processing-time timeouts keeps scheduling no-data batches and never ends).
+    q.awaitTermination()
+    return spark.table(name)
+
+
+@job("map_pages")
+def map_pages(spark, sf_dir):
+    """The default page function (text clean-up) over every page text, with per-page status."""
+    return page_functions.map_pages(T.page_text(spark, sf_dir))
+
+
+@job("map_documents")
+def map_documents(spark, sf_dir):
+    """The default document function over every whole document."""
+    return page_functions.map_documents(T.docs(spark, sf_dir))
+
+
+@job("manifest_xml")
+def manifest_xml(spark, sf_dir):
+    """XML manifest per non-bulk record (``to_xml``; no DuckDB counterpart, rows-only check)."""
+    r = non_bulk(spark, sf_dir).select("queue_id", "profile_id", "image_id", "box_number", "box_part",
+                                       F.col("queue_id").cast("string").alias("pdf_name"))
+    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
+    return merge.manifest_xml(r.join(c, "queue_id", "inner"), RUN_DATE)
