@@ -233,3 +233,12 @@ def piece_name(spark, sf_dir):
     return segs.select("doc_id", "from_page",
                        codes.piece_name(F.col("barcode"), F.lit(RUN_TS), F.col("doc_id"), F.col("from_page"))
                        .alias("piece_name"))
+
+
+@job("barcode_map", """
+SELECT doc_id, to_json(map_from_entries(list({'k': page_no, 'v': barcode} ORDER BY page_no))) AS barcodes
+FROM marks GROUP BY doc_id""", ("v_pages",), MARKS)
+def barcode_map(spark, sf_dir):
+    """Page -> barcode map of each document, as JSON."""
+    m = split.barcode_map(T.pages(spark, sf_dir))
+    return m.select("doc_id", F.to_json("barcodes").alias("barcodes"))

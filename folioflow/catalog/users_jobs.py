@@ -242,3 +242,11 @@ def issue_reset_keys(spark, sf_dir):
     req = c.where(F.col("c_mktsegment") == "MACHINERY").select(
         F.concat(F.lower("c_mktsegment"), k.cast("string"), F.lit("@example.com")).alias("email"))
     return U.issue_reset_keys(T.users(spark, sf_dir), req, seed=11)
+
+
+@job("first_match", "SELECT sex, arg_min(id, id) AS id, arg_min(name, id) AS name FROM v_users GROUP BY sex",
+     ("v_users",))
+def first_match(spark, sf_dir):
+    """O3: first user per sex code under an explicit order (lowest id)."""
+    from ..operators.joins import first_match as fm
+    return fm(T.users(spark, sf_dir).select("sex", "id", "name"), "sex", ["id"])

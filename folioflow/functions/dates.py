@@ -15,7 +15,9 @@ def _c(x: str | Column) -> Column:
 def format_date(ts: str | Column) -> Column:
     """``YYYY-MM-DD`` with the year space-padded to 4; null gives ''."""
     t = _c(ts).cast("timestamp")
-    return F.coalesce(F.format_string("%4d-%02d-%02d", F.year(t), F.month(t), F.dayofmonth(t)), F.lit(""))
+    # format_string prints null arguments as "null", so test for null first
+    return F.when(t.isNull(), F.lit("")).otherwise(
+        F.format_string("%4d-%02d-%02d", F.year(t), F.month(t), F.dayofmonth(t)))
 
 
 # Age periods, largest first: (unit seconds on the day count or

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 _WS = r"[\\t\\n\\x0B\\f\\r ]"
 
 FORMAT_DATE = ("CREATE OR REPLACE TEMPORARY FUNCTION format_date(ts TIMESTAMP) RETURNS STRING RETURN "
-               "coalesce(format_string('%4d-%02d-%02d', year(ts), month(ts), day(ts)), '')")
+               "CASE WHEN ts IS NULL THEN '' ELSE format_string('%4d-%02d-%02d', year(ts), month(ts), day(ts)) END")
 
 
 def _period(v: str, one: str, many: str) -> str:

@@ -126,3 +126,20 @@ def assign_pages(segments: DataFrame, pages: DataFrame | None = None) -> DataFra
     if pages is None:
         return x
     return x.join(pages, on=["doc_id", "page_no"], how="inner")
+
+
+def barcode_map(pages: DataFrame, prefix: str = "NEU_", min_len: int = 5, block_pages: int = 4096) -> DataFrame:
+    """Page -> barcode map per document (valid barcodes, page order).
+
+    Built in two levels like the page merges: maps per block of pages first
+    (spread over tasks), then the block maps of a document are concatenated
+    in block order.
+    """
+    b = barcode_pages(pages, prefix, min_len)
+    blk = F.floor(F.col("page_no") / F.lit(block_pages)).cast("long")
+    per_block = b.groupBy("doc_id", blk.alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("page_no", "barcode"))).alias("entries"))
+    per_doc = per_block.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("block", "entries"))).alias("blocks"))
+    return per_doc.select("doc_id", F.map_from_entries(F.flatten(F.transform("blocks", lambda x: x["entries"])))
+                          .alias("barcodes"))

@@ -49,7 +49,8 @@ def classify_messages(msgs: DataFrame, trigger: str = TRIGGER_MESSAGE, body: str
     Reasons: ``empty`` (no body), ``undecodable`` (payload is not JSON of the
     expected shape), ``unknown`` (body is not a registered request).
     """
-    parsed = F.from_json(F.col(payload), payload_schema)
+    # try_parse_json is null for text that is not JSON (from_json would give a struct of nulls)
+    parsed = F.try_parse_json(F.col(payload))
     reason = (F.when(F.col(body).isNull() | (F.col(body) == ""), F.lit("empty"))
                .when(F.col(payload).isNotNull() & parsed.isNull(), F.lit("undecodable"))
                .when(F.col(body) != F.lit(trigger), F.lit("unknown")))
@@ -88,26 +89,28 @@ TRACK_OUT = "doc_id long, pages_seen int, num_pages int, status string"
 TRACK_STATE = "pages_seen int, num_pages int"
 
 
-def _track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    doc = key[0]
-    if state.hasTimedOut:
-        seen, n = state.get
-        state.remove()
-        yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["timed_out"]})
-        return
-    seen, n = state.get if state.exists else (0, 0)
-    for b in batches:
-        seen += len(b)
-        n = int(b["num_pages"].max()) if len(b) else n
-    if n and seen >= n:
-        state.remove()
-        yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["complete"]})
-    else:
-        state.update((seen, n))
-        state.setTimeoutDuration(_TIMEOUT_MS[0])
+def _tracker(timeout_ms: int):
+    """Per-document state function; the timeout is captured here so executors see it."""
 
+    def track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        doc = key[0]
+        if state.hasTimedOut:
+            seen, n = state.get
+            state.remove()
+            yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["timed_out"]})
+            return
+        seen, n = state.get if state.exists else (0, 0)
+        for b in batches:
+            seen += len(b)
+            n = int(b["num_pages"].max()) if len(b) else n
+        if n and seen >= n:
+            state.remove()
+            yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["complete"]})
+        else:
+            state.update((seen, n))
+            state.setTimeoutDuration(timeout_ms)
 
-_TIMEOUT_MS = [190_000]
+    return track
 
 
 def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int = 190_000,
@@ -119,9 +122,8 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
     in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the source
     waited 1+2+...+19 = 190 s).  Output mode append.
     """
-    _TIMEOUT_MS[0] = timeout_ms
     x = done_pages.select(key).join(counts.select(key, "num_pages"), key, "inner")
-    return x.groupBy(key).applyInPandasWithState(_track, TRACK_OUT, TRACK_STATE, "append",
+    return x.groupBy(key).applyInPandasWithState(_tracker(timeout_ms), TRACK_OUT, TRACK_STATE, "append",
                                                  GroupStateTimeout.ProcessingTimeTimeout)
 
 
