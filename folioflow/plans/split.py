@@ -74,43 +74,43 @@ def split_plan(pages: DataFrame, keep_barcode: bool | str = False, docs: DataFra
     nb = neighbours_within(marks.unionByName(sentinels), "doc_id", "page_no",
                            carry=["sentinel", "barcode", "num_pages"], block_size=block_size)
 
-    b = nb.where(~F.col("sentinel"))
+    # One pass over the neighbour rows: each barcode row yields its segment and
+    # maybe the leading segment; a sentinel without a previous barcode yields the
+    # whole document.  (No union of branches, so the plan above runs once.)
+    x = nb
     if keep_is_col:
         # per-document flag: equi join on doc_id (AQE splits a hot document)
-        b = b.join(docs.select("doc_id", "_keep"), "doc_id", "left")
+        x = x.join(docs.select("doc_id", "_keep"), "doc_id", "left")
         keep: Column = F.coalesce(F.col("_keep"), F.lit(False))
     else:
         keep = F.lit(bool(keep_barcode))
     p = F.col("page_no")
     n_next = F.col("next_page_no")  # a real mark's page, or n+1 from the sentinel
-    real_next = F.when(~F.col("next_sentinel"), n_next)
-    adjacent = adjacent_flag("page_no", "prev_page_no", "_real_next")
-    to_page = n_next - 1
-    from1 = F.when(keep, p).otherwise(p + 1)
-    from_page = F.least(from1, to_page)
-    b = b.withColumn("_real_next", real_next).withColumn("_adj", adjacent) \
-         .withColumn("_to", to_page.cast("int")).withColumn("_from", from_page.cast("int")) \
+    x = x.withColumn("_real_next", F.when(~F.col("next_sentinel"), n_next))
+    x = x.withColumn("_adj", adjacent_flag("page_no", "prev_page_no", "_real_next")) \
+         .withColumn("_to", (n_next - 1).cast("int")) \
          .withColumn("_keep_v", keep)
+    x = x.withColumn("_from", F.least(F.when(F.col("_keep_v"), p).otherwise(p + 1), F.col("_to")).cast("int"))
     blank = (F.col("_from") == F.col("_to")) & F.col("_adj") & ~F.col("_keep_v")
-    segs = b.select(
-        "doc_id",
-        F.when(blank, F.lit("")).otherwise(rstrip_ws(F.col("barcode"))).alias("barcode"),
-        F.col("_from").alias("from_page"),
-        F.col("_to").alias("to_page"),
-        F.when(blank, F.lit(1)).when(F.col("_keep_v"), F.col("_from")).otherwise(F.col("_from") - 1)
-         .cast("int").alias("page_index"))
-
-    lead_cond = F.col("prev_page_no").isNull() & (F.col("page_no") != 1)
+
+    def seg(barcode, frm, to, idx) -> Column:
+        return F.struct(F.col("doc_id").alias("doc_id"), barcode.cast("string").alias("barcode"),
+                        frm.cast("int").alias("from_page"), to.cast("int").alias("to_page"),
+                        idx.cast("int").alias("page_index"))
+
+    mark = ~F.col("sentinel")
+    main = F.when(mark, seg(F.when(blank, F.lit("")).otherwise(rstrip_ws(F.col("barcode"))), F.col("_from"),
+                            F.col("_to"),
+                            F.when(blank, F.lit(1)).when(F.col("_keep_v"), F.col("_from"))
+                             .otherwise(F.col("_from") - 1)))
+    lead_cond = mark & F.col("prev_page_no").isNull() & (p != 1)
     if not keep_leading:
         lead_cond = lead_cond & ~F.col("_adj")
-    leading = b.where(lead_cond).select(
-        "doc_id", F.lit("").alias("barcode"), F.lit(1).alias("from_page"),
-        (F.col("page_no") - 1).cast("int").alias("to_page"), F.lit(1).alias("page_index"))
-
-    whole = nb.where(F.col("sentinel") & F.col("prev_page_no").isNull()).select(
-        "doc_id", F.lit("").alias("barcode"), F.lit(1).alias("from_page"),
-        F.col("num_pages").cast("int").alias("to_page"), F.lit(1).alias("page_index"))
-    return segs.unionByName(leading).unionByName(whole)
+    leading = F.when(lead_cond, seg(F.lit(""), F.lit(1), p - 1, F.lit(1)))
+    whole = F.when(F.col("sentinel") & F.col("prev_page_no").isNull(),
+                   seg(F.lit(""), F.lit(1), F.col("num_pages"), F.lit(1)))
+    segs = F.filter(F.array(main, leading, whole), lambda s: s.isNotNull())
+    return x.select(F.inline(segs))
 
 
 def assign_pages(segments: DataFrame, pages: DataFrame | None = None) -> DataFrame:

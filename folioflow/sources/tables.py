@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordinal_within
+from ..session import ensure_checkpoint_dir
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -28,12 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """``v_pages``: one row per line item as a page of document ``l_orderkey``.
 
     Columns: doc_id, page_no (1-based, ordered by the full line-item key),
     barcode, width, ink array<double> [C, M, Y, K], returnflag, linestatus.
+
+    Jobs read the page table several times (marks, counts, outputs).  Spark
+    would recompute the numbering for every read, so by default the view is
+    written once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``
+    and all reads of this job scan that copy (which also survives executor loss).
     """
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        return pages(spark, sf_dir, materialize=False).checkpoint(eager=True)
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", *PAGE_ORDER)
     numbered = ordinal_within(li, "l_orderkey", PAGE_ORDER, name="page_no", stable_input=True)
