@@ -89,7 +89,7 @@ SELECT doc_id, page_no, barcode FROM v_pages
 WHERE barcode IS NOT NULL AND length(barcode) >= 5 AND instr(barcode, 'NEU_') > 0""", ("v_pages",))
 def valid_barcodes(spark, sf_dir):
     """F8: barcodes that pass the length and prefix test."""
-    return flt.valid_barcodes(T.pages(spark, sf_dir)).select("doc_id", "page_no", "barcode")
+    return flt.valid_barcodes(T.pages(spark, sf_dir, materialize=False)).select("doc_id", "page_no", "barcode")
 
 
 @job("barcodes_in_page_order", """
@@ -98,7 +98,7 @@ SELECT doc_id, page_no, barcode,
 FROM marks""", ("v_pages",), MARKS)
 def barcodes_in_page_order(spark, sf_dir):
     """O1: valid barcodes numbered in numeric page order (distributed row number)."""
-    b = split.barcode_pages(T.pages(spark, sf_dir))
+    b = split.barcode_pages(T.pages(spark, sf_dir, materialize=False))
     return ordinal_within(b, "doc_id", ["page_no"], name="barcode_no").select("doc_id", "page_no", "barcode",
                                                                               "barcode_no")
 
@@ -110,7 +110,7 @@ SELECT doc_id, page_no,
 FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)""", ("v_pages",), MARKS)
 def previous_and_next(spark, sf_dir):
     """Each barcode page with its neighbours (null at both ends)."""
-    b = split.barcode_pages(T.pages(spark, sf_dir))
+    b = split.barcode_pages(T.pages(spark, sf_dir, materialize=False))
     nb = neighbours_within(b, "doc_id", "page_no", carry=["barcode"])
     return nb.select("doc_id", "page_no", "prev_page_no", "next_page_no", "prev_barcode", "next_barcode")
 
@@ -122,7 +122,7 @@ SELECT doc_id, page_no,
 FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)""", ("v_pages",), MARKS)
 def adjacent_barcodes(spark, sf_dir):
     """Barcode pages next to another barcode page."""
-    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir)), "doc_id", "page_no")
+    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir, materialize=False)), "doc_id", "page_no")
     return nb.select("doc_id", "page_no", adjacent_flag().alias("adjacent"))
 
 
@@ -131,7 +131,7 @@ SELECT doc_id, page_no, (lag(page_no) OVER (PARTITION BY doc_id ORDER BY page_no
 FROM marks""", ("v_pages",), MARKS)
 def first_barcode(spark, sf_dir):
     """The first barcode page of each document."""
-    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir)), "doc_id", "page_no")
+    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir, materialize=False)), "doc_id", "page_no")
     return nb.select("doc_id", "page_no", first_flag().alias("is_first"))
 
 
@@ -147,7 +147,7 @@ def number_pages(spark, sf_dir):
 @job("page_counts", "SELECT doc_id, num_pages FROM v_counts", PV)
 def page_counts(spark, sf_dir):
     """Pages per document."""
-    return split.page_counts(T.pages(spark, sf_dir))
+    return split.page_counts(T.pages(spark, sf_dir, materialize=False))
 
 
 # --- segments state, resume and requests --------------------------------------------------------------------
@@ -240,5 +240,5 @@ SELECT doc_id, to_json(map_from_entries(list({'k': page_no, 'v': barcode} ORDER
 FROM marks GROUP BY doc_id""", ("v_pages",), MARKS)
 def barcode_map(spark, sf_dir):
     """Page -> barcode map of each document, as JSON."""
-    m = split.barcode_map(T.pages(spark, sf_dir))
+    m = split.barcode_map(T.pages(spark, sf_dir, materialize=False))
     return m.select("doc_id", F.to_json("barcodes").alias("barcodes"))

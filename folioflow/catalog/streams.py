@@ -60,5 +60,5 @@ def manifest_xml(spark, sf_dir):
     """XML manifest per non-bulk record (``to_xml``; no DuckDB counterpart, rows-only check)."""
     r = non_bulk(spark, sf_dir).select("queue_id", "profile_id", "image_id", "box_number", "box_part",
                                        F.col("queue_id").cast("string").alias("pdf_name"))
-    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
+    c = split.page_counts(T.pages(spark, sf_dir, materialize=False)).withColumnRenamed("doc_id", "queue_id")
     return merge.manifest_xml(r.join(c, "queue_id", "inner"), RUN_DATE)

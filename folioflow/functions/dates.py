@@ -37,13 +37,14 @@ def pretty_date(ts: str | Column, now: str | _dt.datetime | Column, default: str
     ``default``.  ``now`` is a parameter so results are reproducible.
     """
     if isinstance(now, _dt.datetime):
-        now_c = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+        now_c = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     elif isinstance(now, str):
-        now_c = F.lit(now).cast("timestamp")
+        now_c = F.lit(now).cast("timestamp_ntz")
     else:
         now_c = now
-    t = _c(ts).cast("timestamp")
-    diff_us = F.unix_micros(now_c) - F.unix_micros(t)
+    # wall-clock difference, independent of the session time zone
+    t = _c(ts).cast("timestamp_ntz")
+    diff_us = F.timestamp_diff("MICROSECOND", t, now_c.cast("timestamp_ntz"))
     total_s = F.floor(diff_us / F.lit(1_000_000))
     days = F.floor(total_s / F.lit(86400))
     secs = total_s - days * 86400

@@ -20,7 +20,7 @@ def _period(v: str, one: str, many: str) -> str:
 
 
 def _pretty_body() -> str:
-    total = "floor((unix_micros(now) - unix_micros(ts)) / 1000000)"
+    total = "floor(timestampdiff(MICROSECOND, CAST(ts AS TIMESTAMP_NTZ), CAST(now AS TIMESTAMP_NTZ)) / 1000000)"
     days = f"floor({total} / 86400)"
     secs = f"({total} - {days} * 86400)"
     parts = [(f"floor({days} / 365)", "year", "years"), (f"floor({days} / 30)", "month", "months"),

@@ -81,7 +81,7 @@ def signup_batch(cands: DataFrame, users: DataFrame, run_ts: str) -> DataFrame:
         F.lit(d["sex"]).cast("int").alias("sex"),
         F.lit(d["role_code"]).cast("short").alias("role_code"),
         F.lit(d["status_code"]).cast("short").alias("status_code"),
-        F.lit(run_ts).cast("timestamp").alias("create_at"))
+        F.lit(run_ts).cast("timestamp_ntz").alias("create_at"))
 
 
 def apply_user_changes(users: DataFrame, changes: DataFrame,

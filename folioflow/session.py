@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job in this package assumes.  AQE re-plans joins
 # at runtime (broadcast when a side turns out small, split skewed
@@ -59,3 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (for written intermediate tables)."""
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads the
+    files instead of recomputing the plan) and keeps parquet column pruning
+    and filter pushdown for every later read.
+    """
+    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordinal_within
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as write_shared
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -37,12 +37,12 @@ def pages(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFra
 
     Jobs read the page table several times (marks, counts, outputs).  Spark
     would recompute the numbering for every read, so by default the view is
-    written once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``
-    and all reads of this job scan that copy (which also survives executor loss).
+    written once as parquet below the shared ``spark.checkpoint.dir`` and all
+    reads of this job scan that copy (pruned and filtered at the scan; a lost
+    executor re-reads files instead of recomputing the numbering).
     """
     if materialize:
-        ensure_checkpoint_dir(spark)
-        return pages(spark, sf_dir, materialize=False).checkpoint(eager=True)
+        return write_shared(pages(spark, sf_dir, materialize=False), "v_pages")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", *PAGE_ORDER)
     numbered = ordinal_within(li, "l_orderkey", PAGE_ORDER, name="page_no", stable_input=True)
@@ -177,4 +177,4 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_messages``: queue message bodies (value) with their time and payload."""
     e = table(spark, sf_dir, "events")
     return e.select("event_id", F.col("event_type").alias("value"),
-                    F.col("ts").cast("timestamp").alias("ts"), F.col("props").alias("body"))
+                    F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("props").alias("body"))
