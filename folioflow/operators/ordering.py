@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
 
@@ -43,8 +45,8 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str
       The range bounds come from a sample of the input, and the input is used
       twice (counts and join-back), so both uses must see the same rows in the
       same order: pass ``stable_input=True`` only when ``df`` is a plain file
-      scan; otherwise the ranged rows are written once with ``checkpoint()``
-      (to the shared ``spark.checkpoint.dir``) and both uses read that.
+      scan; otherwise the ranged rows are written once as parquet below the
+      shared ``spark.checkpoint.dir`` and both uses read that copy.
 
     The offset tables have at most ``#keys + #blocks`` rows; AQE joins them as
     a broadcast when small and as a shuffled join otherwise.
@@ -60,7 +62,7 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str
                 .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
                 .withColumn("_ff_pos", F.monotonically_increasing_id()))
     if not stable_input:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = materialize(ranged, "ordinal")
     ranged = ranged.withColumn("_ff_part", F.shiftright(F.col("_ff_pos"), _ROW_BITS))
     counts = (ranged.groupBy(*keys, "_ff_part")
                     .agg(F.min("_ff_pos").alias("_ff_first"), F.count(F.lit(1)).alias("_ff_n")))
