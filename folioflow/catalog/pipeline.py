@@ -8,6 +8,7 @@ from ..functions import codes
 from ..operators import filters as flt
 from ..operators.ordering import adjacent_flag, first_flag, neighbours_within, ordinal_within
 from ..plans import complete, merge, split
+from ..session import materialize
 from ..sources import tables as T
 from . import job
 
@@ -181,8 +182,12 @@ def all_segments_finished(spark, sf_dir):
 SELECT doc_id, barcode, from_page, page_index FROM done_seg WHERE NOT is_finish""",
      PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE)
 def resume_segments(spark, sf_dir):
-    """Segments still to do after a restart (anti join on doc, barcode, from_page)."""
-    s = _segments_with_state(spark, sf_dir)
+    """Segments still to do after a restart (anti join on doc, barcode, from_page).
+
+    The segment table with its saved state is read twice (plan and finished
+    set), so it is written once to the shared folder first.
+    """
+    s = materialize(_segments_with_state(spark, sf_dir), "segments")
     finished = s.where("is_finish")
     return complete.resume_segments(s, finished).select("doc_id", "barcode", "from_page", "page_index")
 

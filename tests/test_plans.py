@@ -77,3 +77,8 @@ def test_page_function_failure_is_isolated(spark):
 
     got = {r.page_no: (r.status, r.error) for r in page_functions.map_pages(pages, fn).collect()}
     assert got[1] == (1, None) and got[2][0] == -1 and "bad page" in got[2][1] and got[3] == (0, None)
+
+
+def test_context_is_broadcast_after_size_check(spark):
+    p = _plan(queries()["with_context"](spark, SF))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p

@@ -87,3 +87,18 @@ def test_wrap_messages_stable_id(spark):
     a = rq.wrap_messages(df).first().envelope
     b = rq.wrap_messages(df).first().envelope
     assert a == b and '"task":"ai.pdf_request"' in a and F is not None
+
+
+def test_rate_cap_one_file_per_batch(spark, scratch):
+    src = os.path.join(scratch, "msgs")
+    for i in range(3):
+        _write_batch(spark, src, [(i, "pdf process request", "{}")], f"b{i}")
+    seen = []
+
+    def handle(batch, batch_id):
+        seen.append((batch_id, batch.count()))
+
+    q = rq.start_request_stream(spark, src + "/*", SCHEMA, os.path.join(scratch, "ck"), handle,
+                                max_files_per_trigger=1, available_now=True)
+    q.awaitTermination()
+    assert [n for _, n in sorted(seen) if n] == [1, 1, 1]
