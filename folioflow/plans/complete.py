@@ -69,13 +69,11 @@ def batch_complete(inputs: DataFrame, outputs: DataFrame, kinds: Sequence[str])
     ``inputs`` has one row per input file; ``outputs`` rows carry ``kind``.
     Returns one row per kind (kind, n_inputs, n_outputs, complete).
     """
-    n_in = inputs.agg(F.count(F.lit(1)).alias("n_inputs"))
+    n_in = inputs.agg(F.count(F.lit(1))).scalar()  # scalar subquery, computed once
     spark = inputs.sparkSession
     wanted = spark.createDataFrame([(k,) for k in kinds], "kind string")
     n_out = outputs.where(F.col("kind").isin(*kinds)).groupBy("kind").agg(F.count(F.lit(1)).alias("n_outputs"))
-    # one-row total joined on a constant key (a broadcast of one row)
-    x = wanted.join(n_out, "kind", "left").withColumn("_one", F.lit(1)) \
-              .join(F.broadcast(n_in.withColumn("_one", F.lit(1))), "_one")
+    x = wanted.join(n_out, "kind", "left").withColumn("n_inputs", n_in)
     return x.select("kind", "n_inputs", F.coalesce("n_outputs", F.lit(0)).alias("n_outputs"),
                     (F.col("n_inputs") == F.coalesce("n_outputs", F.lit(0))).alias("complete"))
 

@@ -70,9 +70,9 @@ def signup_batch(cands: DataFrame, users: DataFrame, run_ts: str) -> DataFrame:
     first_name = free.groupBy("name").agg(F.min("cand_id").alias("cand_id"))
     first_email = free.groupBy("email").agg(F.min("cand_id").alias("cand_id"))
     keep = free.join(first_name, ["name", "cand_id"], "left_semi").join(first_email, ["email", "cand_id"], "left_semi")
-    max_id = users.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max_id"))
-    # one-row table joined on a constant key: an equi join with a broadcast of one row
-    out = keep.withColumn("_one", F.lit(1)).join(F.broadcast(max_id.withColumn("_one", F.lit(1))), "_one")
+    # the current largest id as a scalar subquery (computed once, no join)
+    max_id = users.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    out = keep.withColumn("_max_id", max_id)
     d = NEW_USER_DEFAULTS
     return out.select(
         (F.col("_max_id") + F.col("cand_id")).alias("id"), "name", "email",
