@@ -85,6 +85,32 @@ def start_request_stream(spark: SparkSession, source: str, schema: str, checkpoi
     return w.start()
 
 
+def pick_next_records(queue: DataFrame, outbox: str, per_message: int = 1,
+                      order: Sequence[str] = ("priority_id", "queue_id")) -> Callable[[DataFrame, int], None]:
+    """T1 + O2 handler: each woken message picks the next ``per_message`` records not picked before.
+
+    Picked records are written to ``outbox/batch_id=<id>`` (overwritten when a
+    batch is replayed).  Records picked by *other* batches are excluded with a
+    left anti join, so a replayed batch picks the same records again.  Only
+    the number of woken messages reaches the driver.
+    """
+    spark = queue.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        k = batch.count()
+        if k == 0:
+            return
+        try:
+            taken = spark.read.parquet(outbox).where(F.col("batch_id") != batch_id).select("queue_id")
+            pending = queue.join(taken, "queue_id", "left_anti")
+        except Exception:  # noqa: BLE001 - first batch: the outbox does not exist yet
+            pending = queue
+        picked = pending.orderBy(*order).limit(k * per_message)
+        picked.write.mode("overwrite").parquet(f"{outbox.rstrip('/')}/batch_id={batch_id}")
+
+    return handle
+
+
 TRACK_OUT = "doc_id long, pages_seen int, num_pages int, status string"
 TRACK_STATE = "pages_seen int, num_pages int"
 

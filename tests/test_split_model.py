@@ -97,3 +97,14 @@ def test_assign_pages_is_equi_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert sorted((r.from_page, r.page_no, r.new_page_no) for r in got.collect()) == [
         (2, 2, 1), (2, 3, 2), (5, 5, 1)]
+
+
+def test_hot_document_split_matches_model(spark):
+    # one scan holds most pages: 20,000 pages with a barcode on every 7th and on some neighbours
+    rng = random.Random(7)
+    hot_n = 20000
+    hot = {p: f"NEU_{p}" for p in range(1, hot_n + 1) if p % 7 == 0 or rng.random() < 0.02}
+    docs = [(0, hot_n, hot)] + _random_docs(rng, 200)[1:]
+    for keep in (False, True):
+        want = sorted((d, *seg) for d, n, bc in docs for seg in model(n, bc, keep))
+        assert _run(spark, docs, keep) == want

@@ -102,3 +102,24 @@ def test_rate_cap_one_file_per_batch(spark, scratch):
                                 max_files_per_trigger=1, available_now=True)
     q.awaitTermination()
     assert [n for _, n in sorted(seen) if n] == [1, 1, 1]
+
+
+def test_wake_messages_pick_next_records_once(spark, scratch):
+    src = os.path.join(scratch, "msgs")
+    outbox = os.path.join(scratch, "outbox")
+    queue = spark.createDataFrame([(10, 2), (11, 1), (12, 3), (13, 1)], "queue_id long, priority_id int")
+    handle = rq.pick_next_records(queue, outbox)
+    _write_batch(spark, src, [(1, "pdf process request", "{}"), (2, "noise", "{}")], "b1")
+
+    def run():
+        q = rq.start_request_stream(spark, src + "/*", SCHEMA, os.path.join(scratch, "ck"), handle,
+                                    available_now=True)
+        q.awaitTermination()
+
+    run()
+    assert [r.queue_id for r in spark.read.parquet(outbox).collect()] == [11]
+    handle(spark.createDataFrame([(1, "pdf process request", "{}")], SCHEMA), 0)  # replay of batch 0
+    assert [r.queue_id for r in spark.read.parquet(outbox).collect()] == [11]
+    _write_batch(spark, src, [(3, "pdf process request", "{}"), (4, "pdf process request", "{}")], "b2")
+    run()
+    assert sorted(r.queue_id for r in spark.read.parquet(outbox).collect()) == [10, 11, 13]
