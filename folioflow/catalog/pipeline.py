@@ -241,7 +241,7 @@ def piece_name(spark, sf_dir):
 
 
 @job("barcode_map", """
-SELECT doc_id, to_json(map_from_entries(list({'k': page_no, 'v': barcode} ORDER BY page_no))) AS barcodes
+SELECT doc_id, CAST(to_json(map_from_entries(list({'k': page_no, 'v': barcode} ORDER BY page_no))) AS VARCHAR) AS barcodes
 FROM marks GROUP BY doc_id""", ("v_pages",), MARKS)
 def barcode_map(spark, sf_dir):
     """Page -> barcode map of each document, as JSON."""

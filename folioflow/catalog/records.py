@@ -436,7 +436,7 @@ def search_document(spark, sf_dir):
 
 
 @job("text_to_search_file", """
-SELECT t.doc_id, t.page_no, length(t.text) AS n_chars FROM v_page_text t
+SELECT t.doc_id, t.page_no, CAST(length(t.text) AS INTEGER) AS n_chars FROM v_page_text t
 JOIN v_outputs o ON o.doc_id = t.doc_id AND o.page_no = t.page_no AND o.kind = 'xml'""",
      ("v_page_text", "v_pages", "v_outputs"))
 def text_to_search_file(spark, sf_dir):
