@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
+# A key with at most this many rows is numbered inside one task (plain window).
+MAX_GROUP_ROWS = 2_000_000
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -32,7 +34,8 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column],
                    name: str = "ordinal", num_partitions: int | None = None,
-                   stable_input: bool = False, block_size: int = 4096) -> DataFrame:
+                   stable_input: bool = False, block_size: int = 4096,
+                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """1-based ``row_number()`` over ``partition by key order by order`` without a hot task.
 
     * One integer order column (a page or line number, unique inside a key):
@@ -50,12 +53,23 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str
 
     The offset tables have at most ``#keys + #blocks`` rows; AQE joins them as
     a broadcast when small and as a shuffled join otherwise.
+
+    Composite orders first measure the largest key with a grouped count
+    (partial aggregation; one number reaches the driver).  When no key has
+    more than ``max_group_rows`` rows, a key fits one task and a plain
+    ``row_number`` window is used (one shuffle); otherwise the range path
+    splits the hot keys.  ``max_group_rows=None`` always takes the range path.
     """
     keys = _names(key)
     if len(order) == 1 and isinstance(order[0], str) and \
             dict(df.dtypes).get(order[0]) in ("int", "bigint", "smallint", "tinyint"):
         return _ordinal_blocked(df, keys, order[0], name, block_size)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if max_group_rows is not None:
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_group_rows:
+            w = Window.partitionBy(*keys).orderBy(*order_cols)
+            return df.withColumn(name, F.row_number().over(w).cast("int"))
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)

@@ -44,10 +44,15 @@ def test_ordinal_within_matches_row_number_on_hot_key(spark):
     want = df.withColumn("o", F.row_number().over(Window.partitionBy("doc_id").orderBy("k")))
     got = ordinal_within(df, "doc_id", ["k"], name="o", block_size=1000)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    got2 = ordinal_within(df.withColumn("s", F.col("k").cast("string")), "doc_id", ["s"], name="o")
+    # composite/string order: force the range path (hot key above the bound) ...
+    got2 = ordinal_within(df.withColumn("s", F.col("k").cast("string")), "doc_id", ["s"], name="o",
+                          max_group_rows=1000)
     want2 = df.withColumn("s", F.col("k").cast("string")).withColumn(
         "o", F.row_number().over(Window.partitionBy("doc_id").orderBy("s")))
     assert got2.exceptAll(want2).count() == 0
+    # ... and the plain-window path when every key is proven small
+    got3 = ordinal_within(df.withColumn("s", F.col("k").cast("string")), "doc_id", ["s"], name="o")
+    assert got3.exceptAll(want2).count() == 0
 
 
 def test_neighbours_within_matches_lag_lead_on_hot_key(spark):
