@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not visible to the executors of a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     path = tempfile.mkdtemp(prefix="folioflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
