@@ -231,7 +231,12 @@ def split_process_payload(spark, sf_dir):
     return merge.split_process_payload(x)
 
 
-@job("piece_name")
+@job("piece_name", f"""
+SELECT doc_id, from_page,
+       md5(barcode || '{RUN_TS}') || '_' ||
+       CAST(1000000000 + CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|' || CAST(from_page AS VARCHAR)), 1, 8))
+            AS BIGINT) AS VARCHAR) AS piece_name
+FROM plan""", PV, SPLIT)
 def piece_name(spark, sf_dir):
     """Stable piece file name per segment (md5 of barcode + run time, digits from the key)."""
     segs = split.split_plan(T.pages(spark, sf_dir))

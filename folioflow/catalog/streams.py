@@ -11,7 +11,7 @@ from ..session import shared_path
 from ..sources import tables as T
 from ..streaming import requests as rq
 from . import job
-from .records import non_bulk
+from .records import REC, RV, non_bulk
 
 RUN_DATE = "2024-01-20"
 
@@ -43,19 +43,38 @@ def completion_tracker(spark, sf_dir):
     return spark.table(name)
 
 
-@job("map_pages")
+WS = r"[\t\n\x0B\f\r ]"
+CLEAN = f"regexp_replace(COALESCE(text, ''), '^{WS}+|{WS}+$', '', 'g')"
+
+
+@job("map_pages", f"""
+SELECT doc_id, page_no, {CLEAN} AS text, CAST(CASE WHEN {CLEAN} = '' THEN 0 ELSE 1 END AS INTEGER) AS status,
+       CAST(NULL AS VARCHAR) AS error
+FROM v_page_text""", ("v_page_text",))
 def map_pages(spark, sf_dir):
     """The default page function (text clean-up) over every page text, with per-page status."""
     return page_functions.map_pages(T.page_text(spark, sf_dir))
 
 
-@job("map_documents")
+@job("map_documents", f"""
+SELECT doc_id, {CLEAN} AS text, CAST(CASE WHEN {CLEAN} = '' THEN 0 ELSE 1 END AS INTEGER) AS status,
+       CAST(NULL AS VARCHAR) AS error
+FROM v_docs""", ("v_docs",))
 def map_documents(spark, sf_dir):
     """The default document function over every whole document."""
     return page_functions.map_documents(T.docs(spark, sf_dir))
 
 
-@job("manifest_xml")
+@job("manifest_xml", f"""
+SELECT r.queue_id,
+  '<FileInfo process_date="20/1/2024" profile_id="' || r.profile_id || '">' || chr(10) ||
+  '    <Image id="' || r.image_id || '">' || chr(10) ||
+  '        <Bookmark ID="' || CAST(r.queue_id AS VARCHAR) || '">' || chr(10) ||
+  array_to_string(list_transform(range(1, c.num_pages + 1), lambda i: '            <piece path="' || r.box_number ||
+     '/' || r.box_part || '/' || CAST(r.queue_id AS VARCHAR) || '_' || lpad(CAST(i AS VARCHAR), 6, '0') ||
+     '.pdf"/>'), chr(10)) || chr(10) ||
+  '        </Bookmark>' || chr(10) || '    </Image>' || chr(10) || '</FileInfo>' AS xml
+FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id WHERE NOT r.bulk""", RV + ("v_pages", "v_counts"), REC)
 def manifest_xml(spark, sf_dir):
     """XML manifest per non-bulk record (``to_xml``; no DuckDB counterpart, rows-only check)."""
     r = non_bulk(spark, sf_dir).select("queue_id", "profile_id", "image_id", "box_number", "box_part",

@@ -43,11 +43,12 @@ def piece_name(barcode: str | Column, run_ts: str | Column, *key: str | Column)
     """``md5(barcode + run time)`` + ``_`` + 10 digits derived from the key.
 
     The source drew 10 random digits per call, so a retry produced a new
-    name; here the digits come from ``xxhash64`` of the key, so a retried
-    segment keeps its name.
+    name; here the digits are ``10^9`` plus the first 32 bits of the md5 of
+    the key, so a retried segment keeps its name.
     """
     h = F.md5(F.concat(F.coalesce(_c(barcode), F.lit("")), _c(run_ts).cast("string")))
-    digits = (F.pmod(F.xxhash64(*[_c(k) for k in key]), F.lit(9000000000)) + F.lit(1000000000)).cast("string")
+    key_text = F.concat_ws("|", *[_c(k).cast("string") for k in key])
+    digits = (F.conv(F.substring(F.md5(key_text), 1, 8), 16, 10).cast("long") + F.lit(1000000000)).cast("string")
     return F.concat(h, F.lit("_"), digits)
 
 
