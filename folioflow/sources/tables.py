@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordinal_within
+from ..session import spread
 from ..session import materialize as write_shared
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -74,7 +75,7 @@ def docs(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
     letters replaced by ``1`` when doc_id % 5 = 0; then `` a@b`` appended
     when doc_id % 3 = 0.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     if variant == "plain":
         return d
     base = (F.when(F.col("doc_id") % 7 == 0, F.lit(""))
@@ -86,7 +87,7 @@ def docs(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
 
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_paragraphs``: documents with ``'. '`` turned into a paragraph break."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", F.replace(F.col("text"), F.lit(". "), F.lit(".\n\n")).alias("text"))
 
 
