@@ -143,13 +143,14 @@ def page_list_payload(spark, sf_dir):
 
 # --- completeness and resume ---------------------------------------------------------------------------------
 
-A2_DOCS = """a2docs AS (
-SELECT r.queue_id AS doc_id, c.num_pages, (r.deliver_searchable AND NOT r.interactive) AS have_ocr, r.have_sphinx
-FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id WHERE NOT r.bulk),
-kc AS (SELECT doc_id, count_if(kind = 'thumbs') AS n_thumbs, count_if(kind = 'png') AS n_png,
+KIND_COUNTS = """kc AS (SELECT doc_id, count_if(kind = 'thumbs') AS n_thumbs, count_if(kind = 'png') AS n_png,
               count_if(kind = 'xml') AS n_xml, count_if(kind = 'pdf') AS n_pdf, count_if(kind = 'txt') AS n_txt,
               count_if(kind IN ('source', 'state', 'manifest')) AS n_main_extra
        FROM v_outputs GROUP BY doc_id)"""
+A2_DOCS = """a2docs AS (
+SELECT r.queue_id AS doc_id, c.num_pages, (r.deliver_searchable AND NOT r.interactive) AS have_ocr, r.have_sphinx
+FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id WHERE NOT r.bulk),
+""" + KIND_COUNTS
 
 
 def _a2_docs(spark, sf_dir, pages):
@@ -176,7 +177,7 @@ def document_complete(spark, sf_dir):
 @job("page_outputs_complete", """
 SELECT c.doc_id, COALESCE(COALESCE(k.n_pdf, 0) = c.num_pages AND COALESCE(k.n_txt, 0) = c.num_pages, false) AS complete
 FROM v_counts c LEFT JOIN kc k ON k.doc_id = c.doc_id""", ("v_pages", "v_counts", "v_outputs"),
-     A2_DOCS.split("),\n", 1)[1].replace("kc AS", "kc AS", 1))
+     KIND_COUNTS)
 def page_outputs_complete(spark, sf_dir):
     """A3: folder-tool check for output type PDF-TEXT (each kind counted on its own)."""
     pages = T.pages(spark, sf_dir)
