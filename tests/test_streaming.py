@@ -123,3 +123,12 @@ def test_wake_messages_pick_next_records_once(spark, scratch):
     _write_batch(spark, src, [(3, "pdf process request", "{}"), (4, "pdf process request", "{}")], "b2")
     run()
     assert sorted(r.queue_id for r in spark.read.parquet(outbox).collect()) == [10, 11, 13]
+
+
+def test_dead_letter_batch_two_sinks(spark):
+    msgs = spark.createDataFrame([(1, "pdf process request", '{"k": 1}'), (2, "other", '{"k": 2}'),
+                                  (3, "pdf process request", "{bad")], SCHEMA)
+    got = {}
+    rq.dead_letter_batch(msgs, lambda df: got.setdefault("task", sorted(r.event_id for r in df.collect())),
+                         lambda df: got.setdefault("dead", sorted(r.event_id for r in df.collect())))
+    assert got == {"task": [1], "dead": [2, 3]}
