@@ -147,6 +147,12 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
     static page counts; a document emits ``complete`` when all its pages are
     in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the source
     waited 1+2+...+19 = 190 s).  Output mode append.
+
+    The state function sees a document's rows of one micro-batch in one task,
+    streamed as Arrow batches (only two counters are kept per document), and
+    the rows per micro-batch are bounded by the source's rate cap
+    (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), so a hot document
+    never gathers more than one capped batch in a task.
     """
     x = done_pages.select(key).join(counts.select(key, "num_pages"), key, "inner")
     return x.groupBy(key).applyInPandasWithState(_tracker(timeout_ms), TRACK_OUT, TRACK_STATE, "append",
