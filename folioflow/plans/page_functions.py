@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import ship_package
+
 PAGE_OUT = "doc_id long, page_no int, text string, status int, error string"
 DOC_OUT = "doc_id long, text string, status int, error string"
 
@@ -45,6 +47,7 @@ def map_pages(pages: DataFrame, fn: Callable[[str | None], str] = clean_page, te
     ``rebalance`` hash-partitions on (doc_id, page_no) first so the pages of
     one large document are spread over all tasks.
     """
+    ship_package(pages.sparkSession)
     src = pages.select("doc_id", "page_no", text_col)
     if rebalance:
         src = src.repartition("doc_id", "page_no")
@@ -61,6 +64,7 @@ def map_pages(pages: DataFrame, fn: Callable[[str | None], str] = clean_page, te
 def map_documents(docs: DataFrame, fn: Callable[[str | None], str] = clean_page,
                   text_col: str = "text") -> DataFrame:
     """Run ``fn`` once per whole document; output doc_id, text, status, error."""
+    ship_package(docs.sparkSession)
     src = docs.select("doc_id", text_col)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

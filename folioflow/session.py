@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,3 +88,31 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (what ``--py-files`` does).
+
+    Functions run by ``mapInPandas`` / ``applyInPandasWithState`` refer to
+    module-level helpers of this package; the workers import them.  The
+    package is zipped once per application and added with ``addPyFile``,
+    which Spark distributes to every executor.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="folioflow-pyfiles-"), "folioflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [x for x in dirs if x != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

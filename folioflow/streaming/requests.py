@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.filters import TRIGGER_MESSAGE, wake_messages
+from ..session import ship_package
 
 # Fixed values of the queue contract.
 TASK_NAME = "ai.pdf_request"          # task every message is routed to
@@ -154,6 +155,7 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
     (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), so a hot document
     never gathers more than one capped batch in a task.
     """
+    ship_package(done_pages.sparkSession)
     x = done_pages.select(key).join(counts.select(key, "num_pages"), key, "inner")
     return x.groupBy(key).applyInPandasWithState(_tracker(timeout_ms), TRACK_OUT, TRACK_STATE, "append",
                                                  GroupStateTimeout.ProcessingTimeTimeout)
