@@ -34,3 +34,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token_files")
     write_token_files(documents(spark, sf_dir), path)
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+_OP7_SQL = r"""
+WITH words AS (
+  SELECT kind, id, w FROM (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark)),
+items AS (SELECT DISTINCT id AS item_id, least(len(w), 10) AS k,
+    array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM words WHERE kind = 'b' AND len(w) > 0)),
+lens AS (SELECT DISTINCT k FROM items),
+occ AS (SELECT d.id, d.s, i.k, i.item_id
+  FROM (SELECT id, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+        FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM words, lens WHERE kind = 'd' AND len(w) >= k)) d
+  JOIN items i ON i.k = d.k AND i.win = d.win),
+hit AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(s, s + k)) AS p FROM occ) GROUP BY id),
+ids AS (SELECT id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS l
+  FROM (SELECT DISTINCT id, CAST(item_id AS VARCHAR) AS x FROM occ) GROUP BY id)
+SELECT w.id AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(ids.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids.l, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit ON hit.id = w.id LEFT JOIN ids ON ids.id = w.id WHERE w.kind = 'd'
+"""
+
+
+@query("op7_decontamination", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import find_contamination
+    found = find_contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
