@@ -19,12 +19,13 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, written
-from .tokens import encoder
+from .tokens import encoded_texts, encoder
 
 CAPACITY = 2048
 #: a plan of more runs than this is joined with a shuffle instead of a broadcast
@@ -37,33 +38,28 @@ def pieces(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = 0, tokeni
     key_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key_type}, piece int, start long, length long, ids_crc32 long" + (
         ", ids array<int>" if with_ids else "")
-    end = int(end_id).to_bytes(4, "little")
-    width = 4 * capacity
 
     def run(batches):
-        import numpy as np
         enc = encoder(tokenizer)
         for batch in batches:
-            rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            texts = batch.column(1)
-            for i in range(batch.num_rows):
-                data = enc.encode(texts[i].as_py()) + end
-                for k, at in enumerate(range(0, len(data), width)):
-                    part = data[at:at + width]
-                    rows.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-            cols = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                cols.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(cols, names)
+            for first, ids, bounds in encoded_texts(enc, batch.column(1), end_id):
+                n = np.diff(bounds)
+                per_doc = -(-n // capacity)
+                row = np.repeat(np.arange(len(n)), per_doc)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+                start = piece * capacity
+                length = np.minimum(capacity, n[row] - start)
+                at = bounds[row] + start
+                raw = memoryview(ids.tobytes())
+                crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(at.tolist(), (at + length).tolist())]
+                cols = [batch.column(0).take(pa.array(first + row)), pa.array(piece, pa.int32()),
+                        pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()),
+                                                         pa.array(ids.view(np.int32))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     return map_arrow(docs.select("doc_id", "text"), run, schema)
 

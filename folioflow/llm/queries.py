@@ -70,3 +70,44 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_OP3_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+    FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win) WHERE c > 1) GROUP BY doc_id),
+c AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(list_aggregate(w, 'string_agg', '')), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(translate(t, '!#*$%&|<>{}[]^~=_\', '')) AS BIGINT) AS n_marks,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(w, lambda x: list_contains([STOP_WORDS], lower(x)))) AS n_stop, len(l) AS n_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[ \t]*[-*•‣◦]'))) AS n_bul,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) AS n_ell
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars / n_words BETWEEN 2 AND 14 AND n_symbols / n_words <= 0.25 AND n_marks / n_words <= 0.35
+  AND n_stop / n_words >= 0.02 AND n_dup_lines / n_lines <= 0.3 AND n_bul / n_lines <= 0.9 AND n_ell / n_lines <= 0.3 AS kept
+FROM b
+"""
+
+
+def _op3_sql() -> str:
+    from .quality_rules import STOP_WORDS
+    return _OP3_SQL.replace("STOP_WORDS", ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS)))
+
+
+@query("op3_quality_rules", _op3_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import MIN_WORDS, measures, verdict
+    m = F.col("_m").getField
+    base_failed = (m("n_words") < MIN_WORDS) | (100 * m("n_repeat_words") > 50 * m("n_words"))
+    return measures(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", *[m(c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        base_failed.alias("base_failed"), (~base_failed & verdict()).alias("kept"))

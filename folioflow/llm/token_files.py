@@ -35,53 +35,63 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow
-from .tokens import encoder
+from .tokens import encoded_texts, encoder
 
 SHARD_TOKENS = 1 << 20
-ROUNDS = 4
+ROUNDS = 3
 RULES_PER_ROUND = 2048
 MIN_COUNT = 16
-_BINS = 20
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _frequent(seq: np.ndarray, open_: np.ndarray, rules: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(positions, keys)`` of the adjacent pairs that are among the ``rules`` most frequent."""
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    bins = ((key * _SPREAD) >> np.uint64(64 - _BINS)).astype(np.int32)
-    at = np.flatnonzero(open_[:-1])
-    count = np.bincount(bins[at], minlength=1 << _BINS)
-    # a pair is at most as frequent as its bin: only the pairs of the fullest bins are counted exactly
-    top = np.argpartition(count, -rules)[-rules:]
-    full = np.zeros(1 << _BINS, bool)
-    full[top[count[top] >= min_count]] = True
-    at = at[full[bins[at]]]
-    if not len(at):
-        return at, key[:0]
-    value, inverse, n = np.unique(key[at], return_inverse=True, return_counts=True)
-    keep = np.flatnonzero(n >= min_count)
-    if len(keep) > rules:
-        keep = keep[np.argsort(-n[keep], kind="stable")[:rules]]
-    good = np.zeros(len(value), bool)
-    good[keep] = True
-    chosen = good[inverse]
-    return at[chosen], value[inverse[chosen]]
+_BINS = 19
+_SPREAD = 0x9E3779B97F4A7C15
+
+
+def _frequent(seq: np.ndarray, ends: np.ndarray, rules: int, min_count: int) -> tuple[np.ndarray, ...]:
+    """Positions of the most frequent adjacent pairs, each position's pair number, and the pairs.
+
+    Pairs are counted in hash bins; the pair that stands for a full bin is then
+    counted by itself, so every returned pair occurs ``min_count`` times or more.
+    """
+    kind, half = (np.uint32, 16) if seq.dtype == np.uint16 else (np.uint64, 32)
+    key = seq[:-1].astype(kind)
+    key <<= kind(half)
+    key |= seq[1:]
+    with np.errstate(over="ignore"):
+        bins = ((key * kind(_SPREAD >> (64 - 2 * half) | 1)) >> kind(2 * half - _BINS)).astype(np.intp)
+    bins[ends[:-1]] = 1 << _BINS                     # a pair never crosses a document end
+    count = np.bincount(bins, minlength=(1 << _BINS) + 1)
+    count[-1] = 0
+    full = np.flatnonzero(count >= min_count)
+    if len(full) > rules:
+        full = full[np.argpartition(count[full], -rules)[-rules:]]
+    slot = np.full((1 << _BINS) + 1, -1, np.int32)
+    slot[full] = np.arange(len(full), dtype=np.int32)
+    of = slot[bins]
+    at = np.flatnonzero(of >= 0)
+    of, own = of[at], key[at]
+    pair = np.zeros(len(full), kind)
+    pair[of] = own
+    same = own == pair[of]
+    at, of = at[same], of[same]
+    often = np.bincount(of, minlength=len(full)) >= min_count
+    keep = often[of]
+    return at[keep], of[keep], pair
 
 
 def compress(ids: np.ndarray, doc_lengths: np.ndarray, *, rounds: int = ROUNDS, rules_per_round: int = RULES_PER_ROUND,
              min_count: int = MIN_COUNT) -> bytes:
     """One shard of whole documents (their ids one after another)."""
-    seq = ids.astype(np.uint32)
+    top = int(ids.max()) + 1 if len(ids) else 1
+    seq = ids.astype(np.uint16 if top + rounds * rules_per_round <= 1 << 16 else np.uint32)
     bounds = np.concatenate([[0], np.cumsum(doc_lengths)]).astype(np.int64)
     ends = np.zeros(len(seq), bool)
     ends[bounds[1:][doc_lengths > 0] - 1] = True
-    base = int(seq.max()) + 1 if len(seq) else 1
+    base, half = top, 8 * seq.itemsize
     left, right, size = [], [], np.zeros(0, np.uint32)
     doc = np.repeat(np.arange(len(doc_lengths)), doc_lengths)
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        at, keys = _frequent(seq, ~ends, rules_per_round, min_count)
+        at, of, pair = _frequent(seq, ends, rules_per_round, min_count)
         if not len(at):
             break
         # overlapping candidates: every second one of a run of neighbours
@@ -89,16 +99,18 @@ def compress(ids: np.ndarray, doc_lengths: np.ndarray, *, rounds: int = ROUNDS,
         new_run[1:] = np.diff(at) != 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - run_start) % 2 == 0
-        at, keys = at[take], keys[take]
-        value, symbol = np.unique(keys, return_inverse=True)
+        at, of = at[take], of[take]
+        used = np.bincount(of, minlength=len(pair)) > 0
+        symbol, value = (np.cumsum(used) - 1)[of], pair[used]
         first = base + len(size)
-        a, b = (value >> np.uint64(32)).astype(np.uint32), (value & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        a = (value >> value.dtype.type(half)).astype(np.uint32)
+        b = (value & value.dtype.type((1 << half) - 1)).astype(np.uint32)
         left.append(a)
         right.append(b)
         known = size
         length = lambda s: np.where(s >= base, known[np.maximum(s.astype(np.int64) - base, 0)] if len(known) else 1, 1)
         size = np.concatenate([known, (length(a) + length(b)).astype(np.uint32)])
-        seq[at] = (first + symbol).astype(np.uint32)
+        seq[at] = (first + symbol).astype(seq.dtype)
         ends[at] = ends[at + 1]
         gone = np.ones(len(seq), bool)
         gone[at + 1] = False
@@ -151,19 +163,16 @@ class Shard:
         self.flat = flat
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        s = symbols.astype(np.int64)
-        rule = s - self.base
-        is_rule = rule >= 0
-        # plain ids are read from the table after the expansions
-        n = np.ones(len(s), np.int64)
-        n[is_rule] = self.size[rule[is_rule]]
-        where = np.cumsum(n) - n
-        out = np.empty(int(n.sum()), np.uint32)
-        out[where[~is_rule]] = s[~is_rule]
-        k = n[is_rule]
-        if len(k):
-            inner = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-            out[np.repeat(where[is_rule], k) + inner] = self.flat[np.repeat(self.at[rule[is_rule]], k) + inner]
+        s = symbols.astype(np.int32)
+        rules = np.flatnonzero(s >= self.base)
+        rule = s[rules] - self.base
+        more = self.size[rule]
+        n = np.ones(len(s), np.int32)
+        n[rules] = more
+        out = np.repeat(s.view(np.uint32), n)        # right for plain ids; nonterminals are overwritten
+        first = (np.cumsum(n, dtype=np.int64) - n)[rules]
+        inner = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
+        out[np.repeat(first, more) + inner] = self.flat[np.repeat(self.at[rule], more) + inner]
         return out
 
     def decode_all(self) -> np.ndarray:
@@ -190,33 +199,29 @@ def write_token_files(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer:
                       shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS) -> None:
     """Write all documents' ids, in ascending ``doc_id`` order, as shards below ``path``."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
         from pyspark import TaskContext
         enc, part, shard = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        ids, data, size = [], [], 0
+        keys, data, lengths = [], [], []
 
         def close():
-            nonlocal ids, data, size, shard
-            lengths = np.array([len(x) // 4 for x in data], np.int64)
-            payload = compress(np.frombuffer(b"".join(data), "<u4"), lengths, rounds=rounds)
+            nonlocal keys, data, lengths, shard
+            n = np.concatenate(lengths)
+            payload = compress(np.concatenate(data), n, rounds=rounds)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([size], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays(ids) if isinstance(
-                     ids[0], pa.Array) else pa.array(ids)), pa.array([payload], pa.binary())],
-                ["part", "shard", "n_tokens", "doc_ids", "payload"])
-            ids, data, size, shard = [], [], 0, shard + 1
+                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([int(n.sum())], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.concat_arrays(keys)),
+                 pa.array([payload], pa.binary())], ["part", "shard", "n_tokens", "doc_ids", "payload"])
+            keys, data, lengths, shard = [], [], [], shard + 1
             return out
 
         for batch in batches:
-            texts, keys = batch.column(1), batch.column(0)
-            for i in range(batch.num_rows):
-                x = enc.encode(texts[i].as_py()) + end
-                ids.append(keys.slice(i, 1))
-                data.append(x)
-                size += len(x) // 4
-                if size >= shard_tokens:
+            for first, ids, bounds in encoded_texts(enc, batch.column(1), end_id):
+                keys.append(batch.column(0).slice(first, len(bounds) - 1))
+                data.append(ids)
+                lengths.append(np.diff(bounds))
+                if sum(map(len, data)) >= shard_tokens:
                     yield close()
         if data:
             yield close()
