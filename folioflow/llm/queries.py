@@ -111,3 +111,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", *[m(c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         base_failed.alias("base_failed"), (~base_failed & verdict()).alias("kept"))
+
+
+_OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) > 1)
+  UNION ALL SELECT doc_id, w[1] FROM w WHERE len(w) = 1),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM s p JOIN s q ON p.x = q.x AND p.doc_id <> q.doc_id
+    GROUP BY ALL) z JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id,
+  w.doc_id = min(reach.b) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id
+"""
+
+
+@query("op2_minhash_near_dedup", _OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+    return near_duplicates(documents(spark, sf_dir), words=2, percent=80)
