@@ -190,3 +190,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
     return cur.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(
         cur.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """A broadcast hint for a written table of at most ``max_rows`` narrow rows, else the table as it is."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -135,3 +135,13 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.a = w.doc_id GROUP
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
     return near_duplicates(documents(spark, sf_dir), words=2, percent=80)
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.col("text").alias("before"))
+    n_lines = lambda c: F.when(F.length(c) > 0, F.length(c) - F.length(F.translate(c, "\n", "")) + 1).otherwise(0)
+    return dedup_lines(docs).select(
+        "doc_id", n_lines(F.col("before")).cast("long").alias("n_lines"), n_lines(F.col("text")).cast("long").alias("n_kept"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
