@@ -145,3 +145,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select(
         "doc_id", n_lines(F.col("before")).cast("long").alias("n_lines"), n_lines(F.col("text")).cast("long").alias("n_kept"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import quality_scores
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
