@@ -151,3 +151,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_classifier import quality_scores
     return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+    return toxicity_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
