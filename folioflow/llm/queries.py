@@ -157,3 +157,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity_scores
     return toxicity_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extraction import extract
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", F.col("main_text").alias("text"),
+                                 F.length("main_text").cast("long").alias("n_chars"))
