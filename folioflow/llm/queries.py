@@ -165,3 +165,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract(pages).select("page_id", "url", F.col("main_text").alias("text"),
                                  F.length("main_text").cast("long").alias("n_chars"))
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import cut
+    return cut(documents(spark, sf_dir))
