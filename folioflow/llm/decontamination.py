@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import LOWER, byte_slices, map_arrow, prefix_hash, range_hash, shared_folder, signed, split_words
 
@@ -121,7 +122,9 @@ def _slices(items: DataFrame, width: int, max_words: int):
     parts = -(-total // max_words)
     for k in range(parts):
         part = worded.where(F.pmod(F.xxhash64("item_id", "hashes"), F.lit(parts)) == k)
-        yield [(r["item_id"], np.frombuffer(bytes(r["hashes"]), "<u8")) for r in part.collect()]
+        rows = [(r["item_id"], np.frombuffer(bytes(r["hashes"]), "<u8")) for r in part.collect()]
+        if rows:
+            yield rows
 
 
 class Windows:
@@ -217,9 +220,9 @@ def _near(block: Block, w: Windows, slop: int) -> tuple[np.ndarray, np.ndarray]:
     return win, at
 
 
-def _search(index: DataFrame, w: Windows, item_type: str, slop: int | None) -> DataFrame:
+def _search(index: DataFrame, w: Windows, item_type, slop: int | None) -> DataFrame:
     key = index.schema["doc_ids"].dataType.elementType.simpleString()
-    items = pa.array(w.items)
+    items = pa.array(w.items, to_arrow_type(item_type))
 
     def run(batches):
         for batch in batches:
@@ -252,7 +255,7 @@ def _search(index: DataFrame, w: Windows, item_type: str, slop: int | None) -> D
 
     return map_arrow(index.select("doc_ids", "words", "terms", "starts", "postings"), run,
                      f"doc_id {key}, n_words long, n_hit long, "
-                     f"spans array<struct<item_id:{item_type},start:int,length:int>>")
+                     f"spans array<struct<item_id:{item_type.simpleString()},start:int,length:int>>")
 
 
 def search(spark: SparkSession, path: str, items: DataFrame, *, width: int = WINDOW, proximity: int | None = None,
@@ -264,7 +267,7 @@ def search(spark: SparkSession, path: str, items: DataFrame, *, width: int = WIN
     spans start at the rarest term of a window whose other terms are that near.
     """
     index = spark.read.parquet(path)
-    item_type = items.schema["item_id"].dataType.simpleString()
+    item_type = items.schema["item_id"].dataType
     found = None
     for part in _slices(items, width, max_slice_words):
         w = Windows(part, width)

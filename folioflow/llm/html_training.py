@@ -142,6 +142,8 @@ class _Page:
             open_, close = '<div role="main">', "</div>"
         else:
             open_, close = "", ""
+        if r.random() < 0.1:                         # nothing but the article
+            return f"<html><body>{open_}{self.article(self.content)}{close}</body></html>"
         out = [self.furniture("nav")] if r.random() < 0.8 else []
         out += some(r.randint(0, 3), ["header", "nav", "notice", "ad", "form", "share"])
         out += [open_, self.article(self.content)]

@@ -35,8 +35,8 @@ MAX_LABELLED = 20_000
 MAX_PSEUDO = 5_000
 ROUNDS = 2
 CONFIDENT = 0.97
-#: share of labelled good documents that may score below the threshold
-MAX_LOSS = 0.002
+#: a good document lost costs as much as so many bad ones kept
+LOSS_WEIGHT = 20.0
 
 SOURCE_BINS, LANG_BINS = 32, 16
 _KIND = np.full(256, 0, np.uint8)                    # 0: other
@@ -118,6 +118,16 @@ def features(docs: DataFrame) -> DataFrame:
                                  F.col("n_chars").cast("long")), run, f"doc_id {key}, x array<float>")
 
 
+def _threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray, loss_weight: float) -> float:
+    """The threshold up to 0.5 that costs least on the calibration rows; the highest one if several do."""
+    order = np.argsort(score)
+    s, good, w = score[order], y[order] == 1, weight[order]
+    cost = np.concatenate([[0.0], np.cumsum(np.where(good, loss_weight * w, -w))])     # of rejecting the first k rows
+    k = int(np.searchsorted(s, 0.5))
+    best = int(np.flatnonzero(cost[:k + 1] == cost[:k + 1].min())[-1])
+    return 0.5 if best == k else float(s[best])
+
+
 def _matrix(rows: list) -> np.ndarray:
     return np.array([r["x"] for r in rows], np.float64)
 
@@ -141,7 +151,7 @@ def _scored(table: DataFrame, views: dict, extra: str = "") -> DataFrame:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_labelled: int = MAX_LABELLED,
                    max_pseudo: int = MAX_PSEUDO, rounds: int = ROUNDS, confident: float = CONFIDENT,
-                   max_loss: float = MAX_LOSS) -> DataFrame:
+                   loss_weight: float = LOSS_WEIGHT) -> DataFrame:
     """One row per document: ``doc_id, text_score, meta_score, score, kept``."""
     known = labels.where(f"doc_id IS NOT NULL AND {label} IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(
         (F.avg(label) >= 0.5).cast("int").alias("label"))
@@ -185,7 +195,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
     prior = float(np.log(share / (1 - share)))
     both = lambda z: (views["cal_t"].logit(views["text"].logit(z[:, :N_TEXT]))
                       + views["cal_m"].logit(views["meta"].logit(z[:, N_TEXT:])) - prior)
-    threshold = min(0.5, float(np.quantile(sigmoid(both(x[held & (y == 1)])), max_loss)))
+    threshold = _threshold(sigmoid(both(x[held])), y[held], weight[held], loss_weight)
     prob = lambda z: 1 / (1 + F.exp(-z))
     return _scored(table.select("doc_id", "x"), views).select(
         "doc_id", prob(F.col("t")).alias("text_score"), prob(F.col("m")).alias("meta_score"),

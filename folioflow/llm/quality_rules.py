@@ -54,11 +54,14 @@ def _count_chars(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the struct column ``_m`` of all measures of ``text``."""
-    t = F.coalesce(F.col(text), F.lit(""))
+def measures(docs: DataFrame, text: str = "text", into: str = "quality") -> DataFrame:
+    """``docs`` with all measures of ``text`` in the struct column ``into`` (an old column of this name is replaced)."""
+    docs = docs.drop(into)
+    # the row travels as one struct, so no column of the input can clash with the steps
+    one = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    t = F.col("_t")
     # each step is used several times by the next one, so the optimiser keeps it as a column of its own
-    one = docs.withColumn("_w", F.filter(F.split(t, _SPACE + "+", -1), lambda w: w != ""))
+    one = one.withColumn("_w", F.filter(F.split(t, _SPACE + "+", -1), lambda w: w != ""))
     one = one.withColumn("_l", F.filter(F.split(t, "\n", -1), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]")))
     n = F.size("_w")
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(
@@ -68,7 +71,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
                      | F.coalesce(x["h"] == F.get("_s", k + 1)["h"], F.lit(False)))
     covered = F.size(F.array_distinct(F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
     n_lines = F.size("_l")
-    three = two.select(*[two[x] for x in docs.columns], F.struct(*[v.alias(k) for k, v in {
+    three = two.select("_row", F.struct(*[v.alias(k) for k, v in {
         "n_words": n.cast("long"),
         "word_chars": (F.length(t) - _count_chars(t, " \t\n\x0b\x0c\r")).cast("long"),
         "n_symbols": _count_chars(t, SYMBOLS).cast("long"),
@@ -93,14 +96,14 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "bullet_line_ratio": _ratio(c("n_bullets"), c("n_lines")),
         "ellipsis_line_ratio": _ratio(c("n_ellipses"), c("n_lines")),
     }
-    return three.select(*docs.columns, F.struct(*[c(x).alias(x) for x in counts], *[v.alias(k) for k, v in ratios.items()]).alias("_m"))
+    return three.select("_row.*", F.struct(*[c(x).alias(x) for x in counts], *[v.alias(k) for k, v in ratios.items()]).alias(into))
 
 
-def verdict(rules=None) -> Column:
-    """The threshold table as one expression over ``_m``."""
+def verdict(rules=None, measured: str = "quality") -> Column:
+    """The threshold table as one expression over the struct of measures."""
     out = F.lit(True)
     for name, low, high in rules or RULES:
-        value = F.col("_m")[name]
+        value = F.col(measured)[name]
         if low is not None:
             out = out & (value >= low)
         if high is not None:
@@ -110,5 +113,4 @@ def verdict(rules=None) -> Column:
 
 def judge(docs: DataFrame, text: str = "text", rules=None) -> DataFrame:
     """``docs`` with ``quality`` (all measures) and ``quality_kept``; existing columns of these names are replaced."""
-    base = docs.drop("quality", "quality_kept", "_m")
-    return measures(base, text).withColumn("quality_kept", verdict(rules)).withColumnRenamed("_m", "quality")
+    return measures(docs.drop("quality_kept"), text).withColumn("quality_kept", verdict(rules))

@@ -106,7 +106,7 @@ def _op3_sql() -> str:
 @query("op3_quality_rules", _op3_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import MIN_WORDS, measures, verdict
-    m = F.col("_m").getField
+    m = F.col("quality").getField
     base_failed = (m("n_words") < MIN_WORDS) | (100 * m("n_repeat_words") > 50 * m("n_words"))
     return measures(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", *[m(c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],

@@ -213,6 +213,11 @@ class Suffixes:
 def _compared(members: DataFrame, length: int) -> DataFrame:
     """``doc_id, s, e`` repeated in groups of equal ``h``; each group is small."""
     def solve(t: pa.Table):
+        h, doc, pos = (t.column(k).to_numpy() for k in ("h", "doc_id", "pos"))
+        new = np.ones(len(h), bool)                  # repeated rows of one document give a place twice
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])
+        if not new.all():
+            t = t.filter(pa.array(new))
         text = t.column("bytes").combine_chunks()
         offs = np.frombuffer(text.buffers()[1], np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
         data = np.frombuffer(text.buffers()[2], np.uint8)[offs[0]:offs[-1]]
