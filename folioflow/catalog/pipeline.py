@@ -8,7 +8,6 @@ from ..functions import codes
 from ..operators import filters as flt
 from ..operators.ordering import adjacent_flag, first_flag, neighbours_within, ordinal_within
 from ..plans import complete, merge, split
-from ..session import materialize
 from ..sources import tables as T
 from . import job
 
@@ -90,7 +89,7 @@ SELECT doc_id, page_no, barcode FROM v_pages
 WHERE barcode IS NOT NULL AND length(barcode) >= 5 AND instr(barcode, 'NEU_') > 0""", ("v_pages",))
 def valid_barcodes(spark, sf_dir):
     """F8: barcodes that pass the length and prefix test."""
-    return flt.valid_barcodes(T.pages(spark, sf_dir, materialize=False)).select("doc_id", "page_no", "barcode")
+    return flt.valid_barcodes(T.pages(spark, sf_dir)).select("doc_id", "page_no", "barcode")
 
 
 @job("barcodes_in_page_order", """
@@ -99,7 +98,7 @@ SELECT doc_id, page_no, barcode,
 FROM marks""", ("v_pages",), MARKS)
 def barcodes_in_page_order(spark, sf_dir):
     """O1: valid barcodes numbered in numeric page order (distributed row number)."""
-    b = split.barcode_pages(T.pages(spark, sf_dir, materialize=False))
+    b = split.barcode_pages(T.pages(spark, sf_dir))
     return ordinal_within(b, "doc_id", ["page_no"], name="barcode_no").select("doc_id", "page_no", "barcode",
                                                                               "barcode_no")
 
@@ -111,7 +110,7 @@ SELECT doc_id, page_no,
 FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)""", ("v_pages",), MARKS)
 def previous_and_next(spark, sf_dir):
     """Each barcode page with its neighbours (null at both ends)."""
-    b = split.barcode_pages(T.pages(spark, sf_dir, materialize=False))
+    b = split.barcode_pages(T.pages(spark, sf_dir))
     nb = neighbours_within(b, "doc_id", "page_no", carry=["barcode"])
     return nb.select("doc_id", "page_no", "prev_page_no", "next_page_no", "prev_barcode", "next_barcode")
 
@@ -123,7 +122,7 @@ SELECT doc_id, page_no,
 FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)""", ("v_pages",), MARKS)
 def adjacent_barcodes(spark, sf_dir):
     """Barcode pages next to another barcode page."""
-    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir, materialize=False)), "doc_id", "page_no")
+    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir)), "doc_id", "page_no")
     return nb.select("doc_id", "page_no", adjacent_flag().alias("adjacent"))
 
 
@@ -132,7 +131,7 @@ SELECT doc_id, page_no, (lag(page_no) OVER (PARTITION BY doc_id ORDER BY page_no
 FROM marks""", ("v_pages",), MARKS)
 def first_barcode(spark, sf_dir):
     """The first barcode page of each document."""
-    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir, materialize=False)), "doc_id", "page_no")
+    nb = neighbours_within(split.barcode_pages(T.pages(spark, sf_dir)), "doc_id", "page_no")
     return nb.select("doc_id", "page_no", first_flag().alias("is_first"))
 
 
@@ -141,14 +140,14 @@ SELECT doc_id, page_no, l_linenumber, l_partkey, l_suppkey, l_quantity FROM v_pa
 def number_pages(spark, sf_dir):
     """1-based page number inside each document (skew-safe row number)."""
     li = T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), *T.PAGE_ORDER)
-    n = ordinal_within(li, "doc_id", T.PAGE_ORDER, name="page_no", stable_input=True)
+    n = ordinal_within(li, "doc_id", T.PAGE_ORDER, name="page_no")
     return n.select("doc_id", "page_no", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
 @job("page_counts", "SELECT doc_id, num_pages FROM v_counts", PV)
 def page_counts(spark, sf_dir):
     """Pages per document."""
-    return split.page_counts(T.pages(spark, sf_dir, materialize=False))
+    return split.page_counts(T.pages(spark, sf_dir))
 
 
 # --- segments state, resume and requests --------------------------------------------------------------------
@@ -182,14 +181,13 @@ def all_segments_finished(spark, sf_dir):
 SELECT doc_id, barcode, from_page, page_index FROM done_seg WHERE NOT is_finish""",
      PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE)
 def resume_segments(spark, sf_dir):
-    """Segments still to do after a restart (anti join on doc, barcode, from_page).
+    """Segments still to do after a restart, from the plan with its saved state.
 
-    The segment table with its saved state is read twice (plan and finished
-    set), so it is written once to the shared folder first.
+    The state is saved per (doc, barcode, from_page), which is unique, so the
+    unfinished rows are what the anti join of ``complete.resume_segments`` gives.
     """
-    s = materialize(_segments_with_state(spark, sf_dir), "segments")
-    finished = s.where("is_finish")
-    return complete.resume_segments(s, finished).select("doc_id", "barcode", "from_page", "page_index")
+    s = _segments_with_state(spark, sf_dir)
+    return s.where(~F.col("is_finish")).select("doc_id", "barcode", "from_page", "page_index")
 
 
 @job("explode_tasks", """
@@ -250,5 +248,5 @@ SELECT doc_id, CAST(to_json(map_from_entries(list({'k': page_no, 'v': barcode} O
 FROM marks GROUP BY doc_id""", ("v_pages",), MARKS)
 def barcode_map(spark, sf_dir):
     """Page -> barcode map of each document, as JSON."""
-    m = split.barcode_map(T.pages(spark, sf_dir, materialize=False))
+    m = split.barcode_map(T.pages(spark, sf_dir))
     return m.select("doc_id", F.to_json("barcodes").alias("barcodes"))

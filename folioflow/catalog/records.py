@@ -137,7 +137,7 @@ def page_list_payload(spark, sf_dir):
     """A7 + K6: ordered page list request per non-bulk record."""
     r = non_bulk(spark, sf_dir).select("queue_id", "box_number", "box_part",
                                        F.col("queue_id").cast("string").alias("pdf_name"))
-    c = split.page_counts(T.pages(spark, sf_dir, materialize=False)).withColumnRenamed("doc_id", "queue_id")
+    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
     return merge.add_pages_payload(r.join(c, "queue_id", "inner"))
 
 
@@ -260,7 +260,7 @@ def needs_page_list(spark, sf_dir):
 @job("color_pages", "SELECT doc_id, page_no FROM v_pages WHERE ink_c > 0 OR ink_m > 0 OR ink_y > 0", ("v_pages",))
 def color_pages(spark, sf_dir):
     """pages with any C, M or Y ink above 0."""
-    return flt.color_pages(T.pages(spark, sf_dir, materialize=False))
+    return flt.color_pages(T.pages(spark, sf_dir))
 
 
 COLOR_DEV = """cd AS (
@@ -299,7 +299,7 @@ SELECT doc_id, page_no, COALESCE(width, 0) > 1800 AS oversized,
 FROM v_pages""", ("v_pages",))
 def oversized_pages(spark, sf_dir):
     """placeholder image for every page wider than 1800 points."""
-    return flt.oversized_pages(T.pages(spark, sf_dir, materialize=False))
+    return flt.oversized_pages(T.pages(spark, sf_dir))
 
 
 ORIENT = f"""rep AS (
@@ -442,7 +442,7 @@ JOIN v_outputs o ON o.doc_id = t.doc_id AND o.page_no = t.page_no AND o.kind = '
      ("v_page_text", "v_pages", "v_outputs"))
 def text_to_search_file(spark, sf_dir):
     """Page texts that have a search-file slot."""
-    slots = T.outputs(spark, sf_dir, T.pages(spark, sf_dir, materialize=False)).where(F.col("kind") == "xml").select("doc_id", "page_no")
+    slots = T.outputs(spark, sf_dir, T.pages(spark, sf_dir)).where(F.col("kind") == "xml").select("doc_id", "page_no")
     t = T.page_text(spark, sf_dir).select("doc_id", "page_no", F.length("text").alias("n_chars"))
     return joins.text_to_search_file(t, slots)
 
@@ -453,7 +453,7 @@ def text_to_search_file(spark, sf_dir):
      "WHERE num_pages > 0", ("v_pages", "v_counts"))
 def explode_pages(spark, sf_dir):
     """One row per page from a page count."""
-    c = split.page_counts(T.pages(spark, sf_dir, materialize=False)).where(F.col("num_pages") > 0)
+    c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
     return c.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("num_pages"))).alias("page_no"))
 
 
@@ -463,7 +463,7 @@ FROM (SELECT doc_id, CAST(unnest(range(1, num_pages + 1)) AS INTEGER) AS page_no
      ("v_pages", "v_counts"))
 def split_pages_to_rows(spark, sf_dir):
     """O6 + C5: single-page pieces with their names."""
-    c = split.page_counts(T.pages(spark, sf_dir, materialize=False)).where(F.col("num_pages") > 0)
+    c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
     x = c.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("num_pages"))).alias("page_no"))
     return x.select("doc_id", "page_no", paths.page_file_name(F.col("doc_id").cast("string"), "page_no", "pdf")
                     .alias("piece_path"))
@@ -474,7 +474,7 @@ SELECT doc_id, page_no, CAST(doc_id AS VARCHAR) || '_' || lpad(CAST(page_no AS V
 FROM v_pages""", ("v_pages",))
 def page_file_name(spark, sf_dir):
     """Page image name ``{stem}_{page:06d}.png``."""
-    p = T.pages(spark, sf_dir, materialize=False)
+    p = T.pages(spark, sf_dir)
     return p.select("doc_id", "page_no", paths.page_file_name(F.col("doc_id").cast("string"), "page_no", "png")
                     .alias("file_name"))
 
@@ -485,16 +485,18 @@ FROM (SELECT doc_id, CAST(doc_id AS VARCHAR) || '_' || lpad(CAST(page_no AS VARC
       FROM v_outputs WHERE kind = 'pdf')""", ("v_pages", "v_outputs"))
 def pages_in_name_order(spark, sf_dir):
     """Page files ordered by name (zero padding makes it page order)."""
-    o = T.outputs(spark, sf_dir, T.pages(spark, sf_dir, materialize=False)).where(F.col("kind") == "pdf")
+    o = T.outputs(spark, sf_dir, T.pages(spark, sf_dir)).where(F.col("kind") == "pdf")
     named = o.select("doc_id", paths.page_file_name(F.col("doc_id").cast("string"), "page_no", "pdf").alias("name"))
-    return ordinal_within(named, "doc_id", ["name"], name="position").select("doc_id", "name", "position")
+    # blocks by the document's prefix and the first three digits of the page
+    block = F.substring(F.col("name"), F.lit(1), F.length(F.col("doc_id").cast("string")) + 4)
+    return ordinal_within(named, "doc_id", ["name"], name="position", block=block).select("doc_id", "name", "position")
 
 
 @job("without_excluded", "SELECT doc_id, kind, page_no FROM v_outputs WHERE kind NOT IN ('temp', 'state')",
      ("v_pages", "v_outputs"))
 def without_excluded(spark, sf_dir):
     """U4: package listing without the temp folder and the job state file."""
-    return joins.without_excluded(T.outputs(spark, sf_dir, T.pages(spark, sf_dir, materialize=False)))
+    return joins.without_excluded(T.outputs(spark, sf_dir, T.pages(spark, sf_dir)))
 
 
 @job("drop_source_document", """
@@ -505,7 +507,7 @@ SELECT doc_id, path FROM (
 WHERE path <> CAST(doc_id AS VARCHAR) || '.pdf'""", ("v_pages", "v_outputs"))
 def drop_source_document(spark, sf_dir):
     """PDF files of a job folder except the original document."""
-    o = T.outputs(spark, sf_dir, T.pages(spark, sf_dir, materialize=False)).where(F.col("kind").isin("pdf", "source"))
+    o = T.outputs(spark, sf_dir, T.pages(spark, sf_dir)).where(F.col("kind").isin("pdf", "source"))
     stem = F.col("doc_id").cast("string")
     path = F.when(F.col("kind") == "source", F.concat(stem, F.lit(".pdf"))).otherwise(
         paths.page_file_name(stem, "page_no", "pdf"))

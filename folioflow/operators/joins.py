@@ -9,28 +9,15 @@ from pyspark.sql import functions as F
 
 from .filters import needs_search_file
 
-# A side is broadcast only when a count proves it is at most this many rows.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when a (cheap, bounded) count shows at most ``max_rows`` rows, else ``df``.
-
-    The count stops early: only ``max_rows + 1`` rows are ever looked at.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def with_context(records: DataFrame, ctx: DataFrame, on: str = "run_id") -> DataFrame:
     """Attach run settings to each record; records of a run without ``upload_dir`` are dropped.
 
     Adds ``upload_dir``, ``pkged`` and ``have_sphinx`` (F4).  The settings
-    table holds one row per run, so it is broadcast after a size check.
+    table holds one row per run; the optimiser broadcasts it while it is small.
     """
     c = ctx.where(F.col("upload_dir").isNotNull()).select(
         on, "upload_dir", "pkged", needs_search_file("use_sphinx", "sphinx_db").alias("have_sphinx"))
-    return records.join(broadcast_if_small(c), on, "inner")
+    return records.join(c, on, "inner")
 
 
 def text_to_search_file(texts: DataFrame, slots: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ A plain ``Window.partitionBy(doc_id)`` sends every row of a document to one
 task.  If one scan holds a third of all pages that task holds a third of the
 data.  The two primitives below split such documents:
 
-* :func:`ordinal_within` (W5) numbers rows with a range shuffle, so a hot
-  document is spread over many partitions, and adds per-partition offsets
-  from a small count table.
+* :func:`ordinal_within` (W5) numbers rows inside blocks of the first order
+  column, so a hot document is spread over many tasks, and adds per-block
+  offsets from a small count table.
 * :func:`neighbours_within` (W1) finds the previous and next row inside
   fixed-size blocks of a numeric order column, then patches block edges from
   a per-block summary that is ``block_size`` times smaller than the input.
@@ -17,86 +17,42 @@ Both are exact: no row is dropped, capped or sampled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
-_ROW_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
-# A key with at most this many rows is numbered inside one task (plain window).
-MAX_GROUP_ROWS = 2_000_000
-
 
 def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column],
-                   name: str = "ordinal", num_partitions: int | None = None,
-                   stable_input: bool = False, block_size: int = 4096,
-                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
+                   name: str = "ordinal", block: Column | None = None, block_size: int = 4096) -> DataFrame:
     """1-based ``row_number()`` over ``partition by key order by order`` without a hot task.
 
-    * One integer order column (a page or line number, unique inside a key):
-      rows are numbered inside blocks ``order div block_size`` (a window over
-      ``(key, block)``) and block offsets come from a per-block count table.
-      Fully deterministic, no sampling.
-    * Otherwise: range-partition on ``key + order`` (a hot key is cut into
-      several ranges), sort inside partitions, take the in-partition
-      position, count rows per ``(key, partition)`` and add running offsets.
-      The range bounds come from a sample of the input, and the input is used
-      twice (counts and join-back), so both uses must see the same rows in the
-      same order: pass ``stable_input=True`` only when ``df`` is a plain file
-      scan; otherwise the ranged rows are written once as parquet below the
-      shared ``spark.checkpoint.dir`` and both uses read that copy.
-
-    The offset tables have at most ``#keys + #blocks`` rows; AQE joins them as
-    a broadcast when small and as a shuffled join otherwise.
-
-    Composite orders first measure the largest key with a grouped count
-    (partial aggregation; one number reaches the driver).  When no key has
-    more than ``max_group_rows`` rows, a key fits one task and a plain
-    ``row_number`` window is used (one shuffle); otherwise the range path
-    splits the hot keys.  ``max_group_rows=None`` always takes the range path.
+    Rows are numbered inside blocks (a window over ``(key, block)``); block
+    offsets come from a per-block count table (one row per key and block).
+    ``block`` is any expression that never falls while the first order column
+    rises; the default is ``div block_size`` for an integer column and the
+    column itself otherwise.  Give a prefix (``substring``) for strings with
+    many distinct values.  There is one method at every size, nothing is
+    sampled, and no Spark job runs while the plan is built.  Null keys, blocks
+    and order values are kept (nulls come first).
     """
     keys = _names(key)
-    if len(order) == 1 and isinstance(order[0], str) and \
-            dict(df.dtypes).get(order[0]) in ("int", "bigint", "smallint", "tinyint"):
-        return _ordinal_blocked(df, keys, order[0], name, block_size)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if max_group_rows is not None:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if largest <= max_group_rows:
-            w = Window.partitionBy(*keys).orderBy(*order_cols)
-            return df.withColumn(name, F.row_number().over(w).cast("int"))
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-                .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
-                .withColumn("_ff_pos", F.monotonically_increasing_id()))
-    if not stable_input:
-        ranged = materialize(ranged, "ordinal")
-    ranged = ranged.withColumn("_ff_part", F.shiftright(F.col("_ff_pos"), _ROW_BITS))
-    counts = (ranged.groupBy(*keys, "_ff_part")
-                    .agg(F.min("_ff_pos").alias("_ff_first"), F.count(F.lit(1)).alias("_ff_n")))
-    before = Window.partitionBy(*keys).orderBy("_ff_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_ff_part", "_ff_first",
-                            F.coalesce(F.sum("_ff_n").over(before), F.lit(0)).alias("_ff_base"))
-    out = ranged.join(offsets, on=[*keys, "_ff_part"], how="inner")
-    return (out.withColumn(name, (F.col("_ff_pos") - F.col("_ff_first") + F.col("_ff_base") + 1).cast("int"))
-               .drop("_ff_pos", "_ff_part", "_ff_first", "_ff_base"))
-
-
-def _ordinal_blocked(df: DataFrame, keys: list[str], order: str, name: str, block_size: int) -> DataFrame:
-    x = df.withColumn("_ff_blk", F.floor(F.col(order) / F.lit(block_size)).cast("long"))
-    x = x.withColumn("_ff_local", F.row_number().over(Window.partitionBy(*keys, "_ff_blk").orderBy(order)))
+    if block is None:
+        whole = dict(df.dtypes)[order[0]] in ("int", "bigint", "smallint", "tinyint")
+        block = F.floor(F.col(order[0]) / F.lit(block_size)).cast("long") if whole else F.col(order[0])
+    x = df.withColumn("_ff_blk", block)
+    x = x.withColumn("_ff_local", F.row_number().over(Window.partitionBy(*keys, "_ff_blk").orderBy(*order)))
     counts = x.groupBy(*keys, "_ff_blk").agg(F.count(F.lit(1)).alias("_ff_n"))
     before = Window.partitionBy(*keys).orderBy("_ff_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_ff_blk", F.coalesce(F.sum("_ff_n").over(before), F.lit(0)).alias("_ff_base"))
-    out = x.join(offsets, on=[*keys, "_ff_blk"], how="inner")
-    return out.withColumn(name, (F.col("_ff_local") + F.col("_ff_base")).cast("int")) \
-              .drop("_ff_blk", "_ff_local", "_ff_base")
+    offsets = counts.select(*[F.col(k).alias(f"_ff_k{i}") for i, k in enumerate([*keys, "_ff_blk"])],
+                            F.coalesce(F.sum("_ff_n").over(before), F.lit(0)).alias("_ff_base"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ff_k{i}")) for i, k in enumerate([*keys, "_ff_blk"])])
+    out = x.join(offsets, same)
+    return out.select(*df.columns, (F.col("_ff_local") + F.col("_ff_base")).cast("int").alias(name))
 
 
 def neighbours_within(df: DataFrame, key: str | Sequence[str], order_col: str,

@@ -16,10 +16,9 @@ DOC_KINDS = ["source", "state", "manifest"]
 
 
 def kind_counts(artifacts: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """Artifact count per document and kind, as columns ``n_<kind>`` (pivot with fixed values)."""
-    return (artifacts.where(F.col("kind").isin(*kinds))
-                     .groupBy("doc_id").pivot("kind", list(kinds)).agg(F.count(F.lit(1)))
-                     .select("doc_id", *[F.coalesce(F.col(k), F.lit(0)).cast("int").alias(f"n_{k}") for k in kinds]))
+    """Artifact count per document and kind, as columns ``n_<kind>`` (one grouped pass)."""
+    return artifacts.where(F.col("kind").isin(*kinds)).groupBy("doc_id").agg(
+        *[F.count_if(F.col("kind") == k).cast("int").alias(f"n_{k}") for k in kinds])
 
 
 def document_complete(artifacts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -118,9 +117,14 @@ def resume_route(state: DataFrame, artifacts: DataFrame, pages: DataFrame) -> Da
                  (t & (F.coalesce(F.col("have_sphinx"), F.lit("f")) == "t")).alias("have_sphinx"))
     s = s.withColumn("missing_kind", F.when(F.col("have_ocr"), F.lit("pdf"))
                      .when(F.col("have_sphinx"), F.lit("txt")))
-    miss_pdf = first_missing_page(pages, artifacts, "pdf").withColumnRenamed("first_missing", "fm_pdf")
-    miss_txt = first_missing_page(pages, artifacts, "txt").withColumnRenamed("first_missing", "fm_txt")
-    s = s.join(miss_pdf, "doc_id", "left").join(miss_txt, "doc_id", "left")
+    # one pass over the pages: the wanted kinds that each page has, then the lowest page without each
+    have = artifacts.where(F.col("kind").isin("pdf", "txt")).groupBy("doc_id", "page_no").agg(
+        F.count_if(F.col("kind") == "pdf").alias("_pdf"), F.count_if(F.col("kind") == "txt").alias("_txt"))
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    first = pages.select("doc_id", "page_no").join(have, ["doc_id", "page_no"], "left").groupBy("doc_id").agg(
+        F.min(F.when(none("_pdf"), F.col("page_no"))).alias("fm_pdf"),
+        F.min(F.when(none("_txt"), F.col("page_no"))).alias("fm_txt"))
+    s = s.join(first, "doc_id", "left")
     fm = F.when(F.col("missing_kind") == "pdf", F.col("fm_pdf")).when(F.col("missing_kind") == "txt", F.col("fm_txt"))
     return s.select("doc_id", "have_ocr", "have_sphinx", "missing_kind", fm.cast("int").alias("first_missing"))
 

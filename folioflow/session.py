@@ -78,18 +78,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over all cores when the input has fewer splits than cores.
-
-    Whole-text work (regular expressions over full documents) is CPU-heavy per
-    row; a file with few row groups would otherwise be processed by as many
-    tasks as it has splits.  On a cluster the scan already has far more splits
-    than cores and this is a no-op (no shuffle is added).
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 _SHIPPED: set[str] = set()
 
 

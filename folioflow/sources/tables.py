@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordinal_within
-from ..session import spread
-from ..session import materialize as write_shared
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -30,23 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def pages(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_pages``: one row per line item as a page of document ``l_orderkey``.
 
     Columns: doc_id, page_no (1-based, ordered by the full line-item key),
     barcode, width, ink array<double> [C, M, Y, K], returnflag, linestatus.
-
-    Jobs read the page table several times (marks, counts, outputs).  Spark
-    would recompute the numbering for every read, so by default the view is
-    written once as parquet below the shared ``spark.checkpoint.dir`` and all
-    reads of this job scan that copy (pruned and filtered at the scan; a lost
-    executor re-reads files instead of recomputing the numbering).
     """
-    if materialize:
-        return write_shared(pages(spark, sf_dir, materialize=False), "v_pages")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", *PAGE_ORDER)
-    numbered = ordinal_within(li, "l_orderkey", PAGE_ORDER, name="page_no", stable_input=True)
+    numbered = ordinal_within(li, "l_orderkey", PAGE_ORDER, name="page_no")
     barcode = (F.when(F.col("l_returnflag") == "R",
                       F.concat(F.lit(BARCODE_PREFIX), F.col("l_partkey").cast("string")))
                 .when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 1), F.lit(SHORT_BARCODE)))
@@ -75,7 +65,7 @@ def docs(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
     letters replaced by ``1`` when doc_id % 5 = 0; then `` a@b`` appended
     when doc_id % 3 = 0.
     """
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     if variant == "plain":
         return d
     base = (F.when(F.col("doc_id") % 7 == 0, F.lit(""))
@@ -87,7 +77,7 @@ def docs(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
 
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_paragraphs``: documents with ``'. '`` turned into a paragraph break."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", F.replace(F.col("text"), F.lit(". "), F.lit(".\n\n")).alias("text"))
 
 

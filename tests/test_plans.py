@@ -44,15 +44,42 @@ def test_ordinal_within_matches_row_number_on_hot_key(spark):
     want = df.withColumn("o", F.row_number().over(Window.partitionBy("doc_id").orderBy("k")))
     got = ordinal_within(df, "doc_id", ["k"], name="o", block_size=1000)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # composite/string order: force the range path (hot key above the bound) ...
-    got2 = ordinal_within(df.withColumn("s", F.col("k").cast("string")), "doc_id", ["s"], name="o",
-                          max_group_rows=1000)
-    want2 = df.withColumn("s", F.col("k").cast("string")).withColumn(
-        "o", F.row_number().over(Window.partitionBy("doc_id").orderBy("s")))
-    assert got2.exceptAll(want2).count() == 0
-    # ... and the plain-window path when every key is proven small
-    got3 = ordinal_within(df.withColumn("s", F.col("k").cast("string")), "doc_id", ["s"], name="o")
-    assert got3.exceptAll(want2).count() == 0
+    # string order, blocks by prefix; a payload column outside the order stays with its row
+    text = df.withColumn("s", F.col("k").cast("string")).withColumn("payload", F.col("k") * 3)
+    want2 = text.withColumn("o", F.row_number().over(Window.partitionBy("doc_id").orderBy("s")))
+    for block in (None, F.substring("s", 1, 2)):
+        got2 = ordinal_within(text, "doc_id", ["s"], name="o", block=block)
+        assert got2.exceptAll(want2).count() == 0 and want2.exceptAll(got2).count() == 0
+
+
+def test_ordinal_within_without_exchange_reuse(spark):
+    df = _hot(spark).withColumn("payload", F.rand(3))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = ordinal_within(df, "doc_id", ["k", "payload"], name="o", block_size=100)
+        assert got.count() == 50000 and got.select("doc_id", "o").distinct().count() == 50000
+        largest = got.groupBy("doc_id").agg(F.max("o").alias("m"), F.count("*").alias("n")).where("m <> n").count()
+        assert largest == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_ordinal_within_keeps_nulls(spark):
+    df = spark.createDataFrame([(None, 1), (None, None), (1, None), (1, 5), (1, 9000)], "d long, k int")
+    got = sorted(map(tuple, ordinal_within(df, "d", ["k"], name="o").collect()), key=str)
+    assert got == sorted([(None, None, 1), (None, 1, 2), (1, None, 1), (1, 5, 2), (1, 9000, 3)], key=str)
+
+
+def test_no_job_while_building(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("split_plan", "resume_segments", "document_complete", "pages_in_name_order", "upside_down_pages", "with_context",
+                 "page_counts", "valid_barcodes"):
+        group = f"build-{name}"
+        spark.sparkContext.setJobGroup(group, group)
+        queries()[name](spark, SF)
+        # reading a file's schema is the only job allowed: one per table
+        assert len(tracker.getJobIdsForGroup(group)) <= 4, name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_neighbours_within_matches_lag_lead_on_hot_key(spark):
@@ -84,6 +111,6 @@ def test_page_function_failure_is_isolated(spark):
     assert got[1] == (1, None) and got[2][0] == -1 and "bad page" in got[2][1] and got[3] == (0, None)
 
 
-def test_context_is_broadcast_after_size_check(spark):
+def test_context_is_broadcast_while_small(spark):
     p = _plan(queries()["with_context"](spark, SF))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
