@@ -272,5 +272,5 @@ def run_status_log(spark, sf_dir):
 
 @job("random_key")
 def random_key(spark, sf_dir):
-    """A fresh random key per user (seeded for repeatable runs)."""
-    return T.users(spark, sf_dir).select("id", codes.random_key(seed=7).alias("activation_key"))
+    """A fresh random key per user (a new one on each run)."""
+    return T.users(spark, sf_dir).select("id", codes.random_key().alias("activation_key"))

@@ -186,23 +186,30 @@ def name_free_for(spark, sf_dir):
     return U.name_free_for(T.users(spark, sf_dir), req)
 
 
+# candidates in order; a row is accepted when no accepted row before it has its name or email
+SIGNUP = """free AS (
+SELECT v.*, row_number() OVER (ORDER BY v.cand_id) AS k FROM valid v
+WHERE len(v.errors) = 0 AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.name = v.name)
+  AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.email = v.email)),
+rival AS (
+SELECT a.k, list(b.k) AS before FROM free a JOIN free b ON b.k < a.k AND (b.name = a.name OR b.email = a.email) GROUP BY a.k),
+turn AS (
+SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS refused
+UNION ALL
+SELECT t.k + 1, CASE WHEN len(list_filter(r.before, lambda x: NOT list_contains(t.refused, x))) > 0
+                     THEN list_append(t.refused, t.k + 1) ELSE t.refused END
+FROM turn t LEFT JOIN rival r ON r.k = t.k + 1 WHERE t.k < (SELECT count(*) FROM free)),
+outcome AS (SELECT refused FROM turn ORDER BY k DESC LIMIT 1)"""
+
+
 @job("signup_batch", f"""
 SELECT (SELECT max(id) FROM v_users) + v.cand_id AS id, v.name, v.email, '' AS phone, '' AS url, '' AS location,
        '' AS bio, CAST(0 AS DECIMAL(18,2)) AS deposit, CAST(1 AS INTEGER) AS sex, CAST(2 AS SMALLINT) AS role_code,
        CAST(0 AS SMALLINT) AS status_code, TIMESTAMP '{RUN_TS}' AS create_at
-FROM valid v
-WHERE len(v.errors) = 0
-  AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.name = v.name)
-  AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.email = v.email)
-  AND v.cand_id = (SELECT min(w.cand_id) FROM valid w WHERE len(w.errors) = 0 AND w.name = v.name
-                   AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.name = w.name)
-                   AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.email = w.email))
-  AND v.cand_id = (SELECT min(w.cand_id) FROM valid w WHERE len(w.errors) = 0 AND w.email = v.email
-                   AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.name = w.name)
-                   AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.email = w.email))""",
-     ("v_users",), CANDS + ",\n" + VALID)
+FROM free v, outcome o WHERE NOT list_contains(o.refused, v.k)""",
+     ("v_users",), CANDS + ",\n" + VALID + ",\n" + SIGNUP)
 def signup_batch(spark, sf_dir):
-    """New user rows for valid, free candidates (first candidate wins a name or email)."""
+    """New user rows for valid, free candidates, accepted in turn."""
     return U.signup_batch(candidates(spark, sf_dir), T.users(spark, sf_dir), RUN_TS)
 
 
@@ -212,17 +219,18 @@ SELECT o_custkey AS id, o_orderdate AS changed_at, o_orderkey,
        CASE WHEN o_orderkey % 3 = 1 THEN '555-' || CAST(o_orderkey AS VARCHAR) END AS phone,
        CASE WHEN o_orderkey % 4 = 0 THEN 'pw' || CAST(o_orderkey AS VARCHAR) END AS new_password
 FROM orders),
-latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, o_orderkey DESC) AS rn
-                          FROM changes) WHERE rn = 1)"""
+latest AS (SELECT id, arg_max(email, (changed_at, o_orderkey)) FILTER (WHERE email IS NOT NULL) AS email,
+  arg_max(phone, (changed_at, o_orderkey)) FILTER (WHERE phone IS NOT NULL) AS phone,
+  count(new_password) > 0 AS cleared, max(changed_at) AS changed_at FROM changes GROUP BY id)"""
 
 
 @job("apply_user_changes", """
 SELECT u.id, u.name, COALESCE(l.email, u.email) AS email, COALESCE(l.phone, u.phone) AS phone, u.url, u.location,
-       u.bio, u.deposit, CASE WHEN l.new_password IS NOT NULL THEN NULL ELSE u.activation_key END AS activation_key,
+       u.bio, u.deposit, CASE WHEN l.cleared THEN NULL ELSE u.activation_key END AS activation_key,
        u.avatar, u.sex, u.role_code, u.status_code, l.changed_at AS update_at
 FROM v_users u LEFT JOIN latest l ON l.id = u.id""", ("v_users",), CHANGES)
 def apply_user_changes(spark, sf_dir):
-    """Latest profile change per user applied; a password change clears the reset key."""
+    """All profile changes of a user applied in turn; a password change clears the reset key."""
     o = T.table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     ch = o.select(F.col("o_custkey").alias("id"),
@@ -239,9 +247,9 @@ def issue_reset_keys(spark, sf_dir):
     """D3: fresh reset keys for users whose email asked for one (keys are random: rows-only check)."""
     c = T.table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    req = c.where(F.col("c_mktsegment") == "MACHINERY").select(
-        F.concat(F.lower("c_mktsegment"), k.cast("string"), F.lit("@example.com")).alias("email"))
-    return U.issue_reset_keys(T.users(spark, sf_dir), req, seed=11)
+    email = F.concat(F.lower("c_mktsegment"), k.cast("string"), F.lit("@example.com"))
+    req = c.select(F.when(k % 10 == 0, F.lit("unknown@example.com")).otherwise(email).alias("email"))
+    return U.issue_reset_keys(T.users(spark, sf_dir), req)
 
 
 @job("first_match", "SELECT sex, arg_min(id, id) AS id, arg_min(name, id) AS name FROM v_users GROUP BY sex",

@@ -102,4 +102,4 @@ def with_views(sql: str, *names: str, ctes: str = "") -> str:
     parts = [f"{n} AS ({VIEWS[n]}\n)" for n in need]
     if ctes.strip():
         parts.append(ctes.strip().lstrip(","))
-    return f"WITH {', '.join(parts)}\n{sql}" if parts else sql
+    return f"WITH RECURSIVE {', '.join(parts)}\n{sql}" if parts else sql

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import validate_users
+from ..session import materialize
 
 # Defaults of a new user row.
 NEW_USER_DEFAULTS = {"phone": "", "url": "", "location": "", "bio": "", "deposit": 0, "sex": 1,
@@ -52,24 +53,40 @@ def name_free_for(users: DataFrame, requests: DataFrame) -> DataFrame:
     The source compared the email column with the id, so every row counted;
     here the user's own row is excluded.
     """
-    u = users.select(F.col("name"), F.col("id").alias("other_id"))
-    x = requests.join(u, "name", "left")
-    other = (F.col("other_id").isNotNull()) & (F.col("other_id") != F.col("id"))
-    return x.groupBy("id", "name").agg((F.count_if(other) == 0).alias("name_free"))
-
-
-def signup_batch(cands: DataFrame, users: DataFrame, run_ts: str) -> DataFrame:
-    """New user rows for valid, free candidates.
-
-    Inside one batch the first candidate (lowest ``cand_id``) wins a name or
-    an email.  New ids are ``max(existing id) + cand_id``.  Defaults follow
-    the model; ``create_at`` is the run time.
+    # per name the number of users and the lowest and highest id tell whether another user has it
+    taken = users.groupBy("name").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
+    other = F.col("_lo").isNotNull() & ((F.col("_lo") != F.col("id")) | (F.col("_hi") != F.col("id")))
+    return requests.join(taken, "name", "left").select("id", "name", (~other).alias("name_free")).distinct()
+
+
+def signup_batch(cands: DataFrame, users: DataFrame, run_ts: str, max_rounds: int = 100) -> DataFrame:
+    """New user rows for valid, free candidates, taken in ``cand_id`` order.
+
+    A candidate is refused if an *accepted* earlier one has the name or the
+    email; a refused candidate blocks nobody.  Candidates that share neither
+    with an earlier one are accepted at once; the rest is settled in rounds:
+    accept those that are first in their name and their email among the
+    undecided, refuse those that share one with an accepted candidate.  The
+    rounds follow the longest chain of candidates that wait for each other;
+    more than ``max_rounds`` raise an error.  New ids are
+    ``max(existing id) + cand_id``; ``create_at`` is the run time.
     """
     v = validate_users(cands).where(F.size("errors") == 0).drop("errors")
     free = taken_names(v, users).where(~F.col("name_taken") & ~F.col("email_taken"))
-    first_name = free.groupBy("name").agg(F.min("cand_id").alias("cand_id"))
-    first_email = free.groupBy("email").agg(F.min("cand_id").alias("cand_id"))
-    keep = free.join(first_name, ["name", "cand_id"], "left_semi").join(first_email, ["email", "cand_id"], "left_semi")
+    left, kept = free.select("cand_id", "name", "email"), None
+    for _ in range(max_rounds):
+        by_name = left.groupBy("name").agg(F.min("cand_id").alias("_n"))
+        by_email = left.groupBy("email").agg(F.min("cand_id").alias("_e"))
+        now = materialize(left.join(by_name, "name").join(by_email, "email").where(
+            (F.col("cand_id") == F.col("_n")) & (F.col("cand_id") == F.col("_e"))).select("cand_id", "name", "email"), "signup")
+        kept = now if kept is None else kept.union(now)
+        left = materialize(left.join(now.select("name"), "name", "left_anti").join(now.select("email"), "email", "left_anti"),
+                           "signup_left")
+        if left.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"sign-up candidates not settled in {max_rounds} rounds")
+    keep = free.join(kept.select("cand_id"), "cand_id", "left_semi")
     # the current largest id as a scalar subquery (computed once, no join)
     max_id = users.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     out = keep.withColumn("_max_id", max_id)
@@ -87,28 +104,25 @@ def signup_batch(cands: DataFrame, users: DataFrame, run_ts: str) -> DataFrame:
 
 def apply_user_changes(users: DataFrame, changes: DataFrame,
                        fields=("email", "phone", "url", "location", "bio")) -> DataFrame:
-    """Overwrite profile fields with the latest change per id and set ``update_at``.
+    """Apply every change of a user in turn and set ``update_at`` to the last one's time.
 
-    A change with a new password clears ``activation_key``.  ``changes``:
-    id, changed_at, the fields (null = unchanged), new_password.
+    A field ends with its latest non-null value; any change with a new password
+    clears ``activation_key``.  ``changes``: id, changed_at, the fields (null =
+    unchanged), new_password.
     """
     cols = [c for c in fields if c in changes.columns]
-    latest = changes.groupBy("id").agg(
-        F.max_by(F.struct(*cols, "new_password", "changed_at"), F.col("changed_at")).alias("c"))
-    x = users.join(latest, "id", "left")
-    out = [F.col("id")]
+    last = changes.groupBy("id").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("changed_at"))).alias(f"_new_{c}") for c in cols],
+        (F.count("new_password") > 0).alias("_cleared"), F.max("changed_at").alias("update_at"))
+    out = []
     for c in users.columns:
-        if c == "id":
-            continue
         if c in cols:
-            out.append(F.coalesce(F.col(f"c.{c}"), F.col(c)).alias(c))
+            out.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c))
         elif c == "activation_key":
-            out.append(F.when(F.col("c.new_password").isNotNull(), F.lit(None).cast("string"))
-                        .otherwise(F.col(c)).alias(c))
+            out.append(F.when(~F.coalesce("_cleared", F.lit(False)), F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    out.append(F.col("c.changed_at").alias("update_at"))
-    return x.select(*out)
+    return users.join(last, "id", "left").select(*out, "update_at")
 
 
 def issue_reset_keys(users: DataFrame, requests: DataFrame, seed: int | None = None) -> DataFrame:
