@@ -416,14 +416,45 @@ def renumber_xml_page(spark, sf_dir):
     return _renumbered(spark, sf_dir)
 
 
+# scanned pages as recognisers write them: with declaration and comment, DOCTYPE, an empty root, or cut off
+SCANNED = """sx AS (
+SELECT doc_id, page_no, xml AS good,
+       CASE WHEN (doc_id + page_no) % 11 = 5 THEN left(xml, 20)
+            WHEN (doc_id + page_no) % 7 = 3 THEN '<page no="' || CAST(page_no - 1 AS VARCHAR) || '" />'
+            WHEN (doc_id + page_no) % 5 = 1 THEN '<?xml version="1.0"?>' || chr(10) || '<!-- scan > -->' || xml || chr(10)
+            WHEN (doc_id + page_no) % 5 = 2 THEN '<!DOCTYPE page [<!ENTITY a "b">]>' || xml || '<!-- end -->' ELSE xml END AS xml,
+       (doc_id + page_no) % 11 = 5 AS bad, (doc_id + page_no) % 11 <> 5 AND (doc_id + page_no) % 7 = 3 AS bare
+FROM rx WHERE xml IS NOT NULL)"""
+
+
+def _scanned(spark, sf_dir):
+    x = _renumbered(spark, sf_dir).where(F.col("xml").isNotNull())
+    k, xml = F.col("doc_id") + F.col("page_no"), F.col("xml")
+    return x.select("doc_id", "page_no", F.when(k % 11 == 5, F.left(xml, F.lit(20)))
+                    .when(k % 7 == 3, F.concat(F.lit('<page no="'), (F.col("page_no") - 1).cast("string"), F.lit('" />')))
+                    .when(k % 5 == 1, F.concat(F.lit('<?xml version="1.0"?>\n<!-- scan > -->'), xml, F.lit("\n")))
+                    .when(k % 5 == 2, F.concat(F.lit('<!DOCTYPE page [<!ENTITY a "b">]>'), xml, F.lit("<!-- end -->")))
+                    .otherwise(xml).alias("xml"))
+
+
 @job("merge_page_xml", """
 SELECT doc_id,
-       regexp_extract(min_by(xml, page_no), '^(<page[^>]*>)', 1) ||
-       string_agg(regexp_extract(xml, '(?s)^<page[^>]*>(.*)</page>$', 1), '' ORDER BY page_no) || '</page>' AS xml
-FROM rx WHERE xml IS NOT NULL GROUP BY doc_id""", ("v_page_text",), PAGE_XML)
+       CASE WHEN bool_or(NOT bad) THEN
+         min_by(CASE WHEN bare THEN '<page no="' || CAST(page_no - 1 AS VARCHAR) || '">'
+                     ELSE regexp_extract(good, '^(<page[^>]*>)', 1) END, page_no) FILTER (WHERE NOT bad) ||
+         COALESCE(string_agg(CASE WHEN bare THEN '' ELSE regexp_extract(good, '(?s)^<page[^>]*>(.*)</page>$', 1) END, ''
+                  ORDER BY page_no) FILTER (WHERE NOT bad), '') || '</page>' END AS xml,
+       count_if(bad) AS bad_pages
+FROM sx GROUP BY doc_id""", ("v_page_text",), PAGE_XML + ",\n" + SCANNED)
 def merge_page_xml(spark, sf_dir):
-    """The first page's root with the children of all pages appended in order."""
-    return merge.merge_page_xml(_renumbered(spark, sf_dir).where(F.col("xml").isNotNull()))
+    """The first good page's root with the children of all pages appended in order; broken pages are counted."""
+    return merge.merge_page_xml(_scanned(spark, sf_dir))
+
+
+@job("xml_page_errors", "SELECT doc_id, page_no, xml FROM sx WHERE bad", ("v_page_text",), PAGE_XML + ",\n" + SCANNED)
+def xml_page_errors(spark, sf_dir):
+    """Pages whose XML cannot be merged."""
+    return merge.xml_page_errors(_scanned(spark, sf_dir))
 
 
 @job("search_document", """
@@ -454,7 +485,7 @@ def text_to_search_file(spark, sf_dir):
 def explode_pages(spark, sf_dir):
     """One row per page from a page count."""
     c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
-    return c.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("num_pages"))).alias("page_no"))
+    return split.explode_range(c, F.lit(1), F.col("num_pages"), "page_no").select("doc_id", "page_no")
 
 
 @job("split_pages_to_rows", """
@@ -464,7 +495,7 @@ FROM (SELECT doc_id, CAST(unnest(range(1, num_pages + 1)) AS INTEGER) AS page_no
 def split_pages_to_rows(spark, sf_dir):
     """O6 + C5: single-page pieces with their names."""
     c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
-    x = c.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("num_pages"))).alias("page_no"))
+    x = split.explode_range(c, F.lit(1), F.col("num_pages"), "page_no")
     return x.select("doc_id", "page_no", paths.page_file_name(F.col("doc_id").cast("string"), "page_no", "pdf")
                     .alias("piece_path"))
 

@@ -21,26 +21,25 @@ SELECT doc_id, num_pages AS pages_seen, num_pages, 'complete' AS status FROM v_c
 def completion_tracker(spark, sf_dir):
     """Finished pages streamed in; per document a ``complete`` row once all pages are in.
 
-    The line-item file is read as a stream (each line item = one finished
-    page) and joined with the page counts; state lives in the checkpoint under
-    the shared ``spark.checkpoint.dir``.  Runs one trigger over all files and
-    returns what the memory sink received.
+    The page table is written to the shared folder as the log of finished
+    pages (pages of returned items are reported twice, as after a retry) and
+    read as a stream; state, progress and the emitted block rows live below
+    the shared ``spark.checkpoint.dir``.  Runs one trigger over all files.
     """
-    li = T.table(spark, sf_dir, "lineitem")
-    counts = split.page_counts(li.select(F.col("l_orderkey").alias("doc_id")))
-    li_schema = li.schema
-    stream = (spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet")
-              .parquet(sf_dir.rstrip("/"))
-              .select(F.col("l_orderkey").alias("doc_id")))
-    tracked = rq.track_completion(stream, counts, timeout_ms=190_000)
+    pages = T.pages(spark, sf_dir)
     name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
-    q = (tracked.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", shared_path(spark, "streams", name))
+    log, out = shared_path(spark, "streams", name, "log"), shared_path(spark, "streams", name, "blocks")
+    seen = pages.select("doc_id", "page_no")
+    seen.union(pages.where("returnflag = 'R'").select("doc_id", "page_no")).write.parquet(log)
+    counts = split.page_counts(T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id")))
+    stream = spark.readStream.schema(seen.schema).parquet(log)
+    q = (rq.track_completion(stream, counts, timeout_ms=190_000).writeStream.format("parquet").outputMode("append")
+         .option("path", out).option("checkpointLocation", shared_path(spark, "streams", name, "state"))
          .trigger(once=True).start())
     # One batch over everything available (an availableNow query with
     # processing-time timeouts keeps scheduling no-data batches and never ends).
     q.awaitTermination()
-    return spark.table(name)
+    return rq.document_status(spark.read.schema(rq.TRACK_OUT).parquet(out))
 
 
 WS = r"[\t\n\x0B\f\r ]"
@@ -76,7 +75,7 @@ SELECT r.queue_id,
   '        </Bookmark>' || chr(10) || '    </Image>' || chr(10) || '</FileInfo>' AS xml
 FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id WHERE NOT r.bulk""", RV + ("v_pages", "v_counts"), REC)
 def manifest_xml(spark, sf_dir):
-    """XML manifest per non-bulk record (``to_xml``; no DuckDB counterpart, rows-only check)."""
+    """XML manifest per non-bulk record (``to_xml``)."""
     r = non_bulk(spark, sf_dir).select("queue_id", "profile_id", "image_id", "box_number", "box_part",
                                        F.col("queue_id").cast("string").alias("pdf_name"))
     c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")

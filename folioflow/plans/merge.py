@@ -49,24 +49,44 @@ def join_page_text(pages: DataFrame, block_pages: int = 1024, text_col: str = "t
     return m.select("doc_id", strip_ws("text").alias("text"))
 
 
-XML_PARTS = "(?s)^[\\t\\n\\r ]*(<[?]xml[^>]*[?]>)?[\\t\\n\\r ]*(<([A-Za-z_][A-Za-z0-9_.:-]*)[^>]*>)(.*)</([A-Za-z_][A-Za-z0-9_.:-]*)>[\\t\\n\\r ]*$"
+# a page's XML: declaration, comments and DOCTYPE; the root's name and attributes; children and closing tag, or "/>"
+_MISC = r"(?:\s++|<[?].*?[?]>|<!--.*?-->)*+"
+_HEAD = rf"(?s)^{_MISC}(?:<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?>{_MISC})?<([A-Za-z_][\w:.-]*+)((?:[^>\"'/]|/(?!>)|\"[^\"]*+\"|'[^']*+')*+)"
+XML_PAIRED = _HEAD + rf">(.*)</\1\s*>{_MISC}$"
+XML_EMPTY = _HEAD + rf"/>{_MISC}$"
+
+
+def _xml_parts(pages: DataFrame, xml_col: str) -> DataFrame:
+    """doc_id, page_no, root, attributes, inner of each page; ``root`` is null when the page is not one XML element."""
+    x = F.col(xml_col)
+    paired, empty = x.rlike(XML_PAIRED), x.rlike(XML_EMPTY)
+    part = lambda k: F.when(paired, F.regexp_extract(x, XML_PAIRED, k)).when(empty, F.regexp_extract(x, XML_EMPTY, k))
+    return pages.select("doc_id", "page_no", x.alias("xml"), part(1).alias("root"),
+                        F.rtrim(part(2)).alias("attributes"),
+                        F.when(paired, F.regexp_extract(x, XML_PAIRED, 3)).when(empty, F.lit("")).alias("inner"))
 
 
 def merge_page_xml(pages: DataFrame, xml_col: str = "xml", block_pages: int = 1024) -> DataFrame:
-    """Keep the first page's root element and append the children of the others.
+    """Keep the first page's root element and append the children of the others (doc_id, xml, bad_pages).
 
-    Works on text: each page's root open tag and inner content are cut out
-    with one regular expression; the output is the first page's open tag,
-    the inner content of all pages in page order, and the closing tag.
+    A prolog (declaration, comments, DOCTYPE) may stand before the root and
+    comments after it; a self-closing root has no children.  Pages that are
+    not one XML element are counted in ``bad_pages`` and listed by
+    :func:`xml_page_errors`; ``xml`` is null if no page of a document is good.
     """
-    x = pages.select("doc_id", "page_no",
-                     F.regexp_extract(F.col(xml_col), XML_PARTS, 2).alias("open_tag"),
-                     F.regexp_extract(F.col(xml_col), XML_PARTS, 3).alias("root"),
-                     F.regexp_extract(F.col(xml_col), XML_PARTS, 4).alias("inner"))
-    head = x.groupBy("doc_id").agg(F.min_by(F.struct("open_tag", "root"), F.col("page_no")).alias("h"))
-    body = merge_page_text(x, "", block_pages, "inner")
-    return head.join(body, "doc_id").select(
-        "doc_id", F.concat(F.col("h.open_tag"), F.col("text"), F.lit("</"), F.col("h.root"), F.lit(">")).alias("xml"))
+    x = _xml_parts(pages, xml_col)
+    head = x.groupBy("doc_id").agg(
+        F.min_by(F.struct("root", "attributes"), F.when(F.col("root").isNotNull(), F.col("page_no"))).alias("h"),
+        F.count_if(F.col("root").isNull()).alias("bad_pages"))
+    body = merge_page_text(x.where(F.col("root").isNotNull()), "", block_pages, "inner")
+    return head.join(body, "doc_id", "left").select(
+        "doc_id", F.concat(F.lit("<"), F.col("h.root"), F.col("h.attributes"), F.lit(">"), F.col("text"), F.lit("</"),
+                           F.col("h.root"), F.lit(">")).alias("xml"), "bad_pages")
+
+
+def xml_page_errors(pages: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """The pages that A6 cannot merge (doc_id, page_no, xml)."""
+    return _xml_parts(pages, xml_col).where(F.col("root").isNull()).select("doc_id", "page_no", "xml")
 
 
 def page_list(docs: DataFrame) -> DataFrame:

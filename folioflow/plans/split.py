@@ -113,6 +113,20 @@ def split_plan(pages: DataFrame, keep_barcode: bool | str = False, docs: DataFra
     return x.select(F.inline(segs))
 
 
+def explode_range(df: DataFrame, first: Column, last: Column, name: str, block: int = 4096) -> DataFrame:
+    """``df`` with one row per number ``first..last`` in column ``name``; no row for an empty range.
+
+    The numbers are made block by block, so no row ever holds a whole
+    document as one array.
+    """
+    lo, hi = first.cast("int"), last.cast("int")
+    n = hi - lo + 1
+    blocks = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")))
+    x = df.withColumn("_ff_b", F.explode(blocks))
+    start = lo + F.col("_ff_b") * block
+    return x.withColumn(name, F.explode(F.sequence(start, F.least(hi, start + block - 1)))).drop("_ff_b")
+
+
 def assign_pages(segments: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Pages of each segment (doc_id, from_page, page_no, new_page_no [+ page columns]).
 
@@ -120,8 +134,8 @@ def assign_pages(segments: DataFrame, pages: DataFrame | None = None) -> DataFra
     equi join by exploding ``sequence(from, to)`` (``from <= to`` always holds
     after W4), so no range or nested-loop join is planned.
     """
-    x = segments.select("doc_id", "barcode", "from_page", "to_page",
-                        F.explode(F.sequence("from_page", "to_page")).alias("page_no"))
+    x = explode_range(segments.select("doc_id", "barcode", "from_page", "to_page"), F.col("from_page"), F.col("to_page"),
+                      "page_no")
     x = x.withColumn("new_page_no", (F.col("page_no") - F.col("from_page") + 1).cast("int"))
     if pages is None:
         return x

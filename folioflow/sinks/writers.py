@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import log_line
@@ -19,18 +19,25 @@ def write_package(artifacts: DataFrame, root: str, excluded: Sequence[str] = tup
     ``artifacts`` needs box_number, box_part, kind (+ payload columns).  Only
     the partitions being written are replaced (dynamic partition overwrite).
     """
-    (without_excluded(artifacts, excluded).write
+    # all rows of a box in one task: one file per folder
+    (without_excluded(artifacts, excluded).repartition("box_number", "box_part").write
         .option("partitionOverwriteMode", "dynamic")
         .mode(mode).partitionBy("box_number", "box_part").parquet(root))
 
 
-def write_page_text(pages: DataFrame, root: str, mode: str = "overwrite", page_block: int = 4096) -> None:
-    """K2: one trimmed UTF-8 text per page, laid out by document (``doc_id=../``)."""
-    out = pages.select("doc_id", "page_no", strip_ws("text").alias("text"))
-    # one writer per (document, block of pages): few files per document, and a
+def write_page_text(pages: DataFrame, root: str, mode: str = "overwrite", buckets: int = 256, page_block: int = 4096) -> None:
+    """K2: one trimmed UTF-8 text per page, laid out in ``buckets`` folders by a hash of the document (``bucket=../``)."""
+    out = pages.select("doc_id", "page_no", strip_ws("text").alias("text"), bucket_of("doc_id", buckets).alias("bucket"))
+    # one writer per (bucket, block of pages): few files per folder, and a
     # document with very many pages is still written by many tasks
     block = F.floor(F.col("page_no") / F.lit(page_block)).cast("long")
-    out.repartition("doc_id", block).write.mode(mode).partitionBy("doc_id").parquet(root)
+    out.repartition("bucket", block).sortWithinPartitions("bucket", "doc_id", "page_no").write.mode(mode).partitionBy(
+        "bucket").parquet(root)
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """Folder number of a key; folders stay few however many keys there are."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
 def append_run_log(results: DataFrame, path: str, run_ts: str) -> None:
@@ -39,10 +46,14 @@ def append_run_log(results: DataFrame, path: str, run_ts: str) -> None:
     lines.write.mode("append").text(path)
 
 
-def write_job_state(state: DataFrame, path: str, key: str = "queue_id") -> None:
-    """K4: persist job state as JSON lines, one folder per job key (rewritten after each step)."""
-    (state.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-        .partitionBy(key).json(path))
+def write_job_state(state: DataFrame, path: str, key: str = "queue_id", buckets: int = 256) -> None:
+    """K4: persist job states as JSON lines in ``buckets`` folders by a hash of the job key.
+
+    ``state`` holds every job of the buckets it touches; those buckets are
+    rewritten, the others stay.
+    """
+    out = state.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
+    out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").json(path)
 
 
 def sync_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -> None:

@@ -8,9 +8,10 @@
 * T3 :func:`wrap_messages` - body -> task envelope JSON with a stable id.
 * T4 :func:`classify_messages` / :func:`dead_letter_batch` - unknown or
   undecodable messages go to a dead-letter sink, the rest to the task sink.
-* T6 :func:`track_completion` - per document, count finished pages until the
-  page count is reached; a document that stalls past the timeout is reported
-  ``timed_out`` (state kept in the checkpoint, ``applyInPandasWithState``).
+* T6 :func:`track_completion` - per block of a document's pages, a bitmap of
+  finished pages until all are in; a block that stalls past the timeout is
+  reported ``timed_out`` (state kept in the checkpoint,
+  ``applyInPandasWithState``); :func:`document_status` sums blocks up.
 * T7 :func:`retry_eligible` - attempts table: which failed calls may run again.
 """
 
@@ -29,7 +30,6 @@ from ..session import ship_package
 
 # Fixed values of the queue contract.
 TASK_NAME = "ai.pdf_request"          # task every message is routed to
-KNOWN_TASKS = [TASK_NAME]
 MAX_TASKS_PER_SECOND = 5              # T2: per worker
 MAX_ATTEMPTS = 3                      # T7: calls per request
 BACKOFF_SECONDS = 1                   # T7: wait = attempts x backoff
@@ -44,17 +44,21 @@ def wrap_messages(msgs: DataFrame, body: str = "value", offset: str = "event_id"
 
 
 def classify_messages(msgs: DataFrame, trigger: str = TRIGGER_MESSAGE, body: str = "value",
-                      payload: str = "body", payload_schema: str = "k int") -> DataFrame:
+                      payload: str = "body", payload_schema: str = "k int",
+                      known: Sequence[str] | None = None) -> DataFrame:
     """T4: outcome per message: ``task`` or ``dead_letter`` with a reason.
 
-    Reasons: ``empty`` (no body), ``undecodable`` (payload is not JSON of the
-    expected shape), ``unknown`` (body is not a registered request).
+    Reasons: ``empty`` (no body), ``undecodable`` (payload is not a JSON object
+    whose fields fit ``payload_schema``), ``unknown`` (body is none of the
+    ``known`` requests; by default the trigger alone is known).
     """
     # try_parse_json is null for text that is not JSON (from_json would give a struct of nulls)
     parsed = F.try_parse_json(F.col(payload))
+    shaped = F.from_json(F.col(payload), f"{payload_schema}, _ff_corrupt string", {"columnNameOfCorruptRecord": "_ff_corrupt"})
+    decoded = parsed.isNotNull() & F.ltrim(F.col(payload)).startswith("{") & shaped["_ff_corrupt"].isNull()
     reason = (F.when(F.col(body).isNull() | (F.col(body) == ""), F.lit("empty"))
-               .when(F.col(payload).isNotNull() & parsed.isNull(), F.lit("undecodable"))
-               .when(F.col(body) != F.lit(trigger), F.lit("unknown")))
+               .when(F.col(payload).isNotNull() & ~decoded, F.lit("undecodable"))
+               .when(~F.col(body).isin(*(known or [trigger])), F.lit("unknown")))
     return msgs.withColumn("reason", reason).withColumn(
         "outcome", F.when(F.col("reason").isNull(), F.lit("task")).otherwise(F.lit("dead_letter")))
 
@@ -69,17 +73,19 @@ def dead_letter_batch(batch: DataFrame, task_sink: Callable[[DataFrame], None],
 
 def start_request_stream(spark: SparkSession, source: str, schema: str, checkpoint: str,
                          handle: Callable[[DataFrame, int], None], fmt: str = "parquet",
-                         trigger: str = TRIGGER_MESSAGE, max_files_per_trigger: int | None = None,
+                         trigger: str = TRIGGER_MESSAGE, max_files_per_trigger: int | None = MAX_TASKS_PER_SECOND,
                          available_now: bool = False, processing_time: str = "1 second"):
     """T1 + T2 + T5: consume a message folder; woken messages go to ``handle(batch_df, batch_id)``.
 
     ``handle`` must be idempotent per ``batch_id`` (a restarted query may
-    replay the last batch).  Rate cap: ``max_files_per_trigger`` with a
-    processing-time trigger; for Kafka use ``maxOffsetsPerTrigger``.
+    replay the last batch).  Rate cap (T2): at most ``max_files_per_trigger``
+    files, or with ``fmt="kafka"`` offsets, per processing-time trigger.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt)
+    if fmt != "kafka":                               # Kafka rows have a schema of their own
+        reader = reader.schema(schema)
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        reader = reader.option("maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger", max_files_per_trigger)
     woken = wake_messages(reader.load(source), trigger)
     w = woken.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
@@ -95,70 +101,91 @@ def pick_next_records(queue: DataFrame, outbox: str, per_message: int = 1,
     left anti join, so a replayed batch picks the same records again.  Only
     the number of woken messages reaches the driver.
     """
-    spark = queue.sparkSession
+    spark, root = queue.sparkSession, outbox.rstrip("/")
+    # an empty first part: reading the outbox then fails only for real reasons
+    queue.limit(0).write.mode("overwrite").parquet(f"{root}/batch_id=-1")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         k = batch.count()
         if k == 0:
             return
-        try:
-            taken = spark.read.parquet(outbox).where(F.col("batch_id") != batch_id).select("queue_id")
-            pending = queue.join(taken, "queue_id", "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: the outbox does not exist yet
-            pending = queue
-        picked = pending.orderBy(*order).limit(k * per_message)
-        picked.write.mode("overwrite").parquet(f"{outbox.rstrip('/')}/batch_id={batch_id}")
+        taken = spark.read.parquet(root).where(F.col("batch_id") != batch_id).select("queue_id")
+        picked = queue.join(taken, "queue_id", "left_anti").orderBy(*order).limit(k * per_message)
+        picked.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return handle
 
 
-TRACK_OUT = "doc_id long, pages_seen int, num_pages int, status string"
-TRACK_STATE = "pages_seen int, num_pages int"
+TRACK_OUT = "doc_id long, block int, pages_seen int, block_pages int, num_pages int, status string"
+TRACK_STATE = "seen binary, num_pages int, done boolean"
 
 
-def _tracker(timeout_ms: int):
-    """Per-document state function; the timeout is captured here so executors see it."""
+def _tracker(timeout_ms: int, block_pages: int):
+    """State function of one block of pages; its parameters are captured here so executors see them."""
 
     def track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        doc = key[0]
+        doc, block = int(key[0]), int(key[1])
+
+        def row(seen: int, n: int, status: str) -> pd.DataFrame:
+            size = max(0, min(block_pages, n - block * block_pages))
+            return pd.DataFrame({"doc_id": [doc], "block": [block], "pages_seen": [seen], "block_pages": [size],
+                                 "num_pages": [n], "status": [status]})
+
+        bits, n, done = state.get if state.exists else (bytes(-(-block_pages // 8)), 0, False)
+        bits = int.from_bytes(bytes(bits), "little")
         if state.hasTimedOut:
-            seen, n = state.get
             state.remove()
-            yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["timed_out"]})
+            if not done:
+                yield row(bits.bit_count(), n, "timed_out")
             return
-        seen, n = state.get if state.exists else (0, 0)
         for b in batches:
-            seen += len(b)
-            n = int(b["num_pages"].max()) if len(b) else n
-        if n and seen >= n:
-            state.remove()
-            yield pd.DataFrame({"doc_id": [doc], "pages_seen": [seen], "num_pages": [n], "status": ["complete"]})
-        else:
-            state.update((seen, n))
-            state.setTimeoutDuration(timeout_ms)
+            for page, pages in zip(b["page_no"], b["num_pages"]):
+                n = int(pages)
+                at = int(page) - 1 - block * block_pages
+                if 1 <= page <= n and 0 <= at < block_pages:
+                    bits |= 1 << at                  # a page reported again changes nothing
+        size = max(0, min(block_pages, n - block * block_pages))
+        if not done and size and bits.bit_count() == size:
+            done = True
+            yield row(size, n, "complete")
+        state.update((bits.to_bytes(-(-block_pages // 8), "little"), n, done))
+        state.setTimeoutDuration(timeout_ms)
 
     return track
 
 
 def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int = 190_000,
-                     key: str = "doc_id") -> DataFrame:
-    """Stateful per-document completion over a stream of finished pages.
-
-    ``done_pages`` (streaming: doc_id per finished page) is joined with the
-    static page counts; a document emits ``complete`` when all its pages are
-    in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the source
-    waited 1+2+...+19 = 190 s).  Output mode append.
-
-    The state function sees a document's rows of one micro-batch in one task,
-    streamed as Arrow batches (only two counters are kept per document), and
-    the rows per micro-batch are bounded by the source's rate cap
-    (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), so a hot document
-    never gathers more than one capped batch in a task.
+                     block_pages: int = 4096) -> DataFrame:
+    """Stateful completion per block of pages over a stream of finished pages.
+
+    ``done_pages`` (streaming: doc_id, page_no) is joined with the static page
+    counts.  State is kept per (document, block of ``block_pages`` pages) as a
+    bitmap of the pages seen, so a repeated report counts once and a hot
+    document is spread over its blocks.  A block emits ``complete`` when all its
+    pages are in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the
+    source waited 1+2+...+19 = 190 s).  Output mode append;
+    :func:`document_status` turns the emitted rows into one row per document.
     """
     ship_package(done_pages.sparkSession)
-    x = done_pages.select(key).join(counts.select(key, "num_pages"), key, "inner")
-    return x.groupBy(key).applyInPandasWithState(_tracker(timeout_ms), TRACK_OUT, TRACK_STATE, "append",
-                                                 GroupStateTimeout.ProcessingTimeTimeout)
+    x = done_pages.select("doc_id", F.col("page_no").cast("int").alias("page_no")).join(
+        counts.select("doc_id", F.col("num_pages").cast("int").alias("num_pages")), "doc_id", "inner")
+    x = x.withColumn("block", F.floor((F.col("page_no") - 1) / block_pages).cast("int"))
+    return x.groupBy("doc_id", "block").applyInPandasWithState(
+        _tracker(timeout_ms, block_pages), TRACK_OUT, TRACK_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def document_status(blocks: DataFrame) -> DataFrame:
+    """doc_id, pages_seen, num_pages, status from the rows that the tracker has written.
+
+    ``complete`` when the complete blocks hold all pages, ``timed_out`` when a
+    block timed out, else ``open``.
+    """
+    whole = F.sum(F.when(F.col("status") == "complete", F.col("block_pages")).otherwise(0))
+    one = blocks.groupBy("doc_id").agg(F.sum("pages_seen").cast("int").alias("pages_seen"),
+                                       F.max("num_pages").alias("num_pages"), whole.alias("_whole"),
+                                       (F.count_if(F.col("status") == "timed_out") > 0).alias("_late"))
+    return one.select("doc_id", "pages_seen", "num_pages", F.when(F.col("_whole") == F.col("num_pages"), "complete")
+                      .when(F.col("_late"), "timed_out").otherwise("open").alias("status"))
 
 
 def retry_eligible(attempts: DataFrame, now: str | _dt.datetime, max_attempts: int = MAX_ATTEMPTS,
@@ -168,12 +195,3 @@ def retry_eligible(attempts: DataFrame, now: str | _dt.datetime, max_attempts: i
     now_c = F.lit(str(now)).cast("timestamp")
     wait = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col(n_col) * backoff_s).cast("decimal(18,6)"))
     return (F.col(n_col) < max_attempts) & (now_c >= F.col(last_col).cast("timestamp") + wait)
-
-
-def rate_cap_trigger(files_per_second: int = MAX_TASKS_PER_SECOND) -> dict:
-    """Reader option and trigger that cap intake at ``files_per_second`` per query."""
-    return {"maxFilesPerTrigger": files_per_second, "processingTime": "1 second"}
-
-
-def known_task(body: Column, tasks: Sequence[str] = tuple(KNOWN_TASKS)) -> Column:
-    return body.isin(*tasks)
