@@ -213,19 +213,23 @@ def mark_processed_payload(spark, sf_dir):
     return merge.mark_processed_payload(complete.all_segments_finished(s))
 
 
+PIECE_SQL = f"""md5(s.barcode || '{RUN_TS}') || '_' || CAST(1000000000 + CAST(('0x' ||
+       substr(md5(CAST(s.doc_id AS VARCHAR) || '|' || CAST(s.from_page AS VARCHAR)), 1, 8)) AS BIGINT) AS VARCHAR)"""
+
+
 @job("split_process_payload", """
 SELECT s.doc_id AS queue_id, s.from_page,
        '{"priorityID":' || CAST(COALESCE(q.priority, 3) AS VARCHAR) || ',"barcode":"' || s.barcode ||
-       '","filename":"' || CAST(q.box_number AS VARCHAR) || '/' || s.barcode || '_' || CAST(s.from_page AS VARCHAR) ||
+       '","filename":"' || CAST(q.box_number AS VARCHAR) || '/' || PIECE ||
        '.pdf","source_bookmark_process_queue_id":"' || CAST(s.doc_id AS VARCHAR) || '"}' AS payload
-FROM plan s JOIN v_queue q ON q.queue_id = s.doc_id""", PV + ("v_queue",), SPLIT)
+FROM plan s JOIN v_queue q ON q.queue_id = s.doc_id""".replace("PIECE", PIECE_SQL), PV + ("v_queue",), SPLIT)
 def split_process_payload(spark, sf_dir):
-    """K5: one split request per segment (upload folder = scans/box; piece name = barcode_from)."""
+    """K5: one split request per segment (upload folder = scans/box; the file is the one that C8 names)."""
     segs = split.split_plan(T.pages(spark, sf_dir))
     q = flt.decode_flags(T.queue(spark, sf_dir)).select(
         F.col("queue_id"), "priority_id", F.concat(F.lit("/scans/"), F.col("box_number")).alias("upload_dir"))
     x = segs.join(q, segs.doc_id == q.queue_id, "inner").withColumn(
-        "piece_name", F.concat(F.col("barcode"), F.lit("_"), F.col("from_page").cast("string")))
+        "piece_name", codes.piece_name(F.col("barcode"), F.lit(RUN_TS), F.col("doc_id"), F.col("from_page")))
     return merge.split_process_payload(x)
 
 

@@ -66,7 +66,7 @@ def map_documents(spark, sf_dir):
 
 @job("manifest_xml", f"""
 SELECT r.queue_id,
-  '<FileInfo process_date="20/1/2024" profile_id="' || r.profile_id || '">' || chr(10) ||
+  '<?xml version=''1.0'' encoding=''UTF-8''?>' || chr(10) || '<FileInfo process_date="20/1/2024" profile_id="' || r.profile_id || '">' || chr(10) ||
   '    <Image id="' || r.image_id || '">' || chr(10) ||
   '        <Bookmark ID="' || CAST(r.queue_id AS VARCHAR) || '">' || chr(10) ||
   array_to_string(list_transform(range(1, c.num_pages + 1), lambda i: '            <piece path="' || r.box_number ||

@@ -85,6 +85,18 @@ def request_json(s: Column) -> Column:
     return F.to_json(s)
 
 
+def request_envelope(fields: dict[str, Column], *, root: str, key: str, signature: str) -> Column:
+    """The request as JSON, ``{root: {"api_key", "api_sig", fields...}}``; key and signature come from the caller."""
+    inner = F.struct(F.lit(key).alias("api_key"), F.lit(signature).alias("api_sig"),
+                     *[v.alias(k) for k, v in fields.items()])
+    return F.to_json(F.struct(inner.alias(root)))
+
+
+def random_id(size: int = 10, seed: int | None = None) -> Column:
+    """A random id of ``size`` letters and digits per row (pass a seed for repeatable ids)."""
+    return F.randstr(size, seed) if seed is not None else F.randstr(size)
+
+
 def random_key(seed: int | None = None) -> Column:
     """A random key per row (``uuid``; pass a seed for repeatable keys)."""
     return F.uuid(seed) if seed is not None else F.uuid()

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.codes import request_envelope
 from ..functions.text import strip_ws
 
 
@@ -131,6 +132,25 @@ def mark_processed_payload(finished: DataFrame, key: str = "queue_id") -> DataFr
                                                F.lit("true").alias("processed"))).alias("payload"))
 
 
+def mark_processed_request(finished: DataFrame, *, root: str, key: str, signature: str, machine: str,
+                           doc: str = "queue_id") -> DataFrame:
+    """K7 in its request envelope, for finished documents only."""
+    return finished.where(F.col("finished")).select(doc, request_envelope(
+        {"bookmarkProcessQueueId": F.col(doc).cast("string"), "processed": F.lit("true"), "machineName": F.lit(machine)},
+        root=root, key=key, signature=signature).alias("request"))
+
+
+def add_pages_request(docs: DataFrame, *, root: str, key: str, signature: str, machine: str) -> DataFrame:
+    """K6 in its request envelope."""
+    return page_list(docs).select("queue_id", request_envelope(
+        {"bookmark_process_queue_id": F.col("queue_id").cast("string"), "pages": F.col("pages"), "machineName": F.lit(machine)},
+        root=root, key=key, signature=signature).alias("request"))
+
+
+# fixed value: first line of a manifest
+XML_DECLARATION = "<?xml version='1.0' encoding='UTF-8'?>"
+
+
 def manifest_xml(docs: DataFrame, run_date: str) -> DataFrame:
     """``FileInfo(process_date, profile_id) > Image(id) > Bookmark(ID) > piece(path)*`` per record.
 
@@ -146,4 +166,4 @@ def manifest_xml(docs: DataFrame, run_date: str) -> DataFrame:
                   F.struct(F.col("image_id").cast("string").alias("_id"),
                            F.struct(F.col("queue_id").cast("string").alias("_ID"), pieces.alias("piece")).alias("Bookmark"))
                    .alias("Image"))
-    return docs.select("queue_id", F.to_xml(st, {"rowTag": "FileInfo"}).alias("xml"))
+    return docs.select("queue_id", F.concat(F.lit(XML_DECLARATION + "\n"), F.to_xml(st, {"rowTag": "FileInfo"})).alias("xml"))
