@@ -98,10 +98,9 @@ def target_path(spark, sf_dir):
 
 
 @job("slugify", """
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(translate(lower(text),
-         'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '''+', '', 'g'), '[^a-z0-9]+', '-', 'g'),
-         '^-+|-+$', '', 'g') AS slug
-FROM v_docs""", ("v_docs",))
+SELECT doc_id, CASE WHEN slug = '' AND text <> '' THEN 'x-' || left(md5(text), 8) ELSE slug END AS slug
+FROM (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')),
+         '''+', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM v_docs)""", ("v_docs",))
 def slugify(spark, sf_dir):
     """Slug of each whole document text."""
     return T.docs(spark, sf_dir).select("doc_id", text.slugify("text").alias("slug"))

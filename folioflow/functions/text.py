@@ -6,6 +6,8 @@ All are built from JVM-side expressions (``regexp_replace``, ``length``,
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,6 @@ def classify_searchable(docs: DataFrame, text_col: str = "text", max_junk_share:
                        F.when(code == 1, strip_ws(text_col)).otherwise(F.lit("")).alias("text"))
 
 
-def join_pages_text(texts: Column, sep: str = "\n\n") -> Column:
-    """Page texts (array in page order) joined with a blank line, then trimmed."""
-    return strip_ws(F.array_join(texts, sep))
-
-
 def search_document(text: str | Column) -> Column:
     """Page text as a search-index document (newlines to spaces, fixed header tags)."""
     body = F.replace(F.coalesce(_c(text), F.lit("")), F.lit("\n"), F.lit(" "))
@@ -93,13 +90,45 @@ def nl2br(text: str | Column) -> Column:
     return F.when(t.isNull() | (t == ""), F.lit("")).otherwise(html)
 
 
-# Accented Latin letters folded to ASCII before slugging.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-FOLDED = "aaaaaaceeeeiiiinooooouuuuyy"
+# Letters that no decomposition turns into ASCII, lower case.
+SPELLED = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ı": "i", "ħ": "h", "ŋ": "ng"}
+CYRILLIC = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ", (
+    "a b v g d e e zh z i i k l m n o p r s t u f kh ts ch sh shch  y  e iu ia i i ie g").split(" ")))
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t y ph ch ps o".split(" ")))
+
+
+def _folded_letters() -> tuple[str, str, dict[str, str]]:
+    """Lower-case letters with a one-letter ASCII form, those forms, and the letters spelled otherwise."""
+    spelled = {**SPELLED, **CYRILLIC, **GREEK}
+    one = {}
+    for code in (*range(0xE0, 0x250), *range(0x370, 0x460), *range(0x1E00, 0x2000)):
+        c = chr(code)
+        base = unicodedata.normalize("NFKD", c)[0]
+        base = spelled.get(base, base)
+        if c.islower() and c not in spelled and base != c and base.isascii() and base.isalpha():
+            one[c] = base
+    one |= {k: v for k, v in spelled.items() if len(v) == 1}
+    one = {k: v for k, v in one.items() if len(v) == 1}
+    return "".join(one), "".join(one.values()), {k: v for k, v in spelled.items() if len(v) != 1}
+
+
+ACCENTED, FOLDED, SPELLED_OUT = _folded_letters()
 
 
 def slugify(x: str | Column) -> Column:
-    """Lower-case, fold common accents, runs of other characters to ``-``, trim ``-``."""
-    low = F.translate(F.lower(_c(x)), ACCENTED, FOLDED)
+    """Lower-case, fold letters to ASCII, runs of other characters to ``-``, trim ``-``.
+
+    Latin letters lose their marks, Cyrillic and Greek ones are spelled in
+    Latin.  A text of other scripts alone gets ``x-`` and eight digits of its
+    md5, so that different names keep different slugs.
+    """
+    text = _c(x)
+    low = F.translate(F.lower(text), ACCENTED, FOLDED)
+    # the rarer letters of several letters, only where there is one
+    spelled = low
+    for letter, spelling in SPELLED_OUT.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+    low = F.when(low.rlike("[" + "".join(SPELLED_OUT) + "]"), spelled).otherwise(low)
     dashed = F.regexp_replace(F.regexp_replace(low, "'+", ""), "[^a-z0-9]+", "-")
-    return F.regexp_replace(dashed, "^-+|-+$", "")
+    slug = F.regexp_replace(dashed, "^-+|-+$", "")
+    return F.when((slug == "") & (text != ""), F.concat(F.lit("x-"), F.left(F.md5(text.cast("binary")), F.lit(8)))).otherwise(slug)

@@ -55,8 +55,13 @@ def test_format_date(spark):
 
 
 def test_slugify(spark):
-    df = spark.createDataFrame([("Hello, Wörld -- été's!",)], "s string")
-    assert df.select(text.slugify("s").alias("x")).first().x == "hello-world-etes"
+    want = {"Hello, Wörld -- été's!": "hello-world-etes", "Straße": "strasse", "Łódź": "lodz", "Œuvre": "oeuvre",
+            "Привет, мир": "privet-mir", "Щука": "shchuka", "Ωμέγα": "omega", "": "", "Tiếng Việt": "tieng-viet"}
+    df = spark.createDataFrame([(k,) for k in want], "s string")
+    got = {r.s: r.x for r in df.select("s", text.slugify("s").alias("x")).collect()}
+    assert got == want
+    chinese = spark.createDataFrame([("文件",), ("档案",)], "s string").select(text.slugify("s").alias("x")).collect()
+    assert len({r.x for r in chinese}) == 2 and all(r.x.startswith("x-") and len(r.x) == 10 for r in chinese)
 
 
 def test_search_words(spark):
