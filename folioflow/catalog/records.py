@@ -583,11 +583,9 @@ FV = ("v_docs_mangled",)
 
 
 def _files(spark, sf_dir):
-    d = T.table(spark, sf_dir, "documents")
-    m = text.classify_searchable(T.docs(spark, sf_dir, "mangled")).select("doc_id", "code")
-    return d.select("doc_id", F.col("source").alias("sub_dir"),
-                    F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("stem"),
-                    F.floor(F.col("n_chars") / 2000).cast("int").alias("num_pages")).join(m, "doc_id")
+    d = T.docs(spark, sf_dir, "mangled", keep=("source", "n_chars"))
+    return d.select("doc_id", F.col("source").alias("sub_dir"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("stem"),
+                    F.floor(F.col("n_chars") / 2000).cast("int").alias("num_pages"), text.searchable_code("text").alias("code"))
 
 
 def _outs(spark, sf_dir):
@@ -632,11 +630,7 @@ FROM files f"""
 
 
 def _routed(spark, sf_dir):
-    files = _files(spark, sf_dir)
-    done = complete.done_files(files.select("sub_dir", "stem"), _outs(spark, sf_dir), KINDS) \
-                   .withColumn("_done", F.lit(True))
-    x = files.join(done, ["sub_dir", "stem"], "left")
-    return flt.route_file(x, F.coalesce(F.col("_done"), F.lit(False)))
+    return flt.route_file(complete.file_status(_files(spark, sf_dir), _outs(spark, sf_dir), KINDS), F.col("done"))
 
 
 @job("route_file", ROUTE_SQL, FV, FILES)
@@ -656,6 +650,5 @@ def all_outputs(spark, sf_dir):
     """Outputs of the pass-through and recognition roads in one result."""
     r = _routed(spark, sf_dir)
     kinds = F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind")
-    passed = r.where(F.col("route") == "pass_through").select("doc_id", kinds, F.lit("pass_through").alias("road"))
-    ocr = r.where(F.col("route") == "ocr_pages").select("doc_id", kinds, F.lit("ocr").alias("road"))
-    return joins.all_outputs(passed, ocr)
+    road = F.when(F.col("route") == "pass_through", "pass_through").when(F.col("route") == "ocr_pages", "ocr")
+    return r.where(road.isNotNull()).select("doc_id", kinds, road.alias("road"))

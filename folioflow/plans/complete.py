@@ -7,6 +7,7 @@ hot document costs one partial row per task, never a whole group in a task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,23 +136,29 @@ def output_keys(files: DataFrame, kinds: Sequence[str], first_only: bool = False
     return files.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("kind"))
 
 
+def file_status(files: DataFrame, outputs: DataFrame, kinds: Sequence[str],
+                keys: Sequence[str] = ("sub_dir", "stem"), first_only: bool = False) -> DataFrame:
+    """``files`` with ``done``: do all wanted outputs exist (one grouped pass over the outputs, one join)."""
+    ks = list(kinds[:1]) if first_only else list(kinds)
+    have = outputs.where(F.col("kind").isin(*ks)).groupBy(*keys).agg(
+        *[(F.count_if(F.col("kind") == k) > 0).alias(f"_ff_{k}") for k in ks])
+    enough = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"_ff_{k}"), F.lit(False)) for k in ks], F.lit(True))
+    return files.join(have, list(keys), "left").withColumn("done", enough).drop(*[f"_ff_{k}" for k in ks])
+
+
 def pending_files(files: DataFrame, outputs: DataFrame, kinds: Sequence[str],
                   keys: Sequence[str] = ("sub_dir", "stem"), first_only: bool = False) -> DataFrame:
-    """Input files missing at least one wanted output (left anti on keys + kind).
+    """Input files missing at least one wanted output.
 
     ``first_only=True`` reproduces the source, which only looked at the first kind.
     """
-    want = output_keys(files.select(*keys), kinds, first_only)
-    have = outputs.select(*keys, "kind")
-    missing = want.join(have, [*keys, "kind"], "left_anti").select(*keys).distinct()
-    return files.join(missing, list(keys), "left_semi")
+    return file_status(files, outputs, kinds, keys, first_only).where(~F.col("done")).select(*files.columns)
 
 
 def done_files(files: DataFrame, outputs: DataFrame, kinds: Sequence[str],
                keys: Sequence[str] = ("sub_dir", "stem"), first_only: bool = False) -> DataFrame:
     """Input files whose wanted outputs all exist (complement of J3)."""
-    pend = pending_files(files.select(*keys), outputs, kinds, keys, first_only)
-    return files.join(pend, list(keys), "left_anti")
+    return file_status(files, outputs, kinds, keys, first_only).where("done").select(*files.columns)
 
 
 def missing_kinds(files: DataFrame, outputs: DataFrame, kinds: Sequence[str],

@@ -13,18 +13,15 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.text import strip_ws
 from ..session import ship_package
 
 PAGE_OUT = "doc_id long, page_no int, text string, status int, error string"
 DOC_OUT = "doc_id long, text string, status int, error string"
 
 
-def clean_page(text: str | None) -> str:
-    """Default page function: surrounding whitespace removed."""
-    return (text or "").strip(" \t\n\r\x0b\x0c")
-
-
 def _apply(fn: Callable[[str | None], str], values) -> tuple[list, list, list]:
     texts, status, errors = [], [], []
     for v in values:
@@ -40,13 +37,23 @@ def _apply(fn: Callable[[str | None], str], values) -> tuple[list, list, list]:
     return texts, status, errors
 
 
-def map_pages(pages: DataFrame, fn: Callable[[str | None], str] = clean_page, text_col: str = "text",
+def _cleaned(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """The default function as column expressions: no Python runs."""
+    text = F.coalesce(strip_ws(text_col), F.lit(""))
+    return df.select(*keys, text.alias("text"), F.when(text == "", 0).otherwise(1).alias("status"),
+                     F.lit(None).cast("string").alias("error"))
+
+
+def map_pages(pages: DataFrame, fn: Callable[[str | None], str] | None = None, text_col: str = "text",
               rebalance: bool = True) -> DataFrame:
     """Run ``fn`` on every page's ``text_col``; output doc_id, page_no, text, status, error.
 
     ``rebalance`` hash-partitions on (doc_id, page_no) first so the pages of
-    one large document are spread over all tasks.
+    one large document are spread over all tasks.  Without ``fn`` the text is
+    cleaned up (C10) by built-in functions.
     """
+    if fn is None:
+        return _cleaned(pages, ["doc_id", "page_no"], text_col)
     ship_package(pages.sparkSession)
     src = pages.select("doc_id", "page_no", text_col)
     if rebalance:
@@ -61,9 +68,11 @@ def map_pages(pages: DataFrame, fn: Callable[[str | None], str] = clean_page, te
     return src.mapInPandas(run, PAGE_OUT)
 
 
-def map_documents(docs: DataFrame, fn: Callable[[str | None], str] = clean_page,
+def map_documents(docs: DataFrame, fn: Callable[[str | None], str] | None = None,
                   text_col: str = "text") -> DataFrame:
-    """Run ``fn`` once per whole document; output doc_id, text, status, error."""
+    """Run ``fn`` once per whole document (default: clean-up as in X2); output doc_id, text, status, error."""
+    if fn is None:
+        return _cleaned(docs, ["doc_id"], text_col)
     ship_package(docs.sparkSession)
     src = docs.select("doc_id", text_col)
 

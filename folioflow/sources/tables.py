@@ -58,21 +58,21 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text"))
 
 
-def docs(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
-    """``v_docs``: doc_id, text.  ``variant='mangled'`` adds non-searchable rows.
+def docs(spark: SparkSession, sf_dir: str, variant: str = "plain", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``v_docs``: doc_id, text (and the columns of ``documents`` named in ``keep``).  ``variant='mangled'`` adds non-searchable rows.
 
     Mangled mapping (every row kept): empty text when doc_id % 7 = 0, else
     letters replaced by ``1`` when doc_id % 5 = 0; then `` a@b`` appended
     when doc_id % 3 = 0.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", *keep)
     if variant == "plain":
         return d
     base = (F.when(F.col("doc_id") % 7 == 0, F.lit(""))
              .when(F.col("doc_id") % 5 == 0, F.regexp_replace("text", "[A-Za-z]", "1"))
              .otherwise(F.col("text")))
     text = F.when(F.col("doc_id") % 3 == 0, F.concat(base, F.lit(" a@b"))).otherwise(base)
-    return d.select("doc_id", text.alias("text"))
+    return d.select("doc_id", text.alias("text"), *keep)
 
 
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
