@@ -195,3 +195,99 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint for a written table of at most ``max_rows`` narrow rows, else the table as it is."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+# ---- groups of similar rows from candidate buckets -----------------------------------------
+
+def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, first_table, confirm, *,
+                  extra: DataFrame | None = None, bound=None, fits=None, name: str = "groups", rounds: int = 2,
+                  small: int = 8) -> DataFrame:
+    """``id, component_id`` of all ids that a confirmed link joins with another one.
+
+    ``buckets`` has a row per id and bucket: ``key`` columns, ``tab`` (number of
+    the bucket's table), ``id``, ``size`` (rows of the bucket) and ``carry``
+    columns.  All pairs within a bucket are candidates, but few are compared:
+
+    * the members of a bucket with its most central member (the one that shares
+      the most bucket rows), then, in ``rounds``, members of other components
+      with some member of the bucket's largest component, another one each time;
+    * at the end all pairs that are still in different components and were not
+      compared, each pair in its first common bucket.  No pair is left out.
+
+    ``may(x, y)`` and ``first_table(x, y)`` are conditions on two rows, given as
+    functions from a column name to a column; ``confirm(pairs)`` returns the
+    pairs ``a, b`` that are links.  ``extra`` has more columns by ``id`` for
+    ``first_table``.  ``bound(members)`` may return, for ``members(id, family)``
+    of the larger buckets (families are connected by buckets), a column ``s`` by
+    ``id`` and pairs ``a, b``: of the pairs in larger buckets only those with
+    ``fits(x, y)`` on ``s``, and the returned ones, can then be links.
+    """
+    mine, other = (lambda c: F.col(c)), (lambda c: F.col("p_" + c))
+    named = lambda df: df.select(*key, *[F.col(c).alias("p_" + c) for c in df.columns if c not in key])
+    ordered = [F.greatest("id", "p_id").alias("a"), F.least("id", "p_id").alias("b")]
+
+    central = buckets.groupBy("id").agg(F.sum("size").alias("c"))
+    best = buckets.join(central, "id").groupBy(*key).agg(F.max(F.struct("c", "id", *carry)).alias("m"))
+    centers = best.select(*key, *[F.col(f"m.{c}").alias("p_" + c) for c in ("id", *carry)])
+    tested = written(buckets.join(centers, key).where((F.col("id") != F.col("p_id")) & may(mine, other)).select(
+        *ordered).distinct(), f"{name}_pairs")
+    state = written(buckets.where("size > 2").withColumn("comp", F.col("id")), f"{name}_state")
+    whole = buckets.select("id").distinct().withColumn("comp", F.col("id"))
+
+    def merged(links: DataFrame, of: DataFrame) -> DataFrame:
+        """Components of the components: ``comp, component_id``."""
+        low = of.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
+        high = of.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+        edges = links.join(low, "a").join(high, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        return components(edges, f"{name}_components").withColumnRenamed("id", "comp")
+
+    def moved(df: DataFrame, to: DataFrame) -> DataFrame:
+        return df.join(to, "comp", "left").withColumn("comp", F.coalesce("component_id", "comp")).drop("component_id")
+
+    def still_open(df: DataFrame) -> DataFrame:
+        keys = df.groupBy(*key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(*key)
+        return df.join(keys, key, "left_semi")
+
+    links = written(confirm(tested), f"{name}_links")
+    to = merged(links, whole)
+    whole = written(moved(whole, to), f"{name}_members")
+    state = written(still_open(moved(state, to)), f"{name}_state")
+    for k in range(rounds):
+        sizes = whole.groupBy("comp").agg(F.count(F.lit(1)).alias("_of"))
+        ranked = state.where(F.col("size") > small).join(sizes, "comp")
+        partner = ranked.groupBy(*key).agg(F.max(F.struct(
+            "_of", F.xxhash64("id", *key, F.lit(k)).alias("_turn"), "id", "comp", *carry)).alias("m"))
+        partner = partner.select(*key, *[F.col(f"m.{c}").alias("p_" + c) for c in ("id", "comp", *carry)])
+        pairs = written(state.join(partner, key).where((F.col("comp") != F.col("p_comp")) & may(mine, other)).select(
+            *ordered).distinct().join(tested, ["a", "b"], "left_anti"), f"{name}_pairs")
+        if pairs.isEmpty():
+            break
+        tested = tested.union(pairs)
+        links = written(confirm(pairs), f"{name}_links")
+        if links.isEmpty():
+            continue
+        to = merged(links, whole)
+        whole = written(moved(whole, to), f"{name}_members")
+        state = written(still_open(moved(state, to)), f"{name}_state")
+    rest = state.join(extra, "id") if extra is not None else state
+    able = F.lit(True)
+    if bound is not None:
+        large = state.where(F.col("size") > small)
+        low = large.groupBy(*key).agg(F.min("id").alias("b"))
+        family = components(large.join(low, key).select(F.col("id").alias("a"), "b"), f"{name}_families")
+        most, near = bound(family.withColumnRenamed("component_id", "family"))
+        rest = rest.join(written(most, f"{name}_bounds"), "id", "left")
+        able = (F.col("size") <= small) | fits(mine, other)
+    pairs = rest.join(named(rest), key).where(
+        (F.col("id") > F.col("p_id")) & (F.col("comp") != F.col("p_comp")) & may(mine, other) & able
+        & (F.col("tab") == first_table(mine, other))).select(*ordered)
+    if bound is not None:
+        of = whole.select("id", "comp")
+        apart = near.join(of.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(
+            of.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b").where("ca <> cb").select("a", "b")
+        pairs = pairs.union(apart).distinct()
+    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), f"{name}_rest")
+    if not pairs.isEmpty():
+        whole = moved(whole, merged(written(confirm(pairs), f"{name}_links"), whole))
+    linked = whole.groupBy("comp").agg(F.count(F.lit(1)).alias("_of")).where("_of > 1").select("comp")
+    return whole.join(linked, "comp", "left_semi").select("id", F.col("comp").alias("component_id"))

@@ -5,11 +5,9 @@
    table key is a pair of one value from either collection, so
    ``half_keys ** 2`` tables need only ``2 * half_keys * rows`` MinHash values.
 2. Texts with equal sets form one class; only class representatives go on.
-3. Representatives that share a table key are candidates.  In each bucket they
-   are compared with the bucket's most central member (the one that shares the
-   most buckets), so a group of copies costs as many comparisons as members.
-   Members still in another component than the rest of their bucket are then
-   compared with each other, each pair once, in its first common bucket.
+3. Representatives that share a table key are candidates.  ``linked_groups``
+   compares them with central members first, so a group of copies costs about as
+   many comparisons as members, and skips only pairs that are connected already.
 4. Every candidate pair is confirmed on the full sets; components follow from
    the confirmed pairs.
 
@@ -26,15 +24,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, SPACES, byte_slices, components, map_arrow, mix, prefix_hash, range_hash, signed, split_words,
+from .common import (LOWER, SPACES, byte_slices, linked_groups, map_arrow, mix, prefix_hash, range_hash, signed, split_words,
                      written)
 
 WORDS = 5
 PERCENT = 80
 HALF_KEYS, ROWS = 10, 2
+#: a shingle of so few members of a family, or fewer, is rare (only the amount of work depends on it)
+RARE = 8
 
 _FOLD = np.uint64(0x9DDFEA08EB382D69)
 
@@ -142,6 +143,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), run, f"a {key}, b {key}")
 
 
+def _shared_sizes(sets: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bounds on what members of a family can share: ``id, s`` and pairs ``a, b``.
+
+    A shingle that at most ``RARE`` members of a family have is rare.  Two
+    members that share a rare shingle are returned as a pair; two others share
+    at most ``s`` shingles, the number of shingles that are not rare.
+    """
+    key = members.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            items = batch.column(2).combine_chunks() if isinstance(batch.column(2), pa.ChunkedArray) else batch.column(2)
+            n = pa.compute.binary_length(items).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+            for lo in range(0, len(n), 512):
+                part = np.arange(lo, min(lo + 512, len(n)))
+                row = np.repeat(part, n[part])
+                x = np.frombuffer(b"".join(items[int(k)].as_py() for k in part), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(x)], ["id", "family", "x"])
+
+    rows = written(map_arrow(members.join(sets, "id").select("id", "family", "items"), run,
+                             f"id {key}, family {key}, x long"), "family_shingles")
+    few = rows.groupBy("family", "x").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= RARE)
+    rare = written(rows.join(few, ["family", "x"]), "rare_shingles")
+    unshared = rare.groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    size = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    most = size.join(unshared, "id", "left").select("id", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
+    # at most RARE ids in a list
+    owners = rare.where("c > 1").groupBy("family", "x").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    low = owners.select("ids", F.posexplode("ids").alias("k", "b"))
+    pairs = low.select("b", F.explode(F.slice("ids", F.col("k") + 2, RARE)).alias("a")).select("a", "b").distinct()
+    return most, pairs
+
+
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, half_keys: int = HALF_KEYS,
                     rows: int = ROWS) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
@@ -158,38 +193,23 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = written(keyed.join(shared, "key"), "buckets")
 
-    # each bucket's most central member, and the pairs with it
-    central = buckets.groupBy("id").agg(F.sum("size").alias("c"))
-    centers = buckets.join(central, "id").groupBy("key").agg(
-        F.max(F.struct("c", (-F.col("id")).alias("neg"), "n")).alias("m")).select(
-        "key", (-F.col("m.neg")).alias("center"), F.col("m.n").alias("m"))
-    alike = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    pairs = written(buckets.join(centers, "key").where(
-        (F.col("id") != F.col("center")) & alike(F.col("n"), F.col("m"))).select(
-        F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct(), "center_pairs")
     members = buckets.select("id").distinct()
     sets = written(_sets(docs, members, words), "sets")
-    good = written(_confirmed(pairs, sets, percent), "center_links")
-    comp = components(good, "center_components")
-
-    # buckets that still span several components: all their cross pairs, each in its first common bucket
-    state = written(buckets.join(comp, "id", "left").withColumn(
-        "comp", F.coalesce("component_id", "id")).drop("component_id"), "bucket_state")
-    open_keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-        "lo < hi").select("key")
-    rest = state.join(open_keys, "key", "left_semi").join(classes.select("id", "a", "b"), "id")
-    left = rest.select("key", "tab", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"),
-                       F.col("a").alias("xa"), F.col("b").alias("ya"))
-    right = rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
-                        F.col("a").alias("xb"), F.col("b").alias("yb"))
-    first = lambda x, y: F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
-    cross = left.join(right, (left["key"] == right["key"]) & (left["a"] > right["b"]) & (left["ca"] != right["cb"])
-                      & alike(left["na"], right["nb"])
-                      & (left["tab"] == first(left["xa"], right["xb"]) * half_keys + first(left["ya"], right["yb"])))
-    more = cross.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = written(good.union(_confirmed(more, sets, percent)), "links")
-    comp = components(links)
 
+    def alike(x, y):
+        return 100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n"))
+
+    def first_table(x, y):
+        place = lambda c: F.array_position(F.zip_with(x(c), y(c), lambda p, q: p == q), True) - 1
+        return place("a") * half_keys + place("b")
+
+    def fits(x, y):
+        most = F.least(x("s"), y("s"))
+        return 100 * most >= percent * (x("n") + y("n") - most)
+
+    comp = linked_groups(buckets, ["key"], ["n"], alike, first_table, lambda pairs: _confirmed(pairs, sets, percent),
+                         extra=classes.select("id", "a", "b"), bound=lambda members: _shared_sizes(sets, members),
+                         fits=fits, name="near")
     found = classes.join(comp, "id", "left").select(
         "h1", "h2", "n", F.coalesce("component_id", "id").alias("component_id"))
     return signed_docs.join(found, ["h1", "h2", "n"], "left").select(

@@ -60,6 +60,27 @@ def test_near_duplicates_bad_center(spark):
     assert got == brute_components(rows, 2) and set(got.values()) == {0}
 
 
+def test_near_duplicates_large_family(spark):
+    """Many close copies, copies that are too far from all others, and some that only a far copy reaches."""
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(150)]
+
+    def copy(of, edits, tag):
+        out = list(of)
+        for k in rng.choice(len(out), edits, replace=False):
+            out[k] = f"{tag}x{k}"
+        return out
+    texts = [copy(base, int(rng.integers(0, 5)), f"a{k}") for k in range(40)]
+    far = [copy(base, 14, f"b{k}") for k in range(20)]
+    texts += far + [copy(f, 3, f"c{k}") for k, f in enumerate(far[:10])]
+    order = rng.permutation(len(texts))
+    rows = [(int(i), " ".join(t)) for i, t in zip(order, texts)]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                                  words=2).collect()}
+    want = brute_components(rows, 2)
+    assert got == want and len(set(want.values())) > 10
+
+
 def test_near_duplicates_filter(wide_docs, empty_docs, corpus):
     kept = drop_near_duplicates(wide_docs)
     assert kept.columns == wide_docs.columns
