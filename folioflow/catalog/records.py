@@ -351,10 +351,11 @@ def read_ink_report(spark, sf_dir):
     """S4 + C11: per-page ink from report lines (header lines skipped; index by position)."""
     p = T.pages(spark, sf_dir)
     ink = F.concat_ws(" ", F.lit(""), *[F.col("ink")[i].cast("string") for i in range(4)], F.lit("CMYK OK"))
-    lines = p.select("doc_id", (F.col("page_no") * 2).alias("line_no"), ink.alias("line")).unionByName(
-        p.select("doc_id", (F.col("page_no") * 2 - 1).alias("line_no"),
-                 F.concat(F.lit("Page "), F.col("page_no").cast("string")).alias("line")))
-    r = images.parse_ink_lines(lines.withColumn("line_no", F.col("line_no").cast("int")))
+    # two lines per page from one read: a header and the page's ink
+    line = lambda at, text: F.struct(at.cast("int").alias("line_no"), text.alias("line"))
+    lines = p.select("doc_id", F.inline(F.array(
+        line(F.col("page_no") * 2 - 1, F.concat(F.lit("Page "), F.col("page_no").cast("string"))), line(F.col("page_no") * 2, ink))))
+    r = images.parse_ink_lines(lines)
     return r.select("doc_id", "page_idx", F.col("ink")[0].alias("c"), F.col("ink")[1].alias("m"),
                     F.col("ink")[2].alias("y"))
 
