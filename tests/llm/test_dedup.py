@@ -198,3 +198,25 @@ def test_lines_against_exact_rule(docs, corpus, wide_docs, empty_docs):
 def test_lines_are_native(docs, scratch):
     plan = dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_lines_with_small_edits(spark):
+    """Lines of 5 to 50 words with one word, one letter or a few letters changed go; others stay."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    rows, kinds = [], []
+    for n in range(5, 51):
+        for kind in ("word", "letter", "letters"):
+            line = [word() for _ in range(n)]
+            other, k = list(line), int(rng.integers(n))
+            if kind == "word":
+                other[k] = word()
+            for j in {"word": [], "letter": [k]}.get(kind, range(0, n, 5)):
+                other[j] = other[j][:2] + "0" + other[j][3:]
+            kinds.append(kind)
+            rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == t for i, t in rows if i % 2 == 0)
+    for kind in set(kinds):
+        gone = [got[2 * k + 1] == "" for k, x in enumerate(kinds) if x == kind]
+        assert np.mean(gone) >= 0.95, kind
