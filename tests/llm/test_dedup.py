@@ -220,3 +220,16 @@ def test_lines_with_small_edits(spark):
     for kind in set(kinds):
         gone = [got[2 * k + 1] == "" for k, x in enumerate(kinds) if x == kind]
         assert np.mean(gone) >= 0.95, kind
+
+
+def test_long_lines_in_order(spark):
+    """Long lines over one vocabulary stay; a long line with many small typing errors goes."""
+    rng = np.random.default_rng(6)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(200)]
+    share = 1 / np.arange(1, 201)
+    text = lambda: " ".join(rng.choice(vocabulary, 3000, p=share / share.sum()))
+    own = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(1500)]
+    typed = [w[:2] + "0" + w[3:] if k % 4 == 0 else w for k, w in enumerate(own)]
+    rows = [(0, text()), (1, text()), (2, text()), (3, " ".join(own)), (4, " ".join(typed))]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(rows), 4: ""}
