@@ -7,8 +7,8 @@
    number does not grow with the corpus.
 2. Matching: the entries form a trie; the Levenshtein automaton of a bounded
    number of edits is run on it as one lazily built deterministic automaton, so
-   a word costs one step per letter.  Misspellings that also stand in clean
-   training documents are learned as exceptions.
+   a word costs one step per letter.  Misspellings that stand in a share of the
+   clean training documents, and are likelier there, are learned as exceptions.
 3. Context: a match inside quotation marks or next to reporting words counts
    less, next to words of address more.
 4. A logistic regression on the strongest match, their sum and their rate is
@@ -37,9 +37,10 @@ from .fitting import Logistic
 MAX_FIT = 10_000
 MIN_SHARE = 0.0008
 MIN_COUNT = 4
+#: documents, and share of the clean documents, from which a misspelling can be an exception
+MIN_CLEAN, MIN_CLEAN_SHARE = 2, 0.0005
 MIN_WEIGHT = 2.5
 STEMS = (4, 5, 6)
-MAX_ENTRIES = 3_000
 MAX_BROADCAST_ROWS = 500_000
 #: weight of a match per edit, and of the kinds of context
 PER_EDIT = 0.6
@@ -325,21 +326,31 @@ def _features(docs: DataFrame, automaton: Automaton) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text", "label"), run, schema)
 
 
-def _exceptions(clean: DataFrame, automaton: Automaton) -> frozenset[str]:
-    """Words of clean training documents that the automaton takes for misspellings."""
+def _exceptions(rows: DataFrame, automaton: Automaton, n_bad: int, n_good: int) -> frozenset[str]:
+    """Words that the automaton takes for misspellings, but whose odds in the training documents speak for clean."""
     def run(batches):
         matcher = Matcher(automaton)
         for batch in batches:
-            for _, _, data, offsets in _slices(batch.column(0)):
-                starts, ends, _ = _tokens(data, offsets)
-                _, value, edit = matcher.strengths(data, starts, ends)
+            for i, j, data, offsets in _slices(batch.column(0)):
+                starts, ends, doc = _tokens(data, offsets)
+                key, value, edit = matcher.strengths(data, starts, ends)
                 k = np.flatnonzero((value > 0) & (edit > 0))
+                k = k[_distinct(doc[k], key[k])]
+                bad = batch.column(1).slice(i, j - i).to_numpy(zero_copy_only=False)[doc[k]] == 1
                 raw = data.tobytes()
-                words = {raw[a:b].decode(errors="replace") for a, b in zip(starts[k].tolist(), ends[k].tolist())}
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(words), pa.string())], ["word"])
+                words = [raw[a:b].decode(errors="replace") for a, b in zip(starts[k].tolist(), ends[k].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.string()), pa.array(bad.astype(np.int64)), pa.array((~bad).astype(np.int64))],
+                    ["word", "pos", "neg"])
 
-    # bounded by the entries' edit neighbourhoods, not by the corpus
-    return frozenset(r["word"] for r in map_arrow(clean.select("text"), run, "word string").distinct().collect())
+    # words in a share of the clean documents: their number does not grow with the corpus
+    found = map_arrow(rows.where("label IS NOT NULL").select("text", "label"), run, "word string, pos long, neg long").groupBy(
+        "word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    often = found.where(F.col("neg") >= max(MIN_CLEAN, MIN_CLEAN_SHARE * n_good))
+    # smoothed by one document, divided between the classes by their size
+    share = n_bad / (n_bad + n_good)
+    for_clean = (F.col("pos") + share) / n_bad < (F.col("neg") + 1 - share) / n_good
+    return frozenset(r["word"] for r in often.where(for_clean).select("word").collect())
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", held_out_mod: int = 5,
@@ -364,9 +375,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     if terms:
         pos, neg = np.array([n for _, n in terms]), _clean_counts(clean, [t for t, _ in terms])
         odds = np.log((pos + 0.5) / (n_bad + 1)) - np.log((neg + 0.5) / (n_good + 1))
-        order = [k for k in np.argsort(-odds * np.sqrt(pos)) if odds[k] >= MIN_WEIGHT][:MAX_ENTRIES]
+        order = [k for k in np.argsort(-odds * np.sqrt(pos)) if odds[k] >= MIN_WEIGHT]
         weights = {terms[k][0]: float(odds[k]) for k in order}
-    exceptions = _exceptions(clean, Automaton(weights))
+    exceptions = _exceptions(rows, Automaton(weights), n_bad, n_good)
     table = written(_features(rows, Automaton(weights, exceptions)), "toxic_features")
     pick = lambda y: table.where(F.col("label") == y).orderBy(
         F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_fit).collect()

@@ -206,6 +206,28 @@ def test_toxicity(spark, docs, empty_docs, corpus):
     assert toxicity.toxicity_scores(docs, known).count() == len(corpus)
 
 
+def test_misspellings_in_clean_documents(spark):
+    """One clean document does not switch a misspelling off, many do; a lexicon has no fixed size."""
+    from tests_llm_prose import prose
+    rng = random.Random(9)
+    three = [a + b + c for a in "bcdfghjklmnpqrstvwxyz" for b in "0123456789aeiou" for c in "bcdfghjklmnp"][:3500]
+    rows, labels = [], []
+    for k in range(900):
+        w = prose(rng, 60).split(" ")
+        if k % 3 == 0:
+            w += ["worthless", "disgusting"] + rng.sample(three, 200)
+        elif k == 1 or k % 2:
+            w[5] = "vorthless" if k == 1 else "disgustine"
+        rows.append((k, " ".join(w)))
+        labels.append((k, int(k % 3 == 0)))
+    assert zlib.crc32(b"1") % 5 != 0
+    rows += [(2000, "x y vorthless z"), (2001, "x y disgustine z"), (2002, "x y z")] + [(3000 + k, "x y " + w) for k, w in enumerate(three)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert got[2000] > got[2002] and got[2001] == got[2002]
+    assert np.mean([got[3000 + k] > got[2002] for k in range(len(three))]) >= 0.99
+
+
 # ---- html ----------------------------------------------------------------------------------
 
 @pytest.fixture(scope="session")
