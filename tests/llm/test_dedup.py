@@ -233,3 +233,15 @@ def test_long_lines_in_order(spark):
     rows = [(0, text()), (1, text()), (2, text()), (3, " ".join(own)), (4, " ".join(typed))]
     got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {**dict(rows), 4: ""}
+
+
+def test_lines_of_few_words(spark):
+    """Lines without spaces and boilerplate of few words go by their bytes; very short lines stay."""
+    rng = np.random.default_rng(7)
+    chinese = "".join(chr(c) for c in rng.integers(0x4E00, 0x9000, 60)) + "\u3002"
+    thai = "".join(chr(c) for c in rng.integers(0x0E01, 0x0E2F, 60))
+    few = "Subscribe newsletter, privacy policy"
+    rows = [(0, f"{chinese}\n{few}\n{thai}\nread more"), (1, f"{few.upper()}\nread more"), (2, chinese),
+            (3, chinese[:30] + "\u4e00" + chinese[31:]), (4, thai[:20] + thai[21:]), (5, chinese[::-1])]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: "read more", 2: "", 3: "", 4: "", 5: rows[5][1]}
