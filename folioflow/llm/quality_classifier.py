@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, byte_class, byte_slices, map_arrow, prefix_hash, range_hash, split_words, written
@@ -100,8 +100,14 @@ def meta_features(source: list, lang: list, n_chars: list) -> np.ndarray:
 N_TEXT = 2 * (N_KINDS + 8) + 1
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """Hash of what a row is judged by."""
+    read = [docs["text"], docs["source"].cast("string"), docs["lang"].cast("string"), docs["n_chars"].cast("long")]
+    return F.xxhash64(*[x for c in read for x in (c, c.isNull())])
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, x``: text features followed by metadata features."""
+    """``doc_id, x, row``: text features followed by metadata features, and the row's key."""
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -111,11 +117,12 @@ def features(docs: DataFrame) -> DataFrame:
                 x = np.hstack([text_features(data, offsets), meta_features(*meta)]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).ravel()))],
-                    ["doc_id", "x"])
+                        pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).ravel())),
+                     batch.column(5).slice(i, j - i)], ["doc_id", "x", "row"])
 
     return map_arrow(docs.select("doc_id", "text", F.col("source").cast("string"), F.col("lang").cast("string"),
-                                 F.col("n_chars").cast("long")), run, f"doc_id {key}, x array<float>")
+                                 F.col("n_chars").cast("long"), _row_key(docs).alias("row")), run,
+                     f"doc_id {key}, x array<float>, row long")
 
 
 def _threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray, loss_weight: float) -> float:
@@ -149,14 +156,19 @@ def _scored(table: DataFrame, views: dict, extra: str = "") -> DataFrame:
     return map_arrow(table, run, f"{schema}, t double, m double")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_labelled: int = MAX_LABELLED,
-                   max_pseudo: int = MAX_PSEUDO, rounds: int = ROUNDS, confident: float = CONFIDENT,
-                   loss_weight: float = LOSS_WEIGHT) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """One row per document: ``doc_id, text_score, meta_score, score, kept``."""
+    return _row_scores(docs, labels, **options).drop("row")
+
+
+def _row_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_labelled: int = MAX_LABELLED,
+                max_pseudo: int = MAX_PSEUDO, rounds: int = ROUNDS, confident: float = CONFIDENT,
+                loss_weight: float = LOSS_WEIGHT) -> DataFrame:
+    """One row per document: ``doc_id, row, text_score, meta_score, score, kept``."""
     known = labels.where(f"doc_id IS NOT NULL AND {label} IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(
         (F.avg(label) >= 0.5).cast("int").alias("label"))
     table = features(docs)
-    table = written(table.join(known, table["doc_id"] == known["_doc"], "left").select("doc_id", "x", "label"),
+    table = written(table.join(known, table["doc_id"] == known["_doc"], "left").select("doc_id", "x", "row", "label"),
                     "quality_features")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     pick = lambda df, n: df.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(n).collect()
@@ -166,7 +178,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
     held = np.array([r["fold"] == 0 for r in rows], bool)
     if len(rows) == 0 or any(len(np.unique(y[k])) < 2 for k in (held, ~held)):
         half = F.lit(0.5).cast("double")
-        return table.select("doc_id", half.alias("text_score"), half.alias("meta_score"), half.alias("score"),
+        return table.select("doc_id", "row", half.alias("text_score"), half.alias("meta_score"), half.alias("score"),
                             F.lit(True).alias("kept"))
     x = _matrix(rows)
     # the sample is drawn by class; weights restore the classes' shares
@@ -197,12 +209,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
                       + views["cal_m"].logit(views["meta"].logit(z[:, N_TEXT:])) - prior)
     threshold = _threshold(sigmoid(both(x[held])), y[held], weight[held], loss_weight)
     prob = lambda z: 1 / (1 + F.exp(-z))
-    return _scored(table.select("doc_id", "x"), views).select(
-        "doc_id", prob(F.col("t")).alias("text_score"), prob(F.col("m")).alias("meta_score"),
+    return _scored(table.select("doc_id", "row", "x"), views).select(
+        "doc_id", "row", prob(F.col("t")).alias("text_score"), prob(F.col("m")).alias("meta_score"),
         prob(F.col("t") + F.col("m") - F.lit(prior)).alias("score")).withColumn("kept", F.col("score") >= threshold)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps; rows of one ``doc_id`` stay together."""
-    bad = quality_scores(docs, labels, **options).where("NOT kept").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` that the classifier keeps; each row goes by its own score, whatever its ``doc_id``."""
+    bad = _row_scores(docs, labels, **options).where("NOT kept").select(
+        F.col("doc_id").alias("_bad"), F.col("row").alias("_bad_row")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]) & (_row_key(docs) == bad["_bad_row"]), "left_anti")

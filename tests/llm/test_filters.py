@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.llm import html_extraction, html_training, quality_classifier, toxicity
 from folioflow.llm.decontamination import decontaminate, find_contamination, search, write_index
@@ -143,6 +144,19 @@ def test_quality_filter_keeps_columns(wide_docs, labelled):
     assert out.columns == wide_docs.columns
 
 
+def test_filters_judge_rows_not_ids(spark, labelled, items):
+    """A rejected or contaminated row takes no other row of its null or repeated ``doc_id`` along."""
+    table, labels = labelled
+    some = table.where("doc_id IN (1, 2, 3, 5, 10)").withColumn("was", F.col("doc_id"))
+    for same in (None, 7000):
+        rows = table.withColumn("was", F.col("doc_id")).union(some.withColumn("doc_id", F.lit(same).cast("long")))
+        kept = quality_classifier.keep_good(rows, labels).where(F.col("doc_id").eqNullSafe(F.lit(same).cast("long"))).collect()
+        assert sorted(r["was"] for r in kept) == [1, 2, 3]
+        passage = items[0][0][1]
+        docs = spark.createDataFrame([(same, "clean words"), (same, passage), (same, None), (9, passage)], "doc_id long, text string")
+        assert sorted(str(r["text"]) for r in decontaminate(docs, items[1]).collect()) == ["None", "clean words"]
+
+
 # ---- toxicity ------------------------------------------------------------------------------
 
 def edit_distance(a, b):
