@@ -24,6 +24,8 @@ each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +71,12 @@ def write_index(docs: DataFrame, path: str) -> None:
                      pa.array([counts.astype("<u4").tobytes()], pa.binary()),
                      pa.array([ranked[first].astype("<u8").tobytes()], pa.binary()),
                      pa.array([first.astype("<u4").tobytes()], pa.binary()),
-                     pa.array([delta.astype("<u4").tobytes()], pa.binary())],
-                    ["doc_ids", "words", "terms", "starts", "postings"])
+                     pa.array([delta.astype("<u4").tobytes()], pa.binary()),
+                     pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64())],
+                    ["doc_ids", "words", "terms", "starts", "postings", "block"])
 
     map_arrow(docs.select("doc_id", "text"), run,
-              f"doc_ids array<{key}>, words binary, terms binary, starts binary, postings binary"
+              f"doc_ids array<{key}>, words binary, terms binary, starts binary, postings binary, block long"
               ).write.option("compression", "zstd").parquet(path)
 
 
@@ -250,12 +253,14 @@ def _search(index: DataFrame, w: Windows, item_type, slop: int | None) -> DataFr
                     [batch.column(0)[i].values, pa.array(block.words, pa.int64()), pa.array(n_hit, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.StructArray.from_arrays(
                          [items.take(pa.array([s[0] for s in flat], pa.int64())), pa.array([s[1] for s in flat], pa.int32()),
-                          pa.array([s[2] for s in flat], pa.int32())], ["item_id", "start", "length"]))],
-                    ["doc_id", "n_words", "n_hit", "spans"])
+                          pa.array([s[2] for s in flat], pa.int32())], ["item_id", "start", "length"])),
+                     pa.array(np.full(len(block.words), batch.column(5)[i].as_py(), np.int64)),
+                     pa.array(np.arange(len(block.words), dtype=np.int32))],
+                    ["doc_id", "n_words", "n_hit", "spans", "block", "place"])
 
-    return map_arrow(index.select("doc_ids", "words", "terms", "starts", "postings"), run,
+    return map_arrow(index.select("doc_ids", "words", "terms", "starts", "postings", "block"), run,
                      f"doc_id {key}, n_words long, n_hit long, "
-                     f"spans array<struct<item_id:{item_type.simpleString()},start:int,length:int>>")
+                     f"spans array<struct<item_id:{item_type.simpleString()},start:int,length:int>>, block long, place int")
 
 
 def search(spark: SparkSession, path: str, items: DataFrame, *, width: int = WINDOW, proximity: int | None = None,
@@ -275,16 +280,17 @@ def search(spark: SparkSession, path: str, items: DataFrame, *, width: int = WIN
         one = _search(index, w, item_type, proximity)
         if found is None:
             found = one
-        else:                                        # a benchmark of several slices: gather a document's spans
-            rows = found.union(one).withColumn("spans", F.col("spans"))
-            found = rows.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
-                "doc_id", "n_words", _covered("spans").alias("n_hit"), "spans")
+        else:                                        # a benchmark of several slices: gather the spans of each indexed row
+            found = found.union(one).groupBy("block", "place").agg(
+                F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+                F.flatten(F.collect_list("spans")).alias("spans")).select(
+                "doc_id", "n_words", _covered("spans").alias("n_hit"), "spans", "block", "place")
     if found is None:
         w = Windows([(None, np.zeros(1, np.uint64))], width)
         w.of = [set()]
         w.items = []
         found = _search(index, w, item_type, proximity)
-    return found
+    return found.drop("block", "place")
 
 
 def _covered(spans: str):

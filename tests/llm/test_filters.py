@@ -67,6 +67,18 @@ def test_decontamination_filter(spark, wide_docs, empty_docs, corpus, items):
     assert decontaminate(wide_docs, none).count() == len(corpus)
 
 
+def test_slices_keep_rows_apart(spark, scratch):
+    """Repeated rows, and rows of one id and word count, are reported once each for any number of slices."""
+    a, b = " ".join(f"a{k}" for k in range(12)), " ".join(f"b{k}" for k in range(12))
+    rows = [(1, a), (1, a), (1, b), (None, a), (None, " ".join(f"c{k}" for k in range(12)))]
+    write_index(spark.createDataFrame(rows, "doc_id long, text string"), scratch + "/index")
+    items = spark.createDataFrame([(1, a), (2, b)], "item_id long, text string")
+    for size in (1_000_000, 12):
+        got = search(spark, scratch + "/index", items, max_slice_words=size).collect()
+        assert sorted((r["doc_id"] or 0, r["n_hit"], *{s["item_id"] for s in r["spans"]}) for r in got) == [
+            (0, 0), (0, 12, 1), (1, 12, 1), (1, 12, 1), (1, 12, 2)]
+
+
 def test_proximity(spark, scratch):
     docs = spark.createDataFrame([(1, "red x x green blue"), (2, "red " + "x " * 30 + "green blue"), (3, "blue green red")],
                                  "doc_id long, text string")
