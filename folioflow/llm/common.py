@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.session import ship_package
@@ -291,3 +291,25 @@ def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, fir
         whole = moved(whole, merged(written(confirm(pairs), f"{name}_links"), whole))
     linked = whole.groupBy("comp").agg(F.count(F.lit(1)).alias("_of")).where("_of > 1").select("comp")
     return whole.join(linked, "comp", "left_semi").select("id", F.col("comp").alias("component_id"))
+
+
+# ---- places in a global order --------------------------------------------------------------
+
+def numbered(df: DataFrame, part: str, order: list[str], name: str) -> DataFrame:
+    """The rows of ``df`` (a written table) with ``idx`` (place in their part, from 0) and ``n`` (rows of the part).
+
+    Rows are dealt by ranges of part, order and, so that equal rows spread too,
+    their place in the table.  A sorted partition numbers its own rows; the rows
+    of each part before it come from one count per partition and part.
+    """
+    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [part, *order, "_at"]
+    placed = written(df.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(shards, *keys)
+                     .sortWithinPartitions(*keys).drop("_at").withColumn("_m", F.monotonically_increasing_id()), name)
+    shard = F.shiftright("_m", 33).alias("_shard")
+    counts = written(placed.groupBy(shard, part).agg(F.min("_m").alias("_lo"), F.count(F.lit(1)).alias("_c")), f"{name}_counts")
+    before = Window.partitionBy(part).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_shard", part, "_lo", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_base"),
+                          F.sum("_c").over(Window.partitionBy(part)).alias("n"))
+    return placed.withColumn("_shard", F.shiftright("_m", 33)).join(bases, ["_shard", part]).withColumn(
+        "idx", F.col("_base") + F.col("_m") - F.col("_lo")).drop("_shard", "_m", "_lo", "_base")

@@ -171,3 +171,63 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import cut
     return cut(documents(spark, sf_dir))
+
+
+_CRC32_SQL = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(TEXT, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, d: list_reduce(list_concat([xor(c, d)], [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))))"""
+
+_OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, F(doc_id) || F(source) || F(lang) AS head, n_chars, F(text) AS tail,
+    CASE WHEN doc_id IS NULL THEN false ELSE CRC % 7 = 0 END AS tampered FROM documents),
+l AS (SELECT *, sha256(head || F(n_chars) || tail) AS leaf, sha256(head || F(n_chars + tampered::INT) || tail) AS changed FROM d),
+-- a forest climbed node by node: tree 0 is that of a part, tree 1 the one over the parts
+t0 AS (SELECT 0 AS lev, coalesce('1' || lang, '0') AS part, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k,
+    count(*) OVER (PARTITION BY lang) AS n, leaf AS h FROM l),
+up0 AS (SELECT * FROM t0 UNION ALL
+  SELECT DISTINCT lev + 1, part, k // 2, (n + 1) // 2,
+    sha256(string_agg(h, '' ORDER BY k) OVER (PARTITION BY part, k // 2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM up0 WHERE n > 1),
+s AS (SELECT part, h AS subroot, lev AS height FROM up0 WHERE n = 1),
+t1 AS (SELECT 0 AS lev, row_number() OVER (ORDER BY part) - 1 AS k, count(*) OVER () AS n, subroot AS h FROM s),
+up1 AS (SELECT * FROM t1 UNION ALL
+  SELECT DISTINCT lev + 1, k // 2, (n + 1) // 2,
+    sha256(string_agg(h, '' ORDER BY k) OVER (PARTITION BY k // 2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM up1 WHERE n > 1),
+root AS (SELECT h AS root FROM up1 WHERE n = 1),
+p AS (SELECT part, subroot, height, row_number() OVER (ORDER BY part) - 1 AS place FROM s),
+place AS (SELECT l.*, coalesce('1' || lang, '0') AS part, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM l),
+-- the siblings of a row's nodes, lowest first, and the fold of the changed leaf
+nodes AS (SELECT 0 AS tree, part, lev, k, n, h FROM up0 UNION ALL SELECT 1, '', lev, k, n, h FROM up1),
+fold AS (
+  SELECT r, 0 AS tree, 0 AS lev, part AS own, k, CASE WHEN tampered THEN changed ELSE leaf END AS h, '' AS proof, false AS done FROM place
+  UNION ALL
+  SELECT f.r, CASE WHEN a.n > 1 THEN f.tree ELSE f.tree + 1 END, CASE WHEN a.n > 1 THEN f.lev + 1 ELSE 0 END, f.own,
+    CASE WHEN a.n > 1 THEN f.k // 2 ELSE p.place END,
+    CASE WHEN a.n > 1 THEN CASE WHEN b.h IS NULL THEN sha256(f.h) WHEN f.k % 2 = 0 THEN sha256(f.h || b.h) ELSE sha256(b.h || f.h) END ELSE f.h END,
+    CASE WHEN a.n > 1 THEN f.proof || coalesce(b.h, '') ELSE f.proof END, f.tree = 1 AND a.n = 1
+  FROM fold f JOIN p ON p.part = f.own
+  JOIN nodes a ON a.tree = f.tree AND a.part = CASE WHEN f.tree = 0 THEN f.own ELSE '' END AND a.lev = f.lev AND a.k = f.k
+  LEFT JOIN nodes b ON b.tree = a.tree AND b.part = a.part AND b.lev = a.lev AND b.k = xor(a.k, 1)
+  WHERE NOT f.done)
+SELECT place.doc_id, place.leaf, p.subroot, root.root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.root AS verified
+FROM place JOIN p ON p.part = place.part JOIN fold f ON f.r = place.r AND f.done, root
+"""
+
+
+def _op11_sql() -> str:
+    import re
+    value = lambda m: f"coalesce(strlen(CAST({m[1]} AS VARCHAR)) || ':' || {m[1]}, '-')"
+    crc = _CRC32_SQL.replace("TEXT", "CAST(doc_id AS VARCHAR)")
+    return re.sub(r"\bF\(([^)]*)\)", value, _OP11_SQL).replace("CRC", crc)
+
+
+@query("op11_merkle_manifest", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import FIELDS, folded, leaf_digest, manifest, proof_digest
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    changed = leaf_digest([F.col(c) + F.when(tampered, 1).otherwise(0) if c == "n_chars" else F.col(c) for c in FIELDS])
+    rows = manifest(documents(spark, sf_dir), carry={"changed": F.when(tampered, changed)})
+    out = rows.select("doc_id", "leaf", "subroot", "root", proof_digest().alias("proof_sha256"),
+                      folded(F.coalesce("changed", "leaf")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
