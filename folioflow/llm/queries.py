@@ -231,3 +231,42 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rows.select("doc_id", "leaf", "subroot", "root", proof_digest().alias("proof_sha256"),
                       folded(F.coalesce("changed", "leaf")).alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_OP13_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT r, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    {'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+     'C': 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+     'E': coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)} AS fails
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+fails AS (SELECT r, part, good, toxic, x, CASE x WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C
+    WHEN 'D' THEN fails.D ELSE fails.E END AS fail, list_sum([fails.A::INT, fails.B::INT, fails.C::INT, fails.D::INT, fails.E::INT]) AS n FROM f, letters),
+firsts AS (SELECT r, o, min(strpos(o, x)) FILTER (WHERE fail) AS gone FROM fails, orders GROUP BY r, o),
+rows_ AS (SELECT fails.part, firsts.o AS filter_order, strpos(firsts.o, x) AS step, x, good, toxic, n, fail, gone
+  FROM fails JOIN firsts ON firsts.r = fails.r),
+steps AS (SELECT part, filter_order, step, x, count(*) FILTER (WHERE gone IS NULL OR gone > step) AS kept,
+    count(*) FILTER (WHERE gone = step) AS removed, count(*) FILTER (WHERE fail AND gone < step) AS redundant,
+    count(*) FILTER (WHERE fail AND n = 1) AS unique_fails, count(*) FILTER (WHERE gone = step AND good) AS good_lost,
+    count(*) FILTER (WHERE gone = step AND toxic) AS toxic_lost FROM rows_ GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM steps
+"""
+
+
+@query("op13_filter_audit", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .survival import filter_audit
+    return filter_audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op12_nearest_neighbours")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cross_polytope import nearest_neighbours
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
