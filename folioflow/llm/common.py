@@ -7,12 +7,13 @@ Python worker is bounded by the slice and the longest single document.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.session import ship_package
@@ -147,6 +148,21 @@ def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
+#: longer strings are hashed by a digest: a polynomial modulo a power of two has equal values for some strings of 1,024 bytes
+LONG_STRING = 64
+
+
+def string_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of words or pieces, safe to stand for their bytes at any length (long ones by BLAKE2b)."""
+    out = range_hash(prefix_hash(data), starts, ends)
+    long = np.flatnonzero(ends - starts > LONG_STRING)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest()
+                                           for a, b in zip(starts[long].tolist(), ends[long].tolist())), "<u8")
+    return out
+
+
 def hash_bytes(x: bytes) -> int:
     """``range_hash`` of one whole byte string."""
     data = np.frombuffer(x, np.uint8)
@@ -192,6 +208,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         cur.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
 
 
+def row_key(docs: DataFrame) -> Column:
+    """What tells the rows of a table of documents apart: ``doc_id`` and a hash of the text."""
+    return F.struct(docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("h"))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint for a written table of at most ``max_rows`` narrow rows, else the table as it is."""
     return F.broadcast(df) if df.count() <= max_rows else df

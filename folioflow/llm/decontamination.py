@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import LOWER, byte_slices, map_arrow, prefix_hash, range_hash, shared_folder, signed, split_words
+from .common import LOWER, byte_slices, map_arrow, shared_folder, split_words, string_hash
 
 WINDOW = 10
 MAX_SLICE_WORDS = 1_000_000
@@ -47,7 +47,7 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Hash of every word, and the number of words of every text."""
     data = LOWER[data]
     starts, ends = split_words(data, offsets, _BREAKS)
-    hashes = range_hash(prefix_hash(data), starts, ends)
+    hashes = string_hash(data, starts, ends)
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 

@@ -28,8 +28,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, SPACES, byte_slices, linked_groups, map_arrow, mix, prefix_hash, range_hash, signed, split_words,
-                     written)
+from .common import (LOWER, SPACES, byte_slices, linked_groups, map_arrow, mix, row_key, signed, split_words, string_hash, written)
 
 WORDS = 5
 PERCENT = 80
@@ -44,7 +43,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     """Distinct shingle hashes of all texts, ordered within each text, and the bounds of each text."""
     low = LOWER[data]
     starts, ends = split_words(low, offsets, SPACES)
-    word = range_hash(prefix_hash(low), starts, ends)
+    word = string_hash(low, starts, ends)
     bounds = np.searchsorted(starts, offsets)
     n_words = np.diff(bounds)
     n = np.where(n_words >= words, n_words - words + 1, np.minimum(n_words, 1))
@@ -220,6 +219,13 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its group."""
-    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of ``docs`` that are the first of their group by ``doc_id``, and those without one.
+
+    Rows are told apart by ``doc_id`` and text, so a row with a repeated
+    ``doc_id`` goes only by its own text; rows equal in both stay or go together.
+    """
+    key = row_key(docs)
+    rows = docs.where(docs["doc_id"].isNotNull()).select(key.alias("doc_id"), "text")
+    gone = near_duplicates(rows, **options).where("NOT kept").select(
+        F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, key == gone["_gone"], "left_anti")

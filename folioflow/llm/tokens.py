@@ -16,7 +16,7 @@ from array import array
 
 import numpy as np
 
-from .common import LOWER, SPACES, byte_slices, prefix_hash, range_hash
+from .common import LOWER, SPACES, byte_slices, string_hash
 
 #: slots of the piece memo, and ids it may hold before it is emptied (bound its memory)
 MEMO_BITS, MEMO_IDS = 21, 8_000_000
@@ -140,7 +140,7 @@ class Encoder:
             keep |= odd_piece
             odd_piece = odd_piece[keep]
         starts, ends = starts[keep], ends[keep]
-        key = range_hash(prefix_hash(low), starts, ends)
+        key = string_hash(low, starts, ends)
         if len(whole):                               # kept apart from plain pieces of the same bytes
             key[odd_piece] ^= np.uint64(0xA5A5A5A5A5A5A5A5)
         slots = (key >> np.uint64(64 - MEMO_BITS)).astype(np.int64)

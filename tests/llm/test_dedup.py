@@ -245,3 +245,34 @@ def test_lines_of_few_words(spark):
             (3, chinese[:30] + "\u4e00" + chinese[31:]), (4, thai[:20] + thai[21:]), (5, chinese[::-1])]
     got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {0: rows[0][1], 1: "read more", 2: "", 3: "", 4: "", 5: rows[5][1]}
+
+
+def thue_morse(n):
+    """A word over a and b and its complement: equal polynomial hashes modulo 2**64 at any multiplier."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_hash_of_long_words(spark):
+    from folioflow.llm.decontamination import find_contamination
+    from folioflow.llm.tokens import encoder
+    x, y = thue_morse(1024)
+    docs = spark.createDataFrame([(1, x), (2, y), (3, f"v {y} w")], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, words=2).collect()} == {1: 1, 2: 2, 3: 3}
+    items = spark.createDataFrame([(7, x)], "item_id long, text string")
+    assert {r["doc_id"]: r["n_hit"] for r in find_contamination(docs, items).collect()} == {1: 1, 2: 0, 3: 0}
+    enc = encoder()
+    raw = np.frombuffer((x + y).encode(), np.uint8)
+    ids, bounds = enc.encode_slice(raw, np.array([0, 1024, 2048]))
+    assert ids[:bounds[1]].tolist() == enc.library(x) and ids[bounds[1]:].tolist() == enc.library(y)
+
+
+def test_rows_of_one_id(spark):
+    """A row goes by its own text: rows of one id with different texts are judged apart."""
+    a, c = "\n".join(f"w{k} x{k} y{k} z{k} v{k} u{k}" for k in range(20)), "\n".join(f"p{k} q{k} r{k} s{k} t{k} o{k}" for k in range(20))
+    rows = [(1, a, "one"), (2, a, "two"), (2, c, "three"), (None, a, "four"), (None, c + " end", "five"), (3, c, "six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    left = {r["note"]: r["text"] for r in dedup_lines(docs).collect()}
+    assert left == {"one": a, "two": "", "three": c, "four": a, "five": c + " end", "six": ""}
+    # of the copies the first by id stays; rows without an id stay
+    assert {r["note"] for r in drop_near_duplicates(docs).collect()} == {"one", "three", "four", "five"}
