@@ -1,4 +1,4 @@
-"""Jobs that run a stream, a page function or emit XML."""
+"""Jobs that run a stream, a page function or emit XML."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..plans import merge, page_functions, split
+from ..plans import complete, merge, page_functions, split
 from ..session import shared_path
 from ..sources import tables as T
 from ..streaming import requests as rq
@@ -16,6 +16,30 @@ from .records import REC, RV, non_bulk
 RUN_DATE = "2024-01-20"
 
 
+class _Tracker:
+    """A page log in the shared folder, read by a completion stream that can be stopped and started again."""
+
+    def __init__(self, spark, sf_dir, timeout_ms: int):
+        self.spark, self.timeout_ms = spark, timeout_ms
+        name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
+        self.log, self.out, self.state = (shared_path(spark, "streams", name, x) for x in ("log", "blocks", "state"))
+        self.counts = split.page_counts(T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id")))
+
+    def report(self, pages) -> None:
+        self.schema = pages.schema
+        pages.write.mode("append").parquet(self.log)
+
+    def drain(self) -> None:
+        """Run over all reported pages, some files a batch, and stop."""
+        stream = self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 64).parquet(self.log)
+        w = rq.track_completion(stream, self.counts, timeout_ms=self.timeout_ms).writeStream.format("parquet").outputMode("append")
+        with rq.drained(self.spark):
+            w.option("path", self.out).option("checkpointLocation", self.state).trigger(availableNow=True).start().awaitTermination()
+
+    def events(self):
+        return self.spark.read.schema(rq.TRACK_OUT).parquet(self.out)
+
+
 @job("completion_tracker", """
 SELECT doc_id, num_pages AS pages_seen, num_pages, 'complete' AS status FROM v_counts""", ("v_pages", "v_counts"))
 def completion_tracker(spark, sf_dir):
@@ -23,23 +47,53 @@ def completion_tracker(spark, sf_dir):
 
     The page table is written to the shared folder as the log of finished
     pages (pages of returned items are reported twice, as after a retry) and
-    read as a stream; state, progress and the emitted block rows live below
-    the shared ``spark.checkpoint.dir``.  Runs one trigger over all files.
+    read as a stream in batches of some files; state, progress and the emitted
+    rows live below the shared ``spark.checkpoint.dir``.
     """
     pages = T.pages(spark, sf_dir)
-    name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
-    log, out = shared_path(spark, "streams", name, "log"), shared_path(spark, "streams", name, "blocks")
+    t = _Tracker(spark, sf_dir, timeout_ms=190_000)
     seen = pages.select("doc_id", "page_no")
-    seen.union(pages.where("returnflag = 'R'").select("doc_id", "page_no")).write.parquet(log)
-    counts = split.page_counts(T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id")))
-    stream = spark.readStream.schema(seen.schema).parquet(log)
-    q = (rq.track_completion(stream, counts, timeout_ms=190_000).writeStream.format("parquet").outputMode("append")
-         .option("path", out).option("checkpointLocation", shared_path(spark, "streams", name, "state"))
-         .trigger(once=True).start())
-    # One batch over everything available (an availableNow query with
-    # processing-time timeouts keeps scheduling no-data batches and never ends).
-    q.awaitTermination()
-    return rq.document_status(spark.read.schema(rq.TRACK_OUT).parquet(out))
+    t.report(seen.union(pages.where("returnflag = 'R'").select("doc_id", "page_no")))
+    t.drain()
+    return rq.document_status(t.events())
+
+
+@job("late_pages", """
+SELECT p.doc_id, CAST(max(page_no) AS INTEGER) AS num_pages, 'complete' AS status,
+  count(*) FILTER (WHERE page_no % 2 = 0) AS late_pages
+FROM v_pages p GROUP BY p.doc_id""", ("v_pages",))
+def late_pages(spark, sf_dir):
+    """Odd pages come in, the time-out passes, even pages come late: they go to the late table and the documents complete.
+
+    The stream is stopped and started again between the three steps.
+    """
+    pages = T.pages(spark, sf_dir).select("doc_id", "page_no")
+    t = _Tracker(spark, sf_dir, timeout_ms=1)
+    t.report(pages.where("page_no % 2 = 1"))
+    t.drain()
+    # a heartbeat of no document makes a batch in which open blocks time out
+    t.report(spark.createDataFrame([(-1, 0)], t.schema))
+    t.drain()
+    t.report(pages.where("page_no % 2 = 0"))
+    t.drain()
+    events = t.events()
+    late = rq.late_pages(events).groupBy("doc_id").agg(F.count(F.lit(1)).alias("late_pages"))
+    return rq.document_status(events).join(late, "doc_id", "left").select(
+        "doc_id", "num_pages", "status", F.coalesce("late_pages", F.lit(0)).alias("late_pages"))
+
+
+@job("redo_from_checkpoint", """
+SELECT p.doc_id, p.page_no FROM v_pages p
+JOIN (SELECT doc_id, min(page_no) AS first FROM v_pages WHERE returnflag = 'R' GROUP BY doc_id) m
+  ON m.doc_id = p.doc_id AND p.page_no >= m.first""", ("v_pages",))
+def redo_from_checkpoint(spark, sf_dir):
+    """T5 + A11: a stream that saw all pages but those of returned items stops; what to redo is read from its checkpoint."""
+    pages = T.pages(spark, sf_dir)
+    t = _Tracker(spark, sf_dir, timeout_ms=190_000)
+    t.report(pages.where("returnflag <> 'R'").select("doc_id", "page_no"))
+    t.drain()
+    seen = rq.tracked_pages(spark, t.state).withColumn("kind", F.lit("page"))
+    return complete.redo_pages(pages, seen, "page")
 
 
 WS = r"[\t\n\x0B\f\r ]"

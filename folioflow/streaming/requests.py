@@ -10,8 +10,9 @@
   undecodable messages go to a dead-letter sink, the rest to the task sink.
 * T6 :func:`track_completion` - per block of a document's pages, a bitmap of
   finished pages until all are in; a block that stalls past the timeout is
-  reported ``timed_out`` (state kept in the checkpoint,
-  ``applyInPandasWithState``); :func:`document_status` sums blocks up.
+  reported ``timed_out`` and its later pages ``late`` (state kept in the
+  checkpoint, ``applyInPandasWithState``); :func:`document_status` sums blocks
+  up, :func:`tracked_pages` reads the state of a stopped stream (T5).
 * T7 :func:`retry_eligible` - attempts table: which failed calls may run again.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,46 +118,52 @@ def pick_next_records(queue: DataFrame, outbox: str, per_message: int = 1,
     return handle
 
 
-TRACK_OUT = "doc_id long, block int, pages_seen int, block_pages int, num_pages int, status string"
-TRACK_STATE = "seen binary, num_pages int, done boolean"
+TRACK_OUT = "doc_id long, block int, page_no int, pages_seen int, block_pages int, num_pages int, status string"
+TRACK_STATE = "seen binary, num_pages int, status string"
+BLOCK_PAGES = 4096
 
 
 def _tracker(timeout_ms: int, block_pages: int):
     """State function of one block of pages; its parameters are captured here so executors see them."""
+    names = [c.split()[0] for c in TRACK_OUT.split(", ")]
 
     def track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         doc, block = int(key[0]), int(key[1])
+        bits, n, status = state.get if state.exists else (bytes(-(-block_pages // 8)), 0, "open")
+        bits, out = int.from_bytes(bytes(bits), "little"), []
 
-        def row(seen: int, n: int, status: str) -> pd.DataFrame:
+        def emit(word: str, page: int | None = None) -> None:
             size = max(0, min(block_pages, n - block * block_pages))
-            return pd.DataFrame({"doc_id": [doc], "block": [block], "pages_seen": [seen], "block_pages": [size],
-                                 "num_pages": [n], "status": [status]})
+            out.append((doc, block, page, bits.bit_count(), size, n, word))
 
-        bits, n, done = state.get if state.exists else (bytes(-(-block_pages // 8)), 0, False)
-        bits = int.from_bytes(bytes(bits), "little")
         if state.hasTimedOut:
-            state.remove()
-            if not done:
-                yield row(bits.bit_count(), n, "timed_out")
-            return
-        for b in batches:
-            for page, pages in zip(b["page_no"], b["num_pages"]):
-                n = int(pages)
-                at = int(page) - 1 - block * block_pages
-                if 1 <= page <= n and 0 <= at < block_pages:
-                    bits |= 1 << at                  # a page reported again changes nothing
-        size = max(0, min(block_pages, n - block * block_pages))
-        if not done and size and bits.bit_count() == size:
-            done = True
-            yield row(size, n, "complete")
-        state.update((bits.to_bytes(-(-block_pages // 8), "little"), n, done))
-        state.setTimeoutDuration(timeout_ms)
+            if status == "open":                     # the pages stay: later ones still count
+                status = "timed_out"
+                emit(status)
+        else:
+            for b in batches:
+                for page, pages in zip(b["page_no"], b["num_pages"]):
+                    n = int(pages)
+                    at = int(page) - 1 - block * block_pages
+                    if 1 <= page <= n and 0 <= at < block_pages and not bits >> at & 1:
+                        bits |= 1 << at              # a page reported again changes nothing
+                        if status == "timed_out":
+                            emit("late", int(page))
+            size = max(0, min(block_pages, n - block * block_pages))
+            if status != "complete" and size and bits.bit_count() == size:
+                status = "complete"
+                emit(status)
+        state.update((bits.to_bytes(-(-block_pages // 8), "little"), n, status))
+        if status == "open":
+            state.setTimeoutDuration(timeout_ms)
+        if out:
+            yield pd.DataFrame(out, columns=names).astype({"page_no": "Int32"})
 
     return track
 
 
 def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int = 190_000,
-                     block_pages: int = 4096) -> DataFrame:
+                     block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Stateful completion per block of pages over a stream of finished pages.
 
     ``done_pages`` (streaming: doc_id, page_no) is joined with the static page
@@ -163,8 +171,12 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
     bitmap of the pages seen, so a repeated report counts once and a hot
     document is spread over its blocks.  A block emits ``complete`` when all its
     pages are in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the
-    source waited 1+2+...+19 = 190 s).  Output mode append;
-    :func:`document_status` turns the emitted rows into one row per document.
+    source waited 1+2+...+19 = 190 s).  Its pages stay in the state: a page that
+    comes after that is emitted as ``late`` and still counts, so the block
+    completes in the end.  Output mode append; :func:`document_status` turns the
+    emitted rows into one row per document, :func:`late_pages` into the late
+    table.  :mod:`folioflow.streaming.completion` has the same with state that
+    expires and exact timers, at a higher cost per block.
     """
     ship_package(done_pages.sparkSession)
     x = done_pages.select("doc_id", F.col("page_no").cast("int").alias("page_no")).join(
@@ -174,20 +186,50 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
         _tracker(timeout_ms, block_pages), TRACK_OUT, TRACK_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def document_status(blocks: DataFrame) -> DataFrame:
+def document_status(events: DataFrame) -> DataFrame:
     """doc_id, pages_seen, num_pages, status from the rows that the tracker has written.
 
     ``complete`` when the complete blocks hold all pages, ``timed_out`` when a
-    block timed out, else ``open``.
+    block timed out and has not completed since, else ``open``.
     """
-    whole = F.sum(F.when(F.col("status") == "complete", F.col("block_pages")).otherwise(0))
-    one = blocks.groupBy("doc_id").agg(F.sum("pages_seen").cast("int").alias("pages_seen"),
-                                       F.max("num_pages").alias("num_pages"), whole.alias("_whole"),
-                                       (F.count_if(F.col("status") == "timed_out") > 0).alias("_late"))
+    blocks = events.groupBy("doc_id", "block").agg(
+        F.max("pages_seen").alias("seen"), F.max("num_pages").alias("num_pages"), F.max("block_pages").alias("size"),
+        F.bool_or(F.col("status") == "complete").alias("whole"), F.bool_or(F.col("status") == "timed_out").alias("late"))
+    one = blocks.groupBy("doc_id").agg(
+        F.sum("seen").cast("int").alias("pages_seen"), F.max("num_pages").alias("num_pages"),
+        F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0)).alias("_whole"),
+        F.bool_or(F.col("late") & ~F.col("whole")).alias("_late"))
     return one.select("doc_id", "pages_seen", "num_pages", F.when(F.col("_whole") == F.col("num_pages"), "complete")
                       .when(F.col("_late"), "timed_out").otherwise("open").alias("status"))
 
 
+def late_pages(events: DataFrame) -> DataFrame:
+    """The late table: pages that came after their block had timed out (doc_id, page_no)."""
+    return events.where("status = 'late'").select("doc_id", "page_no")
+
+
+def tracked_pages(spark: SparkSession, checkpoint: str, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """T5: the pages in the state of a stopped :func:`track_completion` query (doc_id, page_no), from its checkpoint."""
+    state = spark.read.format("statestore").option("path", checkpoint).load().select("key.*", F.hex("value.groupState.seen").alias("seen"))
+    octets = state.select("doc_id", "block", F.explode(F.sequence(F.lit(0), F.expr("length(seen) div 2 - 1"))).alias("k"), "seen").select(
+        "doc_id", "block", "k", F.conv(F.expr("substring(seen, 2 * k + 1, 2)"), 16, 10).cast("int").alias("bits")).where("bits > 0")
+    return octets.select("doc_id", "block", "k", F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(7)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1)).alias("bit")).select(
+        "doc_id", (F.col("block") * block_pages + F.col("k") * 8 + F.col("bit") + 1).cast("int").alias("page_no"))
+
+
+@contextmanager
+def drained(spark: SparkSession):
+    """Lets an ``availableNow`` query with processing-time timeouts end with its input (no batches without data)."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def retry_eligible(attempts: DataFrame, now: str | _dt.datetime, max_attempts: int = MAX_ATTEMPTS,
                    backoff_s: int = BACKOFF_SECONDS, last_col: str = "last_try",
                    n_col: str = "attempts") -> Column:

@@ -132,3 +132,64 @@ def test_dead_letter_batch_two_sinks(spark):
     rq.dead_letter_batch(msgs, lambda df: got.setdefault("task", sorted(r.event_id for r in df.collect())),
                          lambda df: got.setdefault("dead", sorted(r.event_id for r in df.collect())))
     assert got == {"task": [1], "dead": [2, 3]}
+
+
+def _logged(spark, folder, rows, name):
+    spark.createDataFrame(rows, "doc_id long, page_no int").coalesce(1).write.parquet(os.path.join(folder, name))
+
+
+def test_late_pages_after_restart(spark, scratch):
+    """A page after the time-out is late, still counts over a restart, and the status equals the batch count."""
+    src, out, ck = (os.path.join(scratch, x) for x in ("pages", "out", "ck"))
+    counts = spark.createDataFrame([(1, 3), (2, 2), (3, 1), (4, 70)], "doc_id long, num_pages int")
+
+    def run(**trigger):
+        stream = spark.readStream.schema("doc_id long, page_no int").parquet(src + "/*")
+        w = rq.track_completion(stream, counts, timeout_ms=1, block_pages=32).writeStream.format("parquet")
+        w.option("path", out).option("checkpointLocation", ck).trigger(**trigger).start().awaitTermination()
+
+    _logged(spark, src, [(1, 1), (1, 1), (2, 2), (3, 1), (9, 1), (2, 5), (2, 0)] + [(4, p) for p in range(1, 41)], "a")
+    with rq.drained(spark):
+        run(availableNow=True)
+        _logged(spark, src, [(-1, 0)], "heartbeat")                                     # no document, but a batch
+        run(availableNow=True)
+    status = lambda: {r.doc_id: (r.status, r.pages_seen) for r in rq.document_status(spark.read.parquet(out)).collect()}
+    assert status() == {1: ("timed_out", 1), 2: ("timed_out", 1), 3: ("complete", 1), 4: ("timed_out", 40)}
+    seen = {(r.doc_id, r.page_no) for r in rq.tracked_pages(spark, ck, block_pages=32).collect()}
+    assert seen == {(1, 1), (2, 2), (3, 1)} | {(4, p) for p in range(1, 41)}
+    _logged(spark, src, [(1, 2), (1, 3), (1, 2)] + [(4, p) for p in range(30, 71)], "b")
+    with rq.drained(spark):
+        run(availableNow=True)
+    late = sorted((r.doc_id, r.page_no) for r in rq.late_pages(spark.read.parquet(out)).collect())
+    # pages 65 to 70 of document 4 open a block of their own
+    assert late == [(1, 2), (1, 3)] + [(4, p) for p in range(41, 65)]
+    assert status() == {1: ("complete", 3), 2: ("timed_out", 1), 3: ("complete", 1), 4: ("complete", 70)}
+
+
+def test_timers_and_expiring_state(spark, scratch):
+    """The tracker with timers and map state: late pages, restart, audit from the checkpoint."""
+    from folioflow.streaming import completion as cp
+    src, out, ck = (os.path.join(scratch, x) for x in ("pages", "out", "ck"))
+    counts = spark.createDataFrame([(1, 3), (2, 2), (3, 130)], "doc_id long, num_pages int")
+
+    def run(**trigger):
+        stream = spark.readStream.schema("doc_id long, page_no int").parquet(src + "/*")
+        w = cp.track_pages(stream, counts, timeout_ms=1, block_pages=128).writeStream.format("parquet")
+        w.option("path", out).option("checkpointLocation", ck).trigger(**trigger).start().awaitTermination()
+
+    _logged(spark, src, [(1, 1), (1, 1), (2, 1), (2, 2), (2, 7), (8, 1)] + [(3, p) for p in range(1, 128)], "a")
+    with cp.state_settings(spark, drain=True):
+        run(availableNow=True)
+        assert {(r.doc_id, r.block, r.pages_seen) for r in cp.open_blocks(spark, ck).collect()} == {(1, 0, 1), (3, 0, 127)}
+        seen = {(r.doc_id, r.page_no) for r in cp.seen_pages(spark, ck, block_pages=128).collect()}
+        assert seen == {(1, 1), (2, 1), (2, 2)} | {(3, p) for p in range(1, 128)}
+        _logged(spark, src, [(-1, 0)], "heartbeat")
+        run(availableNow=True)
+    status = lambda: {r.doc_id: r.status for r in cp.document_status(spark.read.parquet(out), counts).collect()}
+    assert status() == {1: "timed_out", 2: "complete", 3: "timed_out"}
+    _logged(spark, src, [(1, 3), (1, 2), (3, 64), (3, 128), (3, 129), (3, 130)], "b")
+    with cp.state_settings(spark, drain=True):
+        run(availableNow=True)
+        assert cp.open_blocks(spark, ck).count() == 0
+    assert sorted(map(tuple, cp.late_pages(spark.read.parquet(out)).collect())) == [(1, 2), (1, 3), (3, 128)]
+    assert status() == {1: "complete", 2: "complete", 3: "complete"}
