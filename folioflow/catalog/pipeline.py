@@ -49,7 +49,7 @@ PV = ("v_pages", "v_counts")
 
 
 def plan_false(spark, sf_dir):
-    return split.split_plan(T.pages(spark, sf_dir), keep_barcode=False)
+    return split.split_plan(T.pages(spark, sf_dir), keep_barcode=False, docs=T.page_totals(spark, sf_dir))
 
 
 @job("split_plan", "SELECT * FROM plan", PV, SPLIT)
@@ -61,7 +61,7 @@ def split_plan(spark, sf_dir):
 @job("split_plan_keep", "SELECT * FROM plan", PV, SPLIT_KEEP)
 def split_plan_keep(spark, sf_dir):
     """W4 with keep-barcode on."""
-    return split.split_plan(T.pages(spark, sf_dir), keep_barcode=True)
+    return split.split_plan(T.pages(spark, sf_dir), keep_barcode=True, docs=T.page_totals(spark, sf_dir))
 
 
 @job("split_plan_by_record", "SELECT * FROM plan", PV + ("v_queue",), SPLIT_REC)
@@ -69,7 +69,7 @@ def split_plan_by_record(spark, sf_dir):
     """W4 with each record's own keep-barcode flag (missing flag = keep)."""
     pages = T.pages(spark, sf_dir)
     flags = flt.decode_flags(T.queue(spark, sf_dir)).select(F.col("queue_id").alias("doc_id"), "keep_barcode")
-    docs = split.page_counts(pages).join(flags, "doc_id", "left")
+    docs = T.page_totals(spark, sf_dir).join(flags, "doc_id", "left")
     return split.split_plan(pages, keep_barcode="keep_barcode", docs=docs)
 
 
@@ -79,7 +79,7 @@ FROM plan s JOIN v_pages p ON p.doc_id = s.doc_id AND p.page_no BETWEEN s.from_p
 def assign_pages(spark, sf_dir):
     """Pages of each planned segment, renumbered from 1 (range join as explode + equi join)."""
     pages = T.pages(spark, sf_dir)
-    segs = split.split_plan(pages)
+    segs = split.split_plan(pages, docs=T.page_totals(spark, sf_dir))
     return split.assign_pages(segs, pages.select("doc_id", "page_no", "width")).select(
         "doc_id", "from_page", "page_no", "new_page_no", "width")
 
@@ -147,7 +147,7 @@ def number_pages(spark, sf_dir):
 @job("page_counts", "SELECT doc_id, num_pages FROM v_counts", PV)
 def page_counts(spark, sf_dir):
     """Pages per document."""
-    return split.page_counts(T.pages(spark, sf_dir))
+    return T.page_totals(spark, sf_dir)
 
 
 # --- segments state, resume and requests --------------------------------------------------------------------
@@ -161,7 +161,7 @@ FROM plan s)"""
 
 def _segments_with_state(spark, sf_dir):
     pages = T.pages(spark, sf_dir)
-    segs = split.split_plan(pages)
+    segs = split.split_plan(pages, docs=T.page_totals(spark, sf_dir))
     pdf = T.outputs(spark, sf_dir, pages).where(F.col("kind") == "pdf") \
            .select("doc_id", F.col("page_no").alias("from_page"), F.lit(True).alias("is_finish"))
     return segs.join(pdf, ["doc_id", "from_page"], "left") \
@@ -181,26 +181,45 @@ def all_segments_finished(spark, sf_dir):
 SELECT doc_id, barcode, from_page, page_index FROM done_seg WHERE NOT is_finish""",
      PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE)
 def resume_segments(spark, sf_dir):
-    """Segments still to do after a restart, from the plan with its saved state.
+    """Segments still to do after a restart: the plan without those whose first page is done."""
+    pages = T.pages(spark, sf_dir)
+    done = T.outputs(spark, sf_dir, pages).where(F.col("kind") == "pdf").select("doc_id", F.col("page_no").alias("from_page"))
+    plan = split.split_plan(pages, docs=T.page_totals(spark, sf_dir))
+    return complete.resume_segments(plan, done).select("doc_id", "barcode", "from_page", "page_index")
+
+
+TASK_LIST = """task AS (SELECT doc_id AS queue_id, from_page // 8 AS list_no, barcode, page_index, is_finish,
+  CAST(row_number() OVER (PARTITION BY doc_id, from_page // 8 ORDER BY from_page) - 1 AS INTEGER) AS task_pos FROM done_seg)"""
+
 
-    The state is saved per (doc, barcode, from_page), which is unique, so the
-    unfinished rows are what the anti join of ``complete.resume_segments`` gives.
-    """
+def _task_lists(spark, sf_dir):
+    """Saved task lists as JSON: a record's segments by page, one list for every eight pages."""
     s = _segments_with_state(spark, sf_dir)
-    return s.where(~F.col("is_finish")).select("doc_id", "barcode", "from_page", "page_index")
+    task = F.create_map(F.col("barcode"), F.struct(F.col("page_index").alias("page_index"),
+                                                   codes.bool_tf(F.col("is_finish")).alias("is_finish")))
+    lists = s.groupBy(F.col("doc_id").alias("queue_id"), F.expr("from_page div 8").alias("list_no")).agg(
+        F.array_sort(F.collect_list(F.struct("from_page", F.to_json(task).alias("t")))).alias("ts"))
+    return lists.select("queue_id", "list_no", F.concat(F.lit("["), F.array_join(F.transform("ts", lambda x: x["t"]), ","), F.lit("]")).alias("tasks"))
 
 
 @job("explode_tasks", """
-SELECT doc_id AS queue_id, CAST(0 AS INTEGER) AS task_pos, barcode, page_index, is_finish FROM done_seg""",
-     PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE)
+SELECT queue_id, list_no, task_pos, barcode, page_index, is_finish FROM task""",
+     PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE + ",\n" + TASK_LIST)
 def explode_tasks(spark, sf_dir):
-    """Saved task lists (JSON, one list per segment row) back to rows."""
-    s = _segments_with_state(spark, sf_dir)
-    task = F.array(F.create_map(F.col("barcode"), F.struct(
-        F.col("page_index").alias("page_index"), codes.bool_tf(F.col("is_finish")).alias("is_finish"))))
-    state = s.select(F.col("doc_id").alias("queue_id"), F.to_json(task).alias("tasks"))
-    return codes.explode_tasks(state).select("queue_id", F.col("task_pos").cast("int").alias("task_pos"), "barcode",
-                                             "page_index", "is_finish")
+    """Saved task lists of several entries (JSON) back to rows in list order."""
+    return codes.explode_tasks(_task_lists(spark, sf_dir), key=["queue_id", "list_no"]).select(
+        "queue_id", "list_no", F.col("task_pos").cast("int").alias("task_pos"), "barcode", "page_index", "is_finish")
+
+
+@job("find_task", """
+SELECT queue_id, list_no, barcode, min(task_pos) AS task_pos, arg_min(page_index, task_pos) AS page_index,
+  arg_min(is_finish, task_pos) AS is_finish FROM task GROUP BY queue_id, list_no, barcode""",
+     PV + ("v_outputs",), SPLIT + ",\n" + SEG_DONE + ",\n" + TASK_LIST)
+def find_task(spark, sf_dir):
+    """The first entry of each name in its list (a blank barcode stands for several segments)."""
+    tasks = codes.explode_tasks(_task_lists(spark, sf_dir), key=["queue_id", "list_no"])
+    return codes.first_task(tasks, key=["queue_id", "list_no"]).select(
+        "queue_id", "list_no", "barcode", F.col("task_pos").cast("int").alias("task_pos"), "page_index", "is_finish")
 
 
 @job("mark_processed_payload", """
@@ -225,7 +244,7 @@ SELECT s.doc_id AS queue_id, s.from_page,
 FROM plan s JOIN v_queue q ON q.queue_id = s.doc_id""".replace("PIECE", PIECE_SQL), PV + ("v_queue",), SPLIT)
 def split_process_payload(spark, sf_dir):
     """K5: one split request per segment (upload folder = scans/box; the file is the one that C8 names)."""
-    segs = split.split_plan(T.pages(spark, sf_dir))
+    segs = plan_false(spark, sf_dir)
     q = flt.decode_flags(T.queue(spark, sf_dir)).select(
         F.col("queue_id"), "priority_id", F.concat(F.lit("/scans/"), F.col("box_number")).alias("upload_dir"))
     x = segs.join(q, segs.doc_id == q.queue_id, "inner").withColumn(
@@ -241,7 +260,7 @@ SELECT doc_id, from_page,
 FROM plan""", PV, SPLIT)
 def piece_name(spark, sf_dir):
     """Stable piece file name per segment (md5 of barcode + run time, digits from the key)."""
-    segs = split.split_plan(T.pages(spark, sf_dir))
+    segs = plan_false(spark, sf_dir)
     return segs.select("doc_id", "from_page",
                        codes.piece_name(F.col("barcode"), F.lit(RUN_TS), F.col("doc_id"), F.col("from_page"))
                        .alias("piece_name"))

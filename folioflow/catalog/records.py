@@ -137,7 +137,7 @@ def page_list_payload(spark, sf_dir):
     """A7 + K6: ordered page list request per non-bulk record."""
     r = non_bulk(spark, sf_dir).select("queue_id", "box_number", "box_part",
                                        F.col("queue_id").cast("string").alias("pdf_name"))
-    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
+    c = T.page_totals(spark, sf_dir).withColumnRenamed("doc_id", "queue_id")
     return merge.add_pages_payload(r.join(c, "queue_id", "inner"))
 
 
@@ -155,7 +155,7 @@ FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id WHERE NOT r.bulk),
 
 def _a2_docs(spark, sf_dir, pages):
     r = non_bulk(spark, sf_dir)
-    c = split.page_counts(pages)
+    c = T.page_totals(spark, sf_dir)
     return r.select(F.col("queue_id").alias("doc_id"),
                     (F.col("deliver_searchable") & ~F.col("interactive")).alias("have_ocr"), "have_sphinx") \
             .join(c, "doc_id", "inner")
@@ -182,7 +182,7 @@ def page_outputs_complete(spark, sf_dir):
     """A3: folder-tool check for output type PDF-TEXT (each kind counted on its own)."""
     pages = T.pages(spark, sf_dir)
     kinds = ["pdf", "txt"]
-    return complete.page_outputs_complete(T.outputs(spark, sf_dir, pages), split.page_counts(pages), kinds)
+    return complete.page_outputs_complete(T.outputs(spark, sf_dir, pages), T.page_totals(spark, sf_dir), kinds)
 
 
 @job("batch_complete", """
@@ -194,7 +194,7 @@ LEFT JOIN (SELECT kind, count(DISTINCT doc_id) AS n FROM v_outputs GROUP BY kind
 def batch_complete(spark, sf_dir):
     """A4: per wanted kind, one merged output per input document."""
     pages = T.pages(spark, sf_dir)
-    inputs = split.page_counts(pages)
+    inputs = T.page_totals(spark, sf_dir)
     outs = T.outputs(spark, sf_dir, pages).select("doc_id", "kind").distinct()
     return complete.batch_complete(inputs, outs, ["pdf", "txt", "xml"])
 
@@ -275,7 +275,7 @@ WHERE c.num_pages > 0)"""
 def color_device(spark, sf_dir):
     """A1: grey rendering unless at least half the pages have colour."""
     pages = T.pages(spark, sf_dir)
-    return images.color_device(pages, split.page_counts(pages))
+    return images.color_device(T.page_inks(spark, sf_dir))
 
 
 @job("image_plan", """
@@ -285,7 +285,7 @@ FROM v_pages p JOIN cd ON cd.doc_id = p.doc_id""", ("v_pages", "v_counts"), COLO
 def image_plan(spark, sf_dir):
     """C20 + J10: device per page and whether a grey document redoes a page in colour."""
     pages = T.pages(spark, sf_dir)
-    return images.image_plan(pages, split.page_counts(pages))
+    return images.image_plan(pages, images.color_device(T.page_inks(spark, sf_dir)))
 
 
 @job("oversized_pages", """
@@ -369,6 +369,32 @@ def merge_page_text(spark, sf_dir):
     return merge.merge_page_text(T.page_text(spark, sf_dir))
 
 
+@job("text_chunks", """
+SELECT doc_id, chunk, CAST(coalesce(sum(n_bytes) OVER (PARTITION BY doc_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+  n_bytes, text
+FROM (SELECT doc_id, chunk, strlen(text) AS n_bytes, text
+      FROM (SELECT doc_id, chunk, CASE WHEN row_number() OVER (PARTITION BY doc_id ORDER BY chunk) > 1 THEN chr(10) ELSE '' END || text AS text
+            FROM (SELECT doc_id, CAST((page_no - 1) // 4 AS BIGINT) AS chunk, string_agg(text, chr(10) ORDER BY page_no) AS text
+                  FROM v_page_text WHERE text IS NOT NULL GROUP BY ALL)))""", ("v_page_text",))
+def text_chunks(spark, sf_dir):
+    """A5 as ordered chunks of four pages with their byte offsets."""
+    return merge.text_chunks(T.page_text(spark, sf_dir), "\n", block_pages=4)
+
+
+@job("read_range", """
+SELECT doc_id, substr(hex(encode(string_agg(text, chr(10) ORDER BY page_no))), 2 * (doc_id % 50) + 1, 2 * (doc_id % 300)) AS bytes
+FROM v_page_text WHERE text IS NOT NULL GROUP BY doc_id
+HAVING doc_id % 300 > 0 AND strlen(string_agg(text, chr(10))) > doc_id % 50""", ("v_page_text",))
+def read_range(spark, sf_dir):
+    """A5: a range of bytes of every document, read from the chunks that hold it."""
+    chunks = merge.text_chunks(T.page_text(spark, sf_dir), "\n", block_pages=4)
+    wanted = T.page_text(spark, sf_dir).select("doc_id").distinct().select(
+        "doc_id", (F.col("doc_id") % 50).alias("from_byte"), (F.col("doc_id") % 50 + F.col("doc_id") % 300).alias("to_byte"))
+    parts = merge.read_range(chunks, wanted)
+    return parts.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", F.hex("bytes").alias("h")))),
+                                                                lambda x: x["h"]), "").alias("bytes"))
+
+
 @job("join_page_text", f"""
 SELECT doc_id, regexp_replace(string_agg(text, chr(10) || chr(10) ORDER BY page_no), '^{WS}+|{WS}+$', '', 'g') AS text
 FROM v_page_text WHERE text IS NOT NULL GROUP BY doc_id""", ("v_page_text",))
@@ -485,7 +511,7 @@ def text_to_search_file(spark, sf_dir):
      "WHERE num_pages > 0", ("v_pages", "v_counts"))
 def explode_pages(spark, sf_dir):
     """One row per page from a page count."""
-    c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
+    c = T.page_totals(spark, sf_dir).where(F.col("num_pages") > 0)
     return split.explode_range(c, F.lit(1), F.col("num_pages"), "page_no").select("doc_id", "page_no")
 
 
@@ -495,7 +521,7 @@ FROM (SELECT doc_id, CAST(unnest(range(1, num_pages + 1)) AS INTEGER) AS page_no
      ("v_pages", "v_counts"))
 def split_pages_to_rows(spark, sf_dir):
     """O6 + C5: single-page pieces with their names."""
-    c = split.page_counts(T.pages(spark, sf_dir)).where(F.col("num_pages") > 0)
+    c = T.page_totals(spark, sf_dir).where(F.col("num_pages") > 0)
     x = split.explode_range(c, F.lit(1), F.col("num_pages"), "page_no")
     return x.select("doc_id", "page_no", paths.page_file_name(F.col("doc_id").cast("string"), "page_no", "pdf")
                     .alias("piece_path"))

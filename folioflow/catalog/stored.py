@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..plans import merge, split
 from ..session import shared_path
-from ..sinks import writers
+from ..sinks import state_log, writers
 from ..sources import files
 from ..sources import tables as T
 from ..streaming import requests as rq
@@ -66,11 +66,44 @@ def write_job_state(spark, sf_dir):
     state = q.select(F.col("queue_id").cast("string").alias("queue_id"), "box_number", "box_part", "profile_id", "image_id",
                      "keep_barcode_ind", F.col("has_interactive").alias("have_ocr"))
     path = _folder(spark, "job_state")
-    writers.write_job_state(state, path, buckets=16)
+    writers.write_job_state(state, path)
     return files.read_job_state(spark, path).select(
         "queue_id", "box_number", "box_part", "profile_id", "image_id", "keep_barcode_ind", "have_ocr", "add_pages")
 
 
+@job("job_state_log", """
+SELECT CAST(queue_id AS VARCHAR) AS queue_id, box_number, CASE WHEN queue_id % 3 = 0 THEN 't' ELSE 'f' END AS add_pages FROM v_queue""",
+     ("v_queue",))
+def job_state_log(spark, sf_dir):
+    """K4 + S6: all jobs saved, then some of them again on their own, before and after a compaction; a batch is saved twice."""
+    path = _folder(spark, "state_log")
+    state = T.queue(spark, sf_dir).select(F.col("queue_id").cast("string").alias("queue_id"), "box_number",
+                                          F.lit("f").alias("add_pages"), (F.col("queue_id") % 3 == 0).alias("again"))
+    again = state.where("again").drop("again")
+    writers.write_job_state(state.drop("again"), path, batch_id=1)
+    writers.write_job_state(again.withColumn("add_pages", F.lit("x")), path, batch_id=2)
+    state_log.compact(spark, path, files.JOB_STATE_SCHEMA, "queue_id", upto=2)
+    for _ in range(2):                               # the second time as after a restart
+        writers.write_job_state(again.withColumn("add_pages", F.lit("t")), path, batch_id=3)
+    return files.read_job_state(spark, path).select("queue_id", "box_number", "add_pages")
+
+
+@job("retry_log", """
+SELECT event_id AS request_id, CAST(least(event_id % 5 + 1, 4) AS INTEGER) AS attempts,
+  CASE WHEN event_id % 5 = 4 THEN 'done' WHEN event_id % 5 >= 2 THEN 'dead_letter'
+       WHEN TIMESTAMP '2024-01-20 12:00:00' >= ts + to_seconds(2 * (event_id % 5 + 1)) THEN 'retry' ELSE 'wait' END AS outcome
+FROM v_messages""", ("v_messages",))
+def retry_log(spark, sf_dir):
+    """Attempts logged batch by batch (one replayed); three failures end in dead letters, a success ends the request."""
+    path = _folder(spark, "attempts")
+    m = T.messages(spark, sf_dir).select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"))
+    for k in (0, 1, 2, 3, 3):
+        failed = F.when((F.col("request_id") % 5 == 4) & F.lit(k == 3), F.lit(None)).otherwise(F.lit("busy"))
+        state_log.append(m.where(F.col("request_id") % 5 >= k).select("request_id", (
+            F.col("ts") + F.expr(f"INTERVAL {k} SECOND")).alias("tried"), failed.alias("error")), path, batch_id=k)
+    return state_log.attempts(spark, path, now="2024-01-20 12:00:00")
+
+
 @job("sync_table", "SELECT id, name, email, role_code FROM v_users", ("v_users",))
 def sync_table(spark, sf_dir):
     """K8: the user table copied over another one and read back."""
@@ -114,7 +147,7 @@ FROM rec r JOIN v_counts c ON c.doc_id = r.queue_id""", RV + ("v_pages", "v_coun
 def add_pages_request(spark, sf_dir):
     """K6 + C18: the page list in its request envelope."""
     r = records(spark, sf_dir).select("queue_id", "box_number", "box_part", F.col("queue_id").cast("string").alias("pdf_name"))
-    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
+    c = T.page_totals(spark, sf_dir).withColumnRenamed("doc_id", "queue_id")
     return merge.add_pages_request(r.join(c, "queue_id"), root="Request", key="k", signature="s", machine="m1")
 
 

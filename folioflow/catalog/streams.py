@@ -23,7 +23,7 @@ class _Tracker:
         self.spark, self.timeout_ms = spark, timeout_ms
         name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
         self.log, self.out, self.state = (shared_path(spark, "streams", name, x) for x in ("log", "blocks", "state"))
-        self.counts = split.page_counts(T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id")))
+        self.counts = T.page_totals(spark, sf_dir)
 
     def report(self, pages) -> None:
         self.schema = pages.schema
@@ -132,5 +132,5 @@ def manifest_xml(spark, sf_dir):
     """XML manifest per non-bulk record (``to_xml``)."""
     r = non_bulk(spark, sf_dir).select("queue_id", "profile_id", "image_id", "box_number", "box_part",
                                        F.col("queue_id").cast("string").alias("pdf_name"))
-    c = split.page_counts(T.pages(spark, sf_dir)).withColumnRenamed("doc_id", "queue_id")
+    c = T.page_totals(spark, sf_dir).withColumnRenamed("doc_id", "queue_id")
     return merge.manifest_xml(r.join(c, "queue_id", "inner"), RUN_DATE)

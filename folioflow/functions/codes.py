@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,13 +128,22 @@ def log_line(ts: str | Column, status: str | Column, error: str | Column, path:
 TASKS_SCHEMA = "array<map<string,struct<page_index:int,is_finish:string>>>"
 
 
-def explode_tasks(state: DataFrame, col: str = "tasks", key: str = "queue_id") -> DataFrame:
+def explode_tasks(state: DataFrame, col: str = "tasks", key: str | Sequence[str] = "queue_id") -> DataFrame:
     """Saved task list ``[{name: {page_index, is_finish}}]`` -> rows in list order.
 
     ``col`` is a JSON string or already the parsed array.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     arr = F.from_json(F.col(col), TASKS_SCHEMA) if dict(state.dtypes)[col] == "string" else F.col(col)
-    x = state.select(key, F.posexplode(arr).alias("task_pos", "task"))
-    x = x.select(key, "task_pos", F.explode("task").alias("barcode", "v"))
-    return x.select(key, "task_pos", "barcode", F.col("v.page_index").alias("page_index"),
+    x = state.select(*keys, F.posexplode(arr).alias("task_pos", "task"))
+    x = x.select(*keys, "task_pos", F.explode("task").alias("barcode", "v"))
+    return x.select(*keys, "task_pos", "barcode", F.col("v.page_index").alias("page_index"),
                     (F.col("v.is_finish") == "t").alias("is_finish"))
+
+
+def first_task(tasks: DataFrame, key: str | Sequence[str] = "queue_id") -> DataFrame:
+    """Of the entries of one name in a list the first one, as a lookup by name finds it."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return tasks.groupBy(*keys, "barcode").agg(
+        F.min("task_pos").alias("task_pos"), F.min_by("page_index", "task_pos").alias("page_index"),
+        F.min_by("is_finish", "task_pos").alias("is_finish"))

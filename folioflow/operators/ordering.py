@@ -28,7 +28,8 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 
 def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
-                   name: str = "ordinal", block: Column | None = None, block_size: int = 4096) -> DataFrame:
+                   name: str = "ordinal", block: Column | None = None, block_size: int = 4096,
+                   hot_rows: int = 1_000_000) -> DataFrame:
     """1-based ``row_number()`` over ``partition by key order by order`` without a hot task.
 
     Rows are numbered inside blocks (a window over ``(key, block)``); block
@@ -36,14 +37,25 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     ``block`` is any expression that never falls while the first order column
     rises; the default is ``div block_size`` for an integer column and the
     column itself otherwise.  Give a prefix (``substring``) for strings with
-    many distinct values.  There is one method at every size, nothing is
-    sampled, and no Spark job runs while the plan is built.  Null keys, blocks
-    and order values are kept (nulls come first).
+    many distinct values.
+
+    A key of more than ``hot_rows`` rows is cut finer, by the values of its first
+    two order columns, since the first one may have few.  Such keys come from one
+    count of the rows as a scalar list, no longer than the rows by ``hot_rows``.
+    Nothing is sampled and no Spark job runs while the plan is built.  Null
+    keys, blocks and order values are kept (nulls come first).
     """
     keys = _names(key)
     if block is None:
         whole = dict(df.dtypes)[order[0]] in ("int", "bigint", "smallint", "tinyint")
         block = F.floor(F.col(order[0]) / F.lit(block_size)).cast("long") if whole else F.col(order[0])
+        if len(order) > 1:
+            # a coarse block on its own, or for a hot key the values themselves (never both for one key)
+            of = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+            hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).agg(F.collect_list(of)).scalar()
+            fine = F.struct(F.col(order[0]).alias("a"), F.col(order[1]).alias("b"))
+            is_hot = F.coalesce(F.array_contains(hot, of), F.lit(False))
+            block = F.struct(F.when(~is_hot, block).alias("coarse"), F.when(is_hot, fine).alias("fine"))
     x = df.withColumn("_ff_blk", block)
     x = x.withColumn("_ff_local", F.row_number().over(Window.partitionBy(*keys, "_ff_blk").orderBy(*order)))
     counts = x.groupBy(*keys, "_ff_blk").agg(F.count(F.lit(1)).alias("_ff_n"))

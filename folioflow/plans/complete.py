@@ -169,9 +169,10 @@ def missing_kinds(files: DataFrame, outputs: DataFrame, kinds: Sequence[str],
 
 
 def resume_segments(plan: DataFrame, finished: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Planned segments not finished yet, keyed by (doc, barcode, from_page).
+    """Planned segments not finished yet, by document and first page (and barcode, if ``finished`` has one).
 
-    ``from_page`` is part of the key because one barcode can start several
-    segments; the source matched by barcode alone.
+    ``from_page`` is the key because one barcode can start several segments; the
+    source matched by barcode alone.
     """
-    return plan.join(finished.select(key, "barcode", "from_page"), [key, "barcode", "from_page"], "left_anti")
+    on = [key, "from_page", *(["barcode"] if "barcode" in finished.columns else [])]
+    return plan.join(finished.select(*on), on, "left_anti").select(*plan.columns)

@@ -10,7 +10,7 @@ value would be too large.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import request_envelope
@@ -44,6 +44,36 @@ def merge_page_text(pages: DataFrame, sep: str = "", block_pages: int = 1024,
     return blocks.groupBy("doc_id").agg(_ordered_join(F.col("block"), F.col("text"), sep).alias("text"))
 
 
+def text_chunks(pages: DataFrame, sep: str = "", block_pages: int = 1024, text_col: str = "text") -> DataFrame:
+    """A5 as ordered chunks: (doc_id, chunk, start, n_bytes, text); no document is gathered in one cell.
+
+    ``text`` are the pages of a block joined by ``sep``, with ``sep`` before it
+    if it is not the document's first; ``start`` is the number of UTF-8 bytes of
+    the chunks before it, so the chunks in order of ``start`` are the document.
+    """
+    blocks = merge_page_text_blocks(pages, sep, block_pages, text_col)
+    order = Window.partitionBy("doc_id").orderBy("block")           # one row per block_pages pages
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    text = F.concat(F.when(F.row_number().over(order) > 1, sep).otherwise(""), "text")
+    sized = blocks.withColumn("text", text).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    return sized.select("doc_id", F.col("block").alias("chunk"), F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).alias("start"),
+                        "n_bytes", "text")
+
+
+def read_range(chunks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Bytes ``from_byte`` to ``to_byte`` (exclusive) of documents, from the chunks that hold them.
+
+    ``wanted``: doc_id, from_byte, to_byte.  Returns doc_id, from_byte, to_byte,
+    part (from 0), bytes: one row per chunk in reach, in order, none beyond the end.
+    """
+    x = chunks.join(wanted, "doc_id").where((F.col("start") < F.col("to_byte")) & (F.col("start") + F.col("n_bytes") > F.col("from_byte")))
+    lo = F.greatest(F.col("from_byte") - F.col("start"), F.lit(0))
+    hi = F.least(F.col("to_byte") - F.col("start"), F.col("n_bytes"))
+    part = F.row_number().over(Window.partitionBy("doc_id", "from_byte", "to_byte").orderBy("start")) - 1
+    return x.select("doc_id", "from_byte", "to_byte", part.alias("part"),
+                    F.substring(F.col("text").cast("binary"), (lo + 1).cast("int"), (hi - lo).cast("int")).alias("bytes"))
+
+
 def join_page_text(pages: DataFrame, block_pages: int = 1024, text_col: str = "text") -> DataFrame:
     """Page texts joined with a blank line, then trimmed."""
     m = merge_page_text(pages, "\n\n", block_pages, text_col)

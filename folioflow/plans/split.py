@@ -27,7 +27,7 @@ whole document into one task and no per-document table is joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import rstrip_ws
@@ -127,19 +127,34 @@ def explode_range(df: DataFrame, first: Column, last: Column, name: str, block:
     return x.withColumn(name, F.explode(F.sequence(start, F.least(hi, start + block - 1)))).drop("_ff_b")
 
 
-def assign_pages(segments: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+def assign_pages(segments: DataFrame, pages: DataFrame | None = None, block_pages: int = 4096) -> DataFrame:
     """Pages of each segment (doc_id, from_page, page_no, new_page_no [+ page columns]).
 
-    The range condition ``page_no between from and to`` is turned into an
-    equi join by exploding ``sequence(from, to)`` (``from <= to`` always holds
-    after W4), so no range or nested-loop join is planned.
+    Segments of one document do not overlap (W4), so a page belongs to the last
+    segment that starts at or before it, if that one reaches it.  Segment starts
+    and pages share one shuffle by (document, block of pages); a segment that
+    goes on in later blocks starts anew at each of them, one row per
+    ``block_pages`` pages, and a window carries the start forward to the pages.
+    Without ``pages`` the page numbers are made from the segments.
     """
-    x = explode_range(segments.select("doc_id", "barcode", "from_page", "to_page"), F.col("from_page"), F.col("to_page"),
-                      "page_no")
-    x = x.withColumn("new_page_no", (F.col("page_no") - F.col("from_page") + 1).cast("int"))
+    segs = segments.select("doc_id", "barcode", "from_page", "to_page")
     if pages is None:
-        return x
-    return x.join(pages, on=["doc_id", "page_no"], how="inner")
+        x = explode_range(segs, F.col("from_page"), F.col("to_page"), "page_no")
+        return x.withColumn("new_page_no", (F.col("page_no") - F.col("from_page") + 1).cast("int"))
+    block = lambda c: F.floor(F.col(c) / F.lit(block_pages)).cast("int")
+    rest = [c for c in pages.columns if c not in ("doc_id", "page_no")]
+    starts = segs.withColumn("_blk", F.explode(F.sequence(block("from_page"), block("to_page")))).select(
+        "doc_id", "_blk", F.greatest(F.col("from_page"), F.col("_blk") * block_pages).alias("_at"),
+        F.struct("barcode", "from_page", "to_page").alias("_seg"))
+    lines = pages.select("doc_id", block("page_no").alias("_blk"), F.col("page_no").alias("_at"),
+                         F.struct("page_no", *rest).alias("_page"))
+    both = starts.unionByName(lines, allowMissingColumns=True)
+    # of a start and a page at one place the start comes first
+    w = Window.partitionBy("doc_id", "_blk").orderBy("_at", F.col("_page").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    x = both.withColumn("_seg", F.last("_seg", ignorenulls=True).over(w)).where(
+        F.col("_page").isNotNull() & (F.col("_seg.to_page") >= F.col("_at")))
+    return x.select("doc_id", "_page.page_no", *[F.col(f"_seg.{c}").alias(c) for c in ("barcode", "from_page", "to_page")],
+                    (F.col("_at") - F.col("_seg.from_page") + 1).cast("int").alias("new_page_no"), *[F.col("_page")[c].alias(c) for c in rest])
 
 
 def barcode_map(pages: DataFrame, prefix: str = "NEU_", min_len: int = 5, block_pages: int = 4096) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import log_line
 from ..functions.text import strip_ws
 from ..operators.joins import EXCLUDED_KINDS, without_excluded
+from . import state_log
 
 
 def write_package(artifacts: DataFrame, root: str, excluded: Sequence[str] = tuple(EXCLUDED_KINDS),
@@ -19,8 +20,8 @@ def write_package(artifacts: DataFrame, root: str, excluded: Sequence[str] = tup
     ``artifacts`` needs box_number, box_part, kind (+ payload columns).  Only
     the partitions being written are replaced (dynamic partition overwrite).
     """
-    # all rows of a box in one task: one file per folder
-    (without_excluded(artifacts, excluded).repartition("box_number", "box_part").write
+    # few files per folder, and a box beyond the advisory partition size is split over several tasks
+    (without_excluded(artifacts, excluded).hint("rebalance", "box_number", "box_part").write
         .option("partitionOverwriteMode", "dynamic")
         .mode(mode).partitionBy("box_number", "box_part").parquet(root))
 
@@ -46,14 +47,13 @@ def append_run_log(results: DataFrame, path: str, run_ts: str) -> None:
     lines.write.mode("append").text(path)
 
 
-def write_job_state(state: DataFrame, path: str, key: str = "queue_id", buckets: int = 256) -> None:
-    """K4: persist job states as JSON lines in ``buckets`` folders by a hash of the job key.
+def write_job_state(state: DataFrame, path: str, batch_id: int = 0) -> None:
+    """K4: persist the given job states as batch ``batch_id`` of the state log below ``path``.
 
-    ``state`` holds every job of the buckets it touches; those buckets are
-    rewritten, the others stay.
+    Jobs that are not in ``state`` keep theirs; the state of a job is the one of
+    its highest batch (:func:`folioflow.sources.files.read_job_state`).
     """
-    out = state.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
-    out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").json(path)
+    state_log.append(state, path, batch_id)
 
 
 def sync_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -> None:

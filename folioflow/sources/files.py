@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import file_stem, sub_dir
+from ..sinks import state_log
 
 # Saved job state (M7): flat string fields plus the split task list.
 JOB_STATE_SCHEMA = ("queue_id string, scannedimages_path string, pdf_name string, keep_barcode_ind string, "
@@ -39,12 +40,12 @@ def scan_documents(spark: SparkSession, root: str, ext: str = "pdf", with_conten
 
 
 def read_job_state(spark: SparkSession, path: str) -> DataFrame:
-    """Saved job states (JSON lines); missing flags take the source defaults.
+    """The latest saved state of every job (K4 log); missing flags take the source defaults.
 
     ``have_ocr``, ``have_sphinx`` and ``add_pages`` default to ``'f'``;
     ``keep_barcode_ind`` defaults to ``'t'``.
     """
-    df = spark.read.schema(JOB_STATE_SCHEMA).json(path)
+    df = state_log.latest(spark, path, JOB_STATE_SCHEMA, "queue_id")
     return df.withColumns({
         "have_ocr": F.coalesce("have_ocr", F.lit("f")),
         "have_sphinx": F.coalesce("have_sphinx", F.lit("f")),

@@ -9,7 +9,7 @@ oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordinal_within
@@ -45,12 +45,27 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_no"),
         barcode.cast("string").alias("barcode"),
         (F.col("l_extendedprice") / 20).alias("width"),
-        F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.0), F.col("l_quantity") / 50).alias("ink"),
+        _ink(),
         F.col("l_returnflag").alias("returnflag"),
         F.col("l_linestatus").alias("linestatus"),
     )
 
 
+def page_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``v_counts``: pages per document (doc_id, num_pages), counted on the rows without numbering them."""
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(
+        F.count(F.lit(1)).cast("int").alias("num_pages"))
+
+
+def page_inks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inks of all pages without page numbers (doc_id, ink array<double> [C, M, Y, K])."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), _ink())
+
+
+def _ink() -> Column:
+    return F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.0), F.col("l_quantity") / 50).alias("ink")
+
+
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_page_text``: conversation turns as page texts (doc_id, page_no, text)."""
     c = table(spark, sf_dir, "conversations")
