@@ -15,6 +15,7 @@ from ..session import shared_path
 from ..sinks import state_log, writers
 from ..sources import files
 from ..sources import tables as T
+from ..streaming import queue_cursor as qc
 from ..streaming import requests as rq
 from . import job
 from .records import REC, RV, non_bulk, records
@@ -128,6 +129,41 @@ def request_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/outbox").select("queue_id")
 
 
+@job("capped_request_stream", """
+SELECT queue_id, rank, true AS within_cap
+FROM (SELECT queue_id, row_number() OVER (ORDER BY COALESCE(priority, 3), queue_id) AS rank FROM v_queue)
+WHERE rank <= (SELECT count(*) FROM v_messages WHERE value = 'purchase')""", ("v_queue", "v_messages"))
+def capped_request_stream(spark, sf_dir):
+    """T1 + T2 + O2: the queue ranked once, messages consumed as a stream; no batch picks more than its tokens.
+
+    A batch stands for ten seconds of a hundred workers at five tasks a second;
+    what is owed after the last message is served by heartbeats.
+    """
+    from ..operators.filters import decode_flags
+    root = _folder(spark, "capped")
+    T.messages(spark, sf_dir).drop("body").repartition(4).write.parquet(f"{root}/messages")
+    qc.rank_queue(decode_flags(T.queue(spark, sf_dir)).select("queue_id", "priority_id"), f"{root}/queue")
+    ticks = iter(range(0, 10 * 1_000_000, 10))
+    cap = 100 * rq.MAX_TASKS_PER_SECOND * 10
+    cursor = qc.QueueCursor(spark, f"{root}/cursor", rate=cap / 10, burst=cap, clock=lambda: next(ticks))
+    handle = qc.pick_by_cursor(spark, f"{root}/queue", f"{root}/outbox", cursor)
+    seen = []
+
+    def batch(df, batch_id):
+        seen.append(batch_id)
+        handle(df, batch_id)
+
+    q = rq.start_request_stream(spark, f"{root}/messages", "event_id long, value string, ts timestamp_ntz", f"{root}/state",
+                                batch, trigger="purchase", max_files_per_trigger=2, available_now=True)
+    q.awaitTermination()
+    nothing = T.messages(spark, sf_dir).limit(0)
+    while cursor.owed():
+        batch(nothing, seen[-1] + 1)
+    picked = spark.read.parquet(f"{root}/outbox")
+    sizes = picked.groupBy("batch_id").agg((F.count(F.lit(1)) <= cap).alias("within_cap"))
+    return picked.join(sizes, "batch_id").select("queue_id", "rank", "within_cap")
+
+
 @job("mark_processed_request", """
 SELECT queue_id, '{"Request":{"api_key":"k","api_sig":"s","bookmarkProcessQueueId":"' || CAST(queue_id AS VARCHAR) ||
        '","processed":"true","machineName":"m1"}}' AS request

@@ -193,3 +193,38 @@ def test_timers_and_expiring_state(spark, scratch):
         assert cp.open_blocks(spark, ck).count() == 0
     assert sorted(map(tuple, cp.late_pages(spark.read.parquet(out)).collect())) == [(1, 2), (1, 3), (3, 128)]
     assert status() == {1: "complete", 2: "complete", 3: "complete"}
+
+
+def test_cursor_caps_batches_and_replays(spark, scratch):
+    """No batch beyond its tokens, owed requests served later, a replayed batch picks the same, ranks once each."""
+    from folioflow.streaming import queue_cursor as qc
+    queue = spark.createDataFrame([(k, k % 3) for k in range(100)], "queue_id long, priority_id int").repartition(7)
+    at = lambda x: os.path.join(scratch, x)
+    qc.rank_queue(queue, at("queue"))
+    ranked = [r.queue_id for r in qc.ranked_queue(spark, at("queue")).orderBy("rank").collect()]
+    assert ranked == sorted(range(100), key=lambda k: (k % 3, k))
+    assert [r.rank for r in qc.ranked_queue(spark, at("queue")).orderBy("rank").collect()] == list(range(1, 101))
+    time_now = [0.0]
+    cursor = qc.QueueCursor(spark, at("cursor"), rate=2, burst=10, clock=lambda: time_now[0])
+    handle = qc.pick_by_cursor(spark, at("queue"), at("out"), cursor)
+    woken = lambda n: spark.range(n)
+    handle(woken(4), 0)                              # 10 tokens, 6 left
+    handle(woken(30), 1)                             # 6 served, 24 owed
+    assert cursor.owed() == 24
+    time_now[0] = 3.0
+    handle(woken(0), 2)                              # three seconds: 6 more
+    time_now[0] = 60.0
+    handle(woken(30), 1)                             # replay: as before
+    handle(woken(500), 3)                            # the bucket holds 10
+    out = {}
+    for r in spark.read.parquet(at("out")).collect():
+        out.setdefault(r.batch_id, []).append(r["rank"])
+    assert {k: (min(v), max(v), len(v)) for k, v in out.items()} == {0: (1, 4, 4), 1: (5, 10, 6), 2: (11, 16, 6), 3: (17, 26, 10)}
+    # a new cursor on the same log goes on; requests beyond the queue's end are not owed
+    again = qc.QueueCursor(spark, at("cursor"), rate=2, burst=1000, clock=lambda: 10_000.0)
+    handle = qc.pick_by_cursor(spark, at("queue"), at("out"), again)
+    handle(woken(0), 4)
+    got = sorted(r["rank"] for r in spark.read.parquet(at("out")).collect())
+    assert got == list(range(1, 101)) and again.owed() == 0
+    plan = qc.ranked_queue(spark, at("queue")).where("rank BETWEEN 3 AND 9")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(rank,3)" in plan and "Exchange" not in plan
