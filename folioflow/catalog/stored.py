@@ -114,6 +114,20 @@ def sync_table(spark, sf_dir):
     return spark.read.parquet(dst).select("id", "name", "email", "role_code")
 
 
+@job("sync_difference", """
+SELECT id, CASE WHEN id = (SELECT max(id) FROM v_users) THEN 'changed' ELSE name END AS name, email, role_code, 1 AS copied, 0 AS copied_again
+FROM v_users""", ("v_users",))
+def sync_difference(spark, sf_dir):
+    """K8 as a difference: the user table copied, one row changed (one bucket is copied), nothing changed (none is)."""
+    dst = _folder(spark, "users_difference")
+    users = T.users(spark, sf_dir).select("id", "name", "email", "role_code")
+    last = users.agg(F.max("id")).scalar()
+    changed = users.withColumn("name", F.when(F.col("id") == last, "changed").otherwise(F.col("name")))
+    writers.sync_difference(users, dst, "id", buckets=64)
+    copied, again = [writers.sync_difference(changed, dst, "id", buckets=64) for _ in range(2)]
+    return writers.read_synced(spark, dst).select("id", "name", "email", "role_code", F.lit(copied).alias("copied"), F.lit(again).alias("copied_again"))
+
+
 @job("request_stream", """
 SELECT queue_id FROM v_queue ORDER BY COALESCE(priority, 3), queue_id
 LIMIT (SELECT count(*) FROM v_messages WHERE value = 'purchase')""", ("v_queue", "v_messages"))

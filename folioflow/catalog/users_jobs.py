@@ -93,6 +93,20 @@ def search_users(spark, sf_dir):
     return flt.search_users(T.users(spark, sf_dir), "MACHINERY 00001").select("id", "name", "email")
 
 
+@job("search_many", """
+SELECT s.search_id, u.id, u.name, u.email FROM v_users u JOIN searches s
+  ON (u.name ILIKE '%' || s.a || '%' OR u.email ILIKE '%' || s.a || '%') AND (u.name ILIKE '%' || s.b || '%' OR u.email ILIKE '%' || s.b || '%')""",
+     ("v_users",), """searches AS (SELECT s_suppkey AS search_id, CAST(s_suppkey % 97 AS VARCHAR) AS a,
+  CASE s_suppkey % 6 WHEN 0 THEN 'machin' WHEN 1 THEN 'BUILD' WHEN 2 THEN 'auto%le' WHEN 3 THEN 'house_old' WHEN 4 THEN '%' ELSE '@Ex' END AS b
+  FROM supplier)""")
+def search_many(spark, sf_dir):
+    """F14 for many searches: one per supplier, two words each, some with wildcards."""
+    k = F.col("s_suppkey")
+    b = F.element_at(F.array(*[F.lit(w) for w in ("machin", "BUILD", "auto%le", "house_old", "%", "@Ex")]), (k % 6 + 1).cast("int"))
+    searches = T.table(spark, sf_dir, "supplier").select(k.alias("search_id"), F.concat_ws(" ", (k % 97).cast("string"), b).alias("keywords"))
+    return flt.search_many(T.users(spark, sf_dir).select("id", "name", "email"), searches)
+
+
 @job("admins", "SELECT id, name FROM v_users WHERE role_code = 0", ("v_users",))
 def admins(spark, sf_dir):
     """administrators."""

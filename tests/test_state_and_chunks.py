@@ -167,3 +167,30 @@ def test_page_view_scans(spark):
     for name, most in (("page_counts", 1), ("color_device", 1)):
         plan = queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") <= most and "Window" not in plan, name
+
+
+def test_sync_copies_only_what_differs(spark, scratch):
+    dst = os.path.join(scratch, "copy")
+    make = lambda rows: spark.createDataFrame(rows, "id long, name string")
+    rows = [(k, f"n{k}") for k in range(200)] + [(5, "n5"), (None, None)]
+    now = lambda: sorted(map(tuple, writers.read_synced(spark, dst).collect()), key=str)
+    assert writers.sync_difference(make(rows), dst, "id", buckets=16) == 16 and now() == sorted(rows, key=str)
+    assert writers.sync_difference(make(rows[::-1]), dst, "id", buckets=16) == 0        # the order does not matter
+    rows[7] = (7, None)
+    assert writers.sync_difference(make(rows), dst, "id", buckets=16) == 1 and now() == sorted(rows, key=str)
+    rows.remove((5, "n5"))                                                              # one of two equal rows
+    assert writers.sync_difference(make(rows), dst, "id", buckets=16) == 1 and now() == sorted(rows, key=str)
+    assert writers.sync_difference(make(rows[:3]), dst, "id", buckets=16) > 1 and now() == rows[:3]
+    assert writers.sync_difference(make([]), dst, "id", buckets=16) > 0 and now() == []
+
+
+def test_search_many_against_single_searches(spark):
+    from folioflow.operators import filters
+    users = spark.createDataFrame([(1, "Anna Berg", "anna@x.org"), (2, "BERGER", None), (3, "Åsa_b", "a%b@y.org"), (4, None, None), (5, "", "q@x.org")],
+                                  "id long, name string, email string")
+    asked = ["berg", "ANNA berg", "a", "x.org", "b_rg", "%", "", "  ", "zz", "a%a", "_", "an x.o", "åsa", "g@nobody"]
+    got = {}
+    for r in filters.search_many(users, spark.createDataFrame(list(enumerate(asked)), "search_id int, keywords string")).collect():
+        got.setdefault(r.search_id, set()).add(r.id)
+    for k, words in enumerate(asked):
+        assert got.get(k, set()) == {r.id for r in filters.search_users(users, words).collect()}, words
