@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 
+#: no part of a tag is tried twice (possessive), so a match takes time in proportion to what it reads
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|([^<]+|<)", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|([^<]+|<)", re.S)
+_TAG = re.compile(r"</?[a-zA-Z]")
+_SIGN = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -45,6 +50,27 @@ def _element(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+class _TagEnds:
+    """Whether the tag that starts at a place has an end, for pages with a tag that has none (one pass from the back)."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _SIGN.finditer(page)]
+        n = len(self.at)
+        self.ends = [False] * (n + 1)                # by the next sign, outside of quotes
+        quote = {'"': n, "'": n}                     # the next quote of either kind
+        for i in range(n - 1, -1, -1):
+            c = page[self.at[i]]
+            if c == ">":
+                self.ends[i] = True
+            else:
+                j = quote[c]
+                self.ends[i] = j < n and self.ends[j + 1]
+                quote[c] = i
+
+    def has_end(self, start: int) -> bool:
+        return self.ends[bisect_left(self.at, start)]
+
+
 def _bucket(x: float, edges) -> int:
     return sum(x >= e for e in edges)
 
@@ -58,6 +84,9 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
     linked, in_link = 0, 0
     found: list[tuple[str, tuple, int, str]] = []
     at, size = 0, len(page)
+    last = page.rfind(">")
+    ends: _TagEnds | None = None
+    open_tags: Counter = Counter()
 
     def flush():
         nonlocal linked
@@ -72,14 +101,20 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
     def close(k: int):
         nonlocal path, in_link
         in_link -= sum(x == "a" for x, _ in stack[k:])
+        open_tags.subtract(x for x, _ in stack[k:])
         del stack[k:]
         path = stack[-1][1] if stack else ()
 
     while at < size:
-        m = _TOKEN.match(page, at)
-        if m is None:                                # an unfinished tag: text up to the next sign
+        # a sign that starts no tag is text; comments may be open to the end
+        if page[at] == "<" and not page.startswith("<!--", at) and (
+                at > last or ends is not None and _TAG.match(page, at) and not ends.has_end(at)):
+            text.append("<")
             at += 1
             continue
+        m = _TOKEN.match(page, at)
+        if m[4] == "<" and ends is None and _TAG.match(page, at):
+            ends = _TagEnds(page)                    # a tag without an end
         at = m.end()
         if m[4] is not None:
             t = html.unescape(m[4])
@@ -91,7 +126,10 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in INLINE:
+            if not open_tags[tag]:
+                if tag not in INLINE:
+                    flush()
+            elif tag in INLINE:
                 k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag or stack[k][0] not in INLINE), -1)
                 if k >= 0 and stack[k][0] == tag:
                     close(k)
@@ -117,9 +155,10 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
             continue
         if tag not in INLINE:
             flush()
-            ends = SAME.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends or tag in CLOSES_P and stack[k][0] == "p":
+            closed = SAME.get(tag, ())
+            found_open = any(open_tags[x] for x in closed) or tag in CLOSES_P and open_tags["p"]
+            for k in range(len(stack) - 1, -1, -1) if found_open else ():
+                if stack[k][0] in closed or tag in CLOSES_P and stack[k][0] == "p":
                     close(k)
                     break
                 if stack[k][0] in SCOPE:
@@ -130,6 +169,7 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
         new = tuple(x for x in own if x not in path)
         path = path + new if new else path
         stack.append((tag, path))
+        open_tags[tag] += 1
     flush()
 
     out, n = [], len(found)
@@ -137,7 +177,8 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
         words = t.count(" ") + 1
         f = ("bias", "l:" + leaf, f"w:{_bucket(words, (2, 5, 10, 25))}", f"k:{_bucket(links / words, (0.01, 0.4, 0.8))}",
              "end" if t[-1] in ".!?…:;\"”»" else "noend", f"pos:{_bucket(k / n, (0.1, 0.3, 0.7, 0.9))}")
-        if CUES.search(t[:300]):
-            f += ("cue", f"cue{_bucket(words, (5, 25))}")
+        cues = len(CUES.findall(t))
+        if cues:
+            f += ("cue", f"cue{_bucket(words, (5, 25))}", f"cues{_bucket(cues / words, (0.01, 0.05, 0.2))}")
         out.append((t, p, f))
     return out

@@ -309,3 +309,24 @@ def test_pages_table(spark, model):
         want = [" ".join(h.unescape(re.sub("<br>", " ", re.sub("</?b>", "", x))).split()) for x in re.split("</?(?:p|h1)>", inner)]
         assert r["main_text"] == "\n".join(x for x in want if x)
     assert html_extraction.extract(rows.limit(0), model=model).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<a '" * 60_000, "<!x " * 100_000, "<" + "a" * 300_000, "<a " * 100_000 + "'", "<div>" * 3000 + "</p>" * 60_000,
+                                  "<a '\">" * 30_000 + "<p>\"", "<a '" * 30_000 + "<b \"" * 30_001 + ">"])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    from folioflow.llm.html_blocks import blocks
+    t = time.process_time()
+    blocks("<p>start</p>" + page)
+    assert time.process_time() - t < 5
+
+
+def test_tags_without_end_are_text():
+    from folioflow.llm.html_blocks import blocks
+    texts = lambda page: [t for t, *_ in blocks(page)]
+    assert texts("<p>a < b <c 'd</p><p>e</p>") == ["a < b <c 'd", "e"]
+    assert texts("<p title=\"x > y\">one</p><p title='>'>two<p>three") == ["one", "two", "three"]
+    assert texts("<p>x</p><!-- open <p>y") == ["x"] and texts("a <!-- open") == ["a"] and texts("1 < 2") == ["1 < 2"]
+    # a cue at the end of a long block counts
+    assert any("cue" in f for _, _, f in blocks("<p>" + "word " * 200 + "newsletter</p>"))
