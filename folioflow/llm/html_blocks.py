@@ -30,10 +30,18 @@ SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("ul ol table dl div article section aside nav main body".split())
 
 #: fixed values: words that stand for page furniture in English, German, French and Spanish
-CUES = re.compile(
-    "©|copyright|all rights|cookie|privacy|newsletter|subscribe|sign ?up|log ?in|sign in|advert|sponsor|share this|reply|"
-    "comments?\\b|related|read more|menu|search|datenschutz|impressum|anmelden|werbung|kommentar|antworten|"
-    "confidentialité|s'abonner|publicité|commentaire|répondre|privacidad|suscr|publicidad|comentario|responder", re.I)
+CUES = ("©", "copyright", "all rights", "cookie", "privacy", "newsletter", "subscribe", "sign up", "signup", "log in", "login", "sign in",
+        "advert", "sponsor", "share this", "reply", "related", "read more", "menu", "search", "datenschutz", "impressum", "anmelden",
+        "werbung", "kommentar", "antworten", "confidentialité", "s'abonner", "publicité", "commentaire", "répondre", "privacidad",
+        "suscr", "publicidad", "comentario", "responder")
+_COMMENTS = re.compile(r"comments?\b")
+
+
+def count_cues(text: str) -> int:
+    """How often the whole text holds a cue."""
+    low = text.lower()
+    n = sum(low.count(c) for c in CUES if c in low)
+    return n + len(_COMMENTS.findall(low)) if "comment" in low else n
 
 
 def _element(tag: str, attributes: str) -> tuple[str, ...]:
@@ -177,7 +185,7 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple]]:
         words = t.count(" ") + 1
         f = ("bias", "l:" + leaf, f"w:{_bucket(words, (2, 5, 10, 25))}", f"k:{_bucket(links / words, (0.01, 0.4, 0.8))}",
              "end" if t[-1] in ".!?…:;\"”»" else "noend", f"pos:{_bucket(k / n, (0.1, 0.3, 0.7, 0.9))}")
-        cues = len(CUES.findall(t))
+        cues = count_cues(t)
         if cues:
             f += ("cue", f"cue{_bucket(words, (5, 25))}", f"cues{_bucket(cues / words, (0.01, 0.05, 0.2))}")
         out.append((t, p, f))
