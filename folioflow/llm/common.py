@@ -37,11 +37,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
