@@ -37,11 +37,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+#: Spark drops the shuffle files of a query at its end; a table that is written has no more use for them
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
+    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage).
+
+    The shuffle files of the write go when it has ended, so a job of many steps
+    holds those of one step at a time.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path, compression=compression)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
