@@ -30,10 +30,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (MIX_1, broadcast_if_small, byte_slices, map_arrow, mix, powers, prefix_hash, range_hash, signed, written)
+from .common import (MIX_1, byte_slices, map_arrow, mix, powers, prefix_hash, range_hash, signed, written)
 
 LENGTH = 100
 GRAM = 32
@@ -41,9 +41,8 @@ MAX_GROUP = 64
 #: strings over an anchor are first grouped by the bytes that this many neighbouring ones share
 STEP = 17
 SLICE = 512 << 10
-#: rows (an id and a short list each) that may be broadcast; larger tables are joined with a shuffle
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_ITEMS = 4_000_000
+#: spans of one document are merged in blocks of ``2 ** BLOCK`` bytes before they are put into a list
+BLOCK = 16
 
 
 # ---- anchors -------------------------------------------------------------------------------
@@ -101,7 +100,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                      pa.array(a.pos[k], pa.int32()), pa.array(a.left[k], pa.int16()), pa.array(a.right[k], pa.int16())],
                     ["h", "c", "doc_id", "pos", "l", "r"])
 
-    return map_arrow(docs, run, "h long, c long, doc_id long, pos int, l short, r short")
+    return map_arrow(docs, run, f"h long, c long, doc_id {_key_type(docs)}, pos int, l short, r short")
 
 
 # ---- suffixes ------------------------------------------------------------------------------
@@ -247,21 +246,41 @@ def _compared(members: DataFrame, length: int) -> DataFrame:
 
     # at most MAX_GROUP rows have one h, so a hot string cannot make a large partition
     placed = members.repartition("h").sortWithinPartitions("h", "doc_id", "pos")
-    return map_arrow(placed, run, "doc_id long, s int, e int")
+    return map_arrow(placed, run, f"doc_id {_key_type(members)}, s int, e int")
 
 
 # ---- texts with lists of places ------------------------------------------------------------
 
+def _key_type(df: DataFrame) -> str:
+    return df.schema["doc_id"].dataType.simpleString()
+
+
+def _listed(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``_doc, items``: the rows of each document (of one document's places) as a list."""
+    return written(rows.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("items")), name).withColumnRenamed(
+        "doc_id", "_doc")
+
+
 def _with_lists(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``doc_id, text, items``: the documents that ``rows`` name, with their rows as a list (of one document's places)."""
-    n = rows.count()
-    lists = written(rows.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("items")), "places")
-    lists = lists.withColumnRenamed("doc_id", "_doc")
-    if n <= MAX_BROADCAST_ITEMS:
-        lists = broadcast_if_small(lists, MAX_BROADCAST_ROWS)
+    """``doc_id, text, items``: the documents that ``rows`` name, with their rows as a list.
+
+    Both sides are shuffled at every size: the lists grow with the corpus, so
+    nothing is broadcast.
+    """
+    lists = _listed(rows, columns, "places").hint("merge")
     return docs.join(lists, docs["doc_id"] == lists["_doc"]).select("doc_id", "text", "items")
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """``doc_id, s, e``: the union of the spans of each block of a document as runs that do not touch."""
+    block = Window.partitionBy("doc_id", "block").orderBy("s")
+    reach = F.max("e").over(block.rowsBetween(Window.unboundedPreceding, -1))
+    runs = spans.groupBy("doc_id", F.shiftright("s", BLOCK).alias("block"), "s").agg(F.max("e").alias("e")).withColumn(
+        "new", F.when(F.col("s") <= reach, 0).otherwise(1)).withColumn(
+        "run", F.sum("new").over(block.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("doc_id", "block", "run").agg(F.min("s").alias("s"), F.max("e").alias("e")).select("doc_id", "s", "e")
+
+
 def _items(column: pa.Array, i: int, j: int, names: list[str]):
     """Row number in the slice and the fields of all list items of rows ``i:j``."""
     part = column.slice(i, j - i)
@@ -287,7 +306,7 @@ def _surroundings(docs: DataFrame, reps: DataFrame) -> DataFrame:
                     ["h", "doc_id", "pos", "l", "bytes"])
 
     return map_arrow(_with_lists(docs, reps, ["h", "pos", "l", "r"]), run,
-                     "h long, doc_id long, pos int, l short, bytes binary")
+                     f"h long, doc_id {_key_type(docs)}, pos int, l short, bytes binary")
 
 
 def _cores(docs: DataFrame, reps: DataFrame, length: int, gram: int) -> DataFrame:
@@ -308,7 +327,7 @@ def _cores(docs: DataFrame, reps: DataFrame, length: int, gram: int) -> DataFram
                         [pa.array(signed(key)), batch.column(0).take(pa.array(i + row[ok])), pa.array(pos[ok]),
                          pa.array(np.full(len(ok), t, np.int16))], ["k", "doc_id", "pos", "t"])
 
-    return map_arrow(_with_lists(docs, reps, ["pos"]), run, "k long, doc_id long, pos int, t short")
+    return map_arrow(_with_lists(docs, reps, ["pos"]), run, f"k long, doc_id {_key_type(docs)}, pos int, t short")
 
 
 def _strings(docs: DataFrame, places: DataFrame, length: int, gram: int) -> DataFrame:
@@ -334,7 +353,8 @@ def _strings(docs: DataFrame, places: DataFrame, length: int, gram: int) -> Data
                     [pa.array(signed(one)), pa.array(signed(two)), batch.column(0).take(pa.array(i + row)),
                      pa.array((s - offsets[row]).astype(np.int32))], ["k1", "k2", "doc_id", "s"])
 
-    return map_arrow(_with_lists(docs, places, ["pos", "t"]), run, "k1 long, k2 long, doc_id long, s int")
+    return map_arrow(_with_lists(docs, places, ["pos", "t"]), run,
+                     f"k1 long, k2 long, doc_id {_key_type(docs)}, s int")
 
 
 # ---- the operator --------------------------------------------------------------------------
@@ -342,21 +362,21 @@ def _strings(docs: DataFrame, places: DataFrame, length: int, gram: int) -> Data
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, max_group: int = MAX_GROUP) -> DataFrame:
     """``doc_id, s, e``: byte ranges repeated from an earlier place of the corpus outside the same surroundings of
     the same document (those ``cut`` finds by itself)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     anchors = _anchors(docs, length, gram)
     shared = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     anchors = written(anchors.join(shared, "h", "left_semi"), "shared_anchors")
     place = F.struct("doc_id", "pos")
     classes = written(anchors.groupBy("h", "c").agg(
         F.min(F.struct("doc_id", "pos", "l", "r")).alias("m"), F.count(F.lit(1)).alias("n")), "anchor_classes")
-    whole = anchors.where(F.col("l") + F.col("r") >= length).join(
+    whole = written(_merged(anchors.where(F.col("l") + F.col("r") >= length).join(
         classes.where("n > 1").select("h", "c", F.struct("m.doc_id", "m.pos").alias("first")), ["h", "c"]).where(
         place != F.col("first")).select("doc_id", (F.col("pos") - F.col("l")).cast("int").alias("s"),
-                                        (F.col("pos") + F.col("r")).cast("int").alias("e"))
+                                        (F.col("pos") + F.col("r")).cast("int").alias("e"))), "whole_spans")
     mixed = classes.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     reps = written(classes.join(mixed, "h").where(F.col("m.l") + F.col("m.r") >= length).select("h", "size", "m.*"),
                    "anchor_representatives")
-    near = _compared(_surroundings(docs, reps.where(F.col("size") <= max_group)), length)
+    near = written(_merged(_compared(_surroundings(docs, reps.where(F.col("size") <= max_group)), length)), "near_spans")
 
     # anchors with many surroundings
     cores = written(_cores(docs, reps.where(F.col("size") > max_group), length, gram), "cores")
@@ -364,23 +384,17 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, m
     strings = written(_strings(docs, written(cores.join(often, ["k", "t"], "left_semi").select("doc_id", "pos", "t"),
                                              "core_places"), length, gram), "strings")
     first = strings.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
-    far = strings.join(first.where("n > 1"), ["k1", "k2"]).where(F.struct("doc_id", "s") != F.col("first")).select(
-        "doc_id", "s", (F.col("s") + length).cast("int").alias("e"))
-    return whole.union(near).union(far)
+    far = written(_merged(strings.join(first.where("n > 1"), ["k1", "k2"]).where(
+        F.struct("doc_id", "s") != F.col("first")).select("doc_id", "s", (F.col("s") + length).cast("int").alias("e"))), "far_spans")
+    return _merged(whole.union(near).union(far))
 
 
 def cut(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, max_group: int = MAX_GROUP,
         with_kept: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the remaining bytes, if asked) per document."""
     docs = docs.select("doc_id", "text")
-    spans = written(repeated_spans(docs, length=length, gram=gram, max_group=max_group).distinct(), "repeated_spans")
-    n = spans.count()
-    lists = written(spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("items")), "span_lists")
-    lists = lists.withColumnRenamed("doc_id", "_doc")
-    if n <= MAX_BROADCAST_ITEMS:
-        lists = broadcast_if_small(lists, MAX_BROADCAST_ROWS)
-    key = docs.schema["doc_id"].dataType.simpleString()
-    both = docs.join(lists, docs["doc_id"].cast("long") == lists["_doc"], "left").select(
+    lists = _listed(repeated_spans(docs, length=length, gram=gram, max_group=max_group), ["s", "e"], "span_lists").hint("merge")
+    both = docs.join(lists, docs["doc_id"] == lists["_doc"], "left").select(
         "doc_id", "text", F.coalesce("items", F.array().cast("array<struct<s:int,e:int>>")).alias("items"))
 
     def run(batches):
@@ -414,5 +428,5 @@ def cut(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, max_group: i
                     names.append("kept")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return map_arrow(both, run, f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return map_arrow(both, run, f"doc_id {_key_type(docs)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                      + (", kept binary" if with_kept else ""))

@@ -120,6 +120,15 @@ def brute_cut(rows, length):
     return out
 
 
+def test_cut_with_text_ids(spark):
+    """Any type of ``doc_id`` that can be ordered will do; the smaller id keeps a repeated string."""
+    rng = np.random.default_rng(4)
+    passage = "".join(chr(97 + k) for k in rng.integers(0, 26, 140))
+    rows = [("b", "head " + passage + " x"), ("a", passage), ("c", "own text"), (None, passage)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.cut(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": 0, "b": 140, "c": 0, None: 0}
+
+
 @pytest.mark.parametrize("length,gram,max_group", [(100, 32, 64), (100, 32, 1), (60, 20, 3), (40, 8, 2)])
 def test_cut(docs, corpus, length, gram, max_group):
     rows = [(i, t or "") for i, t, *_ in corpus if i != 87]
