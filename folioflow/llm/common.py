@@ -231,6 +231,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: parts that the rows of one component are dealt to in a join
+SPREAD = 16
+
+
+def by_component(df: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """``df(id, comp, ...)`` joined with ``facts`` (a row per ``comp``), the rows of one component over ``SPREAD`` tasks.
+
+    A component may hold a third of all rows; its one row of facts is copied for each part.
+    """
+    salt = F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int").alias("_salt")
+    copies = facts.select("*", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_salt"))
+    return df.select("*", salt).join(copies, ["comp", "_salt"], how).drop("_salt")
+
+
 # ---- groups of similar rows from candidate buckets -----------------------------------------
 
 def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, first_table, confirm, *,
@@ -276,7 +290,7 @@ def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, fir
         return components(edges, f"{name}_components").withColumnRenamed("id", "comp")
 
     def moved(df: DataFrame, to: DataFrame) -> DataFrame:
-        return df.join(to, "comp", "left").withColumn("comp", F.coalesce("component_id", "comp")).drop("component_id")
+        return by_component(df, to, "left").withColumn("comp", F.coalesce("component_id", "comp")).drop("component_id")
 
     def still_open(df: DataFrame) -> DataFrame:
         keys = df.groupBy(*key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(*key)
@@ -288,7 +302,7 @@ def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, fir
     state = written(still_open(moved(state, to)), f"{name}_state")
     for k in range(rounds):
         sizes = whole.groupBy("comp").agg(F.count(F.lit(1)).alias("_of"))
-        ranked = state.where(F.col("size") > small).join(sizes, "comp")
+        ranked = by_component(state.where(F.col("size") > small), sizes)
         partner = ranked.groupBy(*key).agg(F.max(F.struct(
             "_of", F.xxhash64("id", *key, F.lit(k)).alias("_turn"), "id", "comp", *carry)).alias("m"))
         partner = partner.select(*key, *[F.col(f"m.{c}").alias("p_" + c) for c in ("id", "comp", *carry)])
@@ -324,7 +338,7 @@ def linked_groups(buckets: DataFrame, key: list[str], carry: list[str], may, fir
     if not pairs.isEmpty():
         whole = moved(whole, merged(written(confirm(pairs), f"{name}_links"), whole))
     linked = whole.groupBy("comp").agg(F.count(F.lit(1)).alias("_of")).where("_of > 1").select("comp")
-    return whole.join(linked, "comp", "left_semi").select("id", F.col("comp").alias("component_id"))
+    return by_component(whole, linked).select("id", F.col("comp").alias("component_id"))
 
 
 # ---- places in a global order --------------------------------------------------------------
