@@ -1,27 +1,30 @@
 """Token-id output as Re-Pair compressed binary shards with random access.
 
-Documents are range-partitioned and sorted by ``doc_id``, encoded, and cut into
-shards of whole documents (about ``SHARD_TOKENS`` ids).  Inside a shard, rounds
-of Re-Pair replace the most frequent adjacent id pairs by nonterminals; a pair
-never crosses a document end.  A shard is one self-contained binary value,
+Documents are range-partitioned and sorted by ``doc_id`` (rows of one ``doc_id``
+by a hash of their text), encoded, and cut into shards of whole documents (about
+``SHARD_TOKENS`` ids).  Inside a shard, rounds of Re-Pair replace frequent
+adjacent symbol pairs by nonterminals until no pair occurs ``min_count`` times; a
+pair never crosses a document end.  A shard is one self-contained binary value,
 written with Spark's committed Parquet writer (a lost task leaves no part of a
 shard behind), one row per shard.
 
 Shard layout, little-endian:
 
 ====================  =====================================================
-``RPT1``              magic
-5 x uint32            n_docs, first nonterminal, n_rules, n_symbols, id width
-n_rules x 2 x uint32  the pair each nonterminal stands for
+``RPT2``              magic
+5 x uint32            n_docs, n_terms, n_rules, n_symbols, symbol width
+n_terms x uint32      the id of each terminal, ascending
+n_rules x 2 x uint32  the pair of symbols each nonterminal stands for
 n_rules x uint32      expansion length of each nonterminal, in ids
 (n_docs + 1) x uint32 first symbol of each document
 (n_docs + 1) x uint64 first id of each document within the shard
-n_symbols x width     the symbols
+n_symbols x width     the symbols: terminals, then nonterminals (2, 3 or 4 bytes)
 ====================  =====================================================
 
 ``decode_document`` and ``decode_range`` expand only the symbols they need.
 A null text is empty (the end id alone); repeated rows are written once each; a
-null ``doc_id`` sorts first; an empty table gives no shard.
+null ``doc_id`` sorts first; an empty table gives no shard.  One ``doc_id`` may
+hold any number of rows: ranges cut between texts of one ``doc_id``.
 """
 
 from __future__ import annotations
@@ -38,100 +41,123 @@ from .common import map_arrow
 from .tokens import encoded_texts, encoder
 
 SHARD_TOKENS = 1 << 20
-ROUNDS = 3
-RULES_PER_ROUND = 2048
 MIN_COUNT = 16
 _BINS = 19
-_SPREAD = 0x9E3779B97F4A7C15
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _frequent(seq: np.ndarray, ends: np.ndarray, rules: int, min_count: int) -> tuple[np.ndarray, ...]:
-    """Positions of the most frequent adjacent pairs, each position's pair number, and the pairs.
+def _pairs(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
 
-    Pairs are counted in hash bins; the pair that stands for a full bin is then
-    counted by itself, so every returned pair occurs ``min_count`` times or more.
+
+def _frequent(seq: np.ndarray, at: np.ndarray, min_count: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs that start at ``at``: places of those that occur ``min_count`` times, each one's pair, pairs, counts.
+
+    Hash bins drop most rare pairs first (a bin holds at least as many places as
+    any of its pairs); what is left is counted exactly.
+    """
+    key = _pairs(seq, at)
+    bins = ((key * _SPREAD) >> np.uint64(64 - _BINS)).astype(np.intp)
+    often = np.bincount(bins, minlength=1 << _BINS) >= min_count
+    left = often[bins]
+    at, key = at[left], key[left]
+    pair, of, count = np.unique(key, return_inverse=True, return_counts=True)
+    enough = count >= min_count
+    left = enough[of]
+    return at[left], (np.cumsum(enough) - 1)[of[left]], pair[enough], count[enough]
+
+
+def _chosen(at: np.ndarray, of: np.ndarray, pair: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which candidates to replace, none overlapping: those more frequent than both neighbours, as far as they compete.
+
+    Pairs rank by the binary logarithm of their count, then by a hash, so equal
+    passages are parsed alike wherever they stand.  In a run of one pair (``aaaa``)
+    every second place is taken.
     """
-    kind, half = (np.uint32, 16) if seq.dtype == np.uint16 else (np.uint64, 32)
-    key = seq[:-1].astype(kind)
-    key <<= kind(half)
-    key |= seq[1:]
-    with np.errstate(over="ignore"):
-        bins = ((key * kind(_SPREAD >> (64 - 2 * half) | 1)) >> kind(2 * half - _BINS)).astype(np.intp)
-    bins[ends[:-1]] = 1 << _BINS                     # a pair never crosses a document end
-    count = np.bincount(bins, minlength=(1 << _BINS) + 1)
-    count[-1] = 0
-    full = np.flatnonzero(count >= min_count)
-    if len(full) > rules:
-        full = full[np.argpartition(count[full], -rules)[-rules:]]
-    slot = np.full((1 << _BINS) + 1, -1, np.int32)
-    slot[full] = np.arange(len(full), dtype=np.int32)
-    of = slot[bins]
-    at = np.flatnonzero(of >= 0)
-    of, own = of[at], key[at]
-    pair = np.zeros(len(full), kind)
-    pair[of] = own
-    same = own == pair[of]
-    at, of = at[same], of[same]
-    often = np.bincount(of, minlength=len(full)) >= min_count
-    keep = often[of]
-    return at[keep], of[keep], pair
-
-
-def compress(ids: np.ndarray, doc_lengths: np.ndarray, *, rounds: int = ROUNDS, rules_per_round: int = RULES_PER_ROUND,
-             min_count: int = MIN_COUNT) -> bytes:
-    """One shard of whole documents (their ids one after another)."""
-    top = int(ids.max()) + 1 if len(ids) else 1
-    seq = ids.astype(np.uint16 if top + rounds * rules_per_round <= 1 << 16 else np.uint32)
+    rank = (np.log2(count).astype(np.uint64) << np.uint64(56)) | ((pair * _SPREAD) >> np.uint64(8))
+    mine = rank[of]
+    beside = np.diff(at) == 1                        # candidate k + 1 overlaps candidate k
+    same = beside & (mine[1:] == mine[:-1])
+    start = np.concatenate([[True], ~same])          # runs of one rank
+    run = np.cumsum(start) - 1
+    first = np.flatnonzero(start)
+    last = np.concatenate([first[1:] - 1, [len(at) - 1]])
+    lower = np.ones(len(first), bool)
+    lower[1:] &= ~(beside[first[1:] - 1] & (mine[first[1:] - 1] > mine[first[1:]]))
+    lower[:-1] &= ~(beside[last[:-1]] & (mine[last[:-1] + 1] > mine[last[:-1]]))
+    return lower[run] & ((np.arange(len(at)) - first[run]) % 2 == 0)
+
+
+def compress(ids: np.ndarray, doc_lengths: np.ndarray, *, min_count: int = MIN_COUNT) -> bytes:
+    """One shard of whole documents (their ids one after another).
+
+    A round looks only at places whose pair may have become frequent since it was
+    last counted, those beside a replaced one or still waiting for a neighbour;
+    when none is left, all pairs are counted once more.
+    """
+    present = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
+    terms = np.flatnonzero(present).astype("<u4")
+    seq = (np.cumsum(present) - 1).astype(np.uint32)[ids] if len(ids) else np.zeros(0, np.uint32)
+    base, min_count = len(terms), max(2, min_count)
     bounds = np.concatenate([[0], np.cumsum(doc_lengths)]).astype(np.int64)
+    filled = doc_lengths > 0
     ends = np.zeros(len(seq), bool)
-    ends[bounds[1:][doc_lengths > 0] - 1] = True
-    base, half = top, 8 * seq.itemsize
-    left, right, size = [], [], np.zeros(0, np.uint32)
-    doc = np.repeat(np.arange(len(doc_lengths)), doc_lengths)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        at, of, pair = _frequent(seq, ends, rules_per_round, min_count)
-        if not len(at):
-            break
-        # overlapping candidates: every second one of a run of neighbours
-        new_run = np.ones(len(at), bool)
-        new_run[1:] = np.diff(at) != 1
-        run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - run_start) % 2 == 0
-        at, of = at[take], of[take]
-        used = np.bincount(of, minlength=len(pair)) > 0
-        symbol, value = (np.cumsum(used) - 1)[of], pair[used]
-        first = base + len(size)
-        a = (value >> value.dtype.type(half)).astype(np.uint32)
-        b = (value & value.dtype.type((1 << half) - 1)).astype(np.uint32)
-        left.append(a)
-        right.append(b)
-        known = size
-        length = lambda s: np.where(s >= base, known[np.maximum(s.astype(np.int64) - base, 0)] if len(known) else 1, 1)
-        size = np.concatenate([known, (length(a) + length(b)).astype(np.uint32)])
-        seq[at] = (first + symbol).astype(seq.dtype)
+    ends[bounds[1:][filled] - 1] = True
+    alive = ~ends                                    # places whose pair has to be counted
+    symbol_of: dict[int, int] = {}
+    rules, size, whole = [], np.ones(base, np.uint32), True
+    while len(seq) > 1:
+        at, of, pair, count = _frequent(seq, np.flatnonzero(alive), min_count)
+        taken = _chosen(at, of, pair, count) if len(at) else np.zeros(0, bool)
+        # a rule pays for itself from a few places on; the best pair is always replaced in half of its places
+        made = np.bincount(of[taken], minlength=len(pair)) >= max(1, min_count // 2)
+        taken &= made[of] if len(at) else False
+        if not taken.any():
+            if whole:
+                break
+            alive, whole = ~ends, True
+            continue
+        whole = False
+        symbol, fresh = np.zeros(len(pair), np.uint32), []
+        for k in np.flatnonzero(made).tolist():
+            key = int(pair[k])
+            if key not in symbol_of:
+                symbol_of[key] = base + len(symbol_of)
+                fresh.append(key)
+            symbol[k] = symbol_of[key]
+        new = np.array(fresh, np.uint64)
+        a, b = (new >> np.uint64(32)).astype(np.uint32), new.astype(np.uint32)
+        rules.append(np.stack([a, b], 1))
+        size = np.concatenate([size, size[a] + size[b]])
+        waiting = at[~taken]
+        alive[:] = False
+        alive[waiting] = True
+        at, of = at[taken], of[taken]
+        seq[at] = symbol[of]
         ends[at] = ends[at + 1]
+        alive[at] = True
+        alive[at[at > 0] - 1] = True                 # the pair before (a place that goes was itself replaced)
         gone = np.ones(len(seq), bool)
         gone[at + 1] = False
-        seq, ends, doc = seq[gone], ends[gone], doc[gone]
-    per_doc = np.bincount(doc, minlength=len(doc_lengths))
+        seq, ends, alive = seq[gone], ends[gone], alive[gone]
+        alive &= ~ends
+    per_doc = np.zeros(len(doc_lengths), np.int64)
+    per_doc[filled] = np.diff(np.concatenate([[-1], np.flatnonzero(ends)]))
     starts = np.concatenate([[0], np.cumsum(per_doc)]).astype("<u4")
-    n_rules = len(size)
-    width = 2 if base + n_rules <= 1 << 16 else 4
-    rules = np.empty((n_rules, 2), "<u4")
-    if n_rules:
-        rules[:, 0], rules[:, 1] = np.concatenate(left), np.concatenate(right)
-    return b"".join([b"RPT1", struct.pack("<5I", len(doc_lengths), base, n_rules, len(seq), width), rules.tobytes(),
-                     size.astype("<u4").tobytes(), starts.tobytes(), bounds.astype("<u8").tobytes(),
-                     seq.astype(f"<u{width}").tobytes()])
+    top = len(size)
+    width = 2 if top <= 1 << 16 else 3 if top <= 1 << 24 else 4
+    symbols = seq.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    rules = np.concatenate(rules).astype("<u4") if rules else np.zeros((0, 2), "<u4")
+    return b"".join([b"RPT2", struct.pack("<5I", len(doc_lengths), base, len(rules), len(seq), width), terms.tobytes(),
+                     rules.tobytes(), size[base:].astype("<u4").tobytes(), starts.tobytes(), bounds.astype("<u8").tobytes(),
+                     symbols.tobytes()])
 
 
 class Shard:
     """A shard opened for reading; symbols are expanded on request."""
 
     def __init__(self, payload: bytes):
-        if payload[:4] != b"RPT1":
+        if payload[:4] != b"RPT2":
             raise ValueError("not a token shard")
         self.n_docs, self.base, n_rules, n_symbols, width = struct.unpack_from("<5I", payload, 4)
         at = 24
@@ -142,35 +168,40 @@ class Shard:
             at += out.nbytes
             return out
 
-        rules = take("<u4", 2 * n_rules).reshape(-1, 2)
+        self.terms = take("<u4", self.base)
+        self.rules = rules = take("<u4", 2 * n_rules).reshape(-1, 2)
         self.size = take("<u4", n_rules).astype(np.int64)
         self.first_symbol = take("<u4", self.n_docs + 1).astype(np.int64)
         self.first_id = take("<u8", self.n_docs + 1).astype(np.int64)
-        self.symbols = take(f"<u{width}", n_symbols)
+        symbols = np.zeros((n_symbols, 4), np.uint8)
+        symbols[:, :width] = take("u1", n_symbols * width).reshape(-1, width)
+        self.symbols = symbols.view("<u4").ravel()
         # expansions of all nonterminals one after another; a rule uses earlier rules only
         self.at = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)
-        flat = np.empty(int(self.at[-1]), np.uint32)
-        for k, (a, b) in enumerate(rules.tolist()):
-            p = int(self.at[k])
-            for s in (a, b):
+        flat, at, terms = np.empty(int(self.at[-1]), np.uint32), self.at.tolist(), self.terms.tolist()
+        for k, pair in enumerate(rules.tolist()):
+            p = at[k]
+            for s in pair:
                 if s < self.base:
-                    flat[p] = s
+                    flat[p] = terms[s]
                     p += 1
                 else:
-                    lo, hi = int(self.at[s - self.base]), int(self.at[s - self.base + 1])
+                    lo, hi = at[s - self.base], at[s - self.base + 1]
                     flat[p:p + hi - lo] = flat[lo:hi]
                     p += hi - lo
         self.flat = flat
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        s = symbols.astype(np.int32)
+        s = symbols.astype(np.int64)
+        if not len(s):
+            return np.zeros(0, np.uint32)
         rules = np.flatnonzero(s >= self.base)
         rule = s[rules] - self.base
         more = self.size[rule]
-        n = np.ones(len(s), np.int32)
+        n = np.ones(len(s), np.int64)
         n[rules] = more
-        out = np.repeat(s.view(np.uint32), n)        # right for plain ids; nonterminals are overwritten
-        first = (np.cumsum(n, dtype=np.int64) - n)[rules]
+        out = np.repeat(self.terms[np.minimum(s, self.base - 1)], n)     # right for terminals; nonterminals are overwritten
+        first = (np.cumsum(n) - n)[rules]
         inner = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
         out[np.repeat(first, more) + inner] = self.flat[np.repeat(self.at[rule], more) + inner]
         return out
@@ -196,7 +227,7 @@ class Shard:
 
 
 def write_token_files(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer: str | None = None,
-                      shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS) -> None:
+                      shard_tokens: int = SHARD_TOKENS, min_count: int = MIN_COUNT) -> None:
     """Write all documents' ids, in ascending ``doc_id`` order, as shards below ``path``."""
     key = docs.schema["doc_id"].dataType.simpleString()
 
@@ -208,7 +239,7 @@ def write_token_files(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer:
         def close():
             nonlocal keys, data, lengths, shard
             n = np.concatenate(lengths)
-            payload = compress(np.concatenate(data), n, rounds=rounds)
+            payload = compress(np.concatenate(data), n, min_count=min_count)
             out = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([int(n.sum())], pa.int64()),
                  pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.concat_arrays(keys)),
@@ -226,7 +257,8 @@ def write_token_files(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer:
         if data:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     map_arrow(ordered, run, f"part int, shard int, n_tokens long, doc_ids array<{key}>, payload binary"
               ).write.parquet(path)
 

@@ -29,13 +29,59 @@ def test_encoder_equals_library(texts):
 @given(st.lists(st.lists(st.integers(0, 5), max_size=60), max_size=8))
 def test_grammar_round_trip(each):
     ids = np.array([x for d in each for x in d], np.uint32)
-    shard = Shard(compress(ids, np.array([len(d) for d in each], np.int64), rounds=4, min_count=2))
+    shard = Shard(compress(ids, np.array([len(d) for d in each], np.int64), min_count=2))
     assert shard.decode_all().tolist() == ids.tolist()
     for k, d in enumerate(each):
         assert shard.decode_document(k).tolist() == d
         assert shard.decode_range(k, 1, len(d) - 1).tolist() == d[1:max(len(d) - 1, 1)]
 
 
+def most_frequent_pair(shard):
+    """Occurrences of the most frequent pair of symbols, none across a document end."""
+    count = {}
+    for a, b in zip(shard.first_symbol[:-1], shard.first_symbol[1:]):
+        d = shard.symbols[a:b].tolist()
+        for p in zip(d, d[1:]):
+            count[p] = count.get(p, 0) + 1
+    return max(count.values(), default=0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=300), max_size=8), st.integers(2, 9))
+def test_grammar_leaves_no_frequent_pair(each, min_count):
+    ids = np.array([x for d in each for x in d], np.uint32)
+    shard = Shard(compress(ids, np.array([len(d) for d in each], np.int64), min_count=min_count))
+    assert shard.decode_all().tolist() == ids.tolist()
+    assert most_frequent_pair(shard) < min_count
+
+
+def test_grammar_of_copies_and_runs():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 40_000, 3000).astype(np.uint32)
+    each = [np.concatenate([rng.integers(0, 40_000, 50).astype(np.uint32), passage]) for _ in range(40)]
+    each.append(np.full(20_000, 7, np.uint32))
+    shard = Shard(compress(np.concatenate(each), np.array([len(d) for d in each], np.int64)))
+    for k, d in enumerate(each):
+        assert (shard.decode_document(k) == d).all() and (shard.decode_range(k, 60, 900) == d[60:900]).all()
+    assert most_frequent_pair(shard) < 16
+    assert len(shard.symbols) < 40 * 52 + 40         # a copy is one symbol or two, the run a few
+    assert shard.size.max() >= 3000
+
+
+def test_token_files_of_one_id(spark, scratch):
+    rows = [(None, f"text number {k} of many rows") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # keep small ranges apart
+    try:
+        write_token_files(docs, scratch + "/hot", shard_tokens=500)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = read_token_files(spark, scratch + "/hot")
+    assert sorted((r["n_tokens"], r["ids_crc32"]) for r in got.collect()) == sorted(
+        (len(x), zlib.crc32(x.tobytes())) for _, t in rows for x in [np.array(ids_of(t) + [2], "<u4")])
+    assert spark.read.parquet(scratch + "/hot").select("part").distinct().count() > 1
+
+
 def test_token_files(spark, docs, corpus, scratch):
     path = scratch + "/tokens"
     write_token_files(docs, path, shard_tokens=3000)
