@@ -10,7 +10,9 @@ from ..plans import complete, merge, page_functions, split
 from ..session import shared_path
 from ..sources import tables as T
 from ..streaming import requests as rq
+from ..streaming.segments import SegmentStream
 from . import job
+from .pipeline import PV, SPLIT
 from .records import REC, RV, non_bulk
 
 RUN_DATE = "2024-01-20"
@@ -96,6 +98,18 @@ def redo_from_checkpoint(spark, sf_dir):
     return complete.redo_pages(pages, seen, "page")
 
 
+@job("segments_stream", "SELECT * FROM plan", PV, SPLIT)
+def segments_stream(spark, sf_dir):
+    """W4 on a stream: pages come in two parts, not in page order, the stream stops in between; its segments equal the batch plan."""
+    pages = T.pages(spark, sf_dir).select("doc_id", "page_no", "barcode")
+    folder = shared_path(spark, "streams", f"ff_segments_{uuid.uuid4().hex[:8]}")
+    counts = T.page_totals(spark, sf_dir)
+    for odd in (0, 1):
+        pages.where(F.col("page_no") % 2 == odd).write.mode("append").parquet(folder + "/pages")
+        SegmentStream(spark, folder, counts).drain(spark.readStream.schema(pages.schema).parquet(folder + "/pages"))
+    return SegmentStream(spark, folder, counts).segments()
+
+
 WS = r"[\t\n\x0B\f\r ]"
 CLEAN = f"regexp_replace(COALESCE(text, ''), '^{WS}+|{WS}+$', '', 'g')"
 

@@ -56,13 +56,10 @@ def split_plan(pages: DataFrame, keep_barcode: bool | str = False, docs: DataFra
     ``docs``; ``docs`` (doc_id, num_pages[, keep col]) defaults to the page
     count of ``pages``.
     """
-    keep_is_col = isinstance(keep_barcode, str)
     if docs is None:
         docs = page_counts(pages)
-    doc_cols = ["doc_id", "num_pages"] + ([keep_barcode] if keep_is_col else [])
+    doc_cols = ["doc_id", "num_pages"] + ([keep_barcode] if isinstance(keep_barcode, str) else [])
     docs = docs.select(*doc_cols).where(F.col("num_pages") > 0)
-    if keep_is_col:
-        docs = docs.withColumnRenamed(keep_barcode, "_keep")
 
     marks = barcode_pages(pages, prefix, min_len).select(
         "doc_id", "page_no", "barcode", F.lit(False).alias("sentinel"),
@@ -74,13 +71,25 @@ def split_plan(pages: DataFrame, keep_barcode: bool | str = False, docs: DataFra
     nb = neighbours_within(marks.unionByName(sentinels), "doc_id", "page_no",
                            carry=["sentinel", "barcode", "num_pages"], block_size=block_size)
 
+    return segments_of(nb, keep_barcode, docs, keep_leading)
+
+
+def segments_of(neighbours: DataFrame, keep_barcode: bool | str = False, docs: DataFrame | None = None,
+                keep_leading: bool = False) -> DataFrame:
+    """The W4 rules on barcode pages whose neighbours are known.
+
+    ``neighbours`` has a row per barcode page and one per document without any
+    (``sentinel``): doc_id, page_no, barcode, sentinel, num_pages, prev_page_no,
+    next_page_no (the last barcode's is the page after the document) and
+    next_sentinel.  ``docs`` has the flag column if ``keep_barcode`` names one.
+    """
     # One pass over the neighbour rows: each barcode row yields its segment and
     # maybe the leading segment; a sentinel without a previous barcode yields the
     # whole document.  (No union of branches, so the plan above runs once.)
-    x = nb
-    if keep_is_col:
+    x = neighbours
+    if isinstance(keep_barcode, str):
         # per-document flag: equi join on doc_id (AQE splits a hot document)
-        x = x.join(docs.select("doc_id", "_keep"), "doc_id", "left")
+        x = x.join(docs.select("doc_id", F.col(keep_barcode).alias("_keep")), "doc_id", "left")
         keep: Column = F.coalesce(F.col("_keep"), F.lit(False))
     else:
         keep = F.lit(bool(keep_barcode))

@@ -228,3 +228,36 @@ def test_cursor_caps_batches_and_replays(spark, scratch):
     assert got == list(range(1, 101)) and again.owed() == 0
     plan = qc.ranked_queue(spark, at("queue")).where("rank BETWEEN 3 AND 9")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(rank,3)" in plan and "Exchange" not in plan
+
+
+def test_segments_stream_equals_batch_plan(spark, scratch):
+    """Pages in any order over several batches: each segment comes once, no earlier than it can, and all of them equal the batch plan."""
+    import random
+    from folioflow.plans import split
+    from folioflow.streaming.segments import SegmentStream
+    rng = random.Random(11)
+    sizes = {d: rng.choice([1, 2, 3, 5, 8, 9, 16, 17, 40, 70]) for d in range(60)}
+    rate = {d: rng.choice([0, 0.05, 0.3, 0.8]) for d in sizes}
+    pages = [(d, p, f"NEU_{p}{rng.choice(['', ' '])}" if rng.random() < rate[d] else rng.choice([None, "NEU", "XYZ_12"]))
+             for d, n in sizes.items() for p in range(1, n + 1)]
+    schema = "doc_id long, page_no int, barcode string"
+    counts = spark.createDataFrame(list(sizes.items()), "doc_id long, num_pages int")
+    table = spark.createDataFrame(pages, schema)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    want = rows(split.split_plan(table, docs=counts))
+    shuffled = pages[:]
+    rng.shuffle(shuffled)
+    src, found = os.path.join(scratch, "pages"), []
+    noise = [(0, 0, "NEU_before"), (0, sizes[0] + 1, "NEU_after"), (999, 1, "NEU_nowhere")]
+    for k in range(3):
+        part = shuffled[k::3] + noise + (shuffled[0::3][:200] if k else [])           # some pages are reported again
+        spark.createDataFrame(part, schema).coalesce(2).write.parquet(os.path.join(src, str(k)))
+        stream = SegmentStream(spark, scratch + "/plan", counts, block_pages=8)       # a new object: a restart
+        stream.drain(spark.readStream.schema(schema).parquet(src + "/*"))
+        found.append(rows(stream.segments()))
+        assert set(found[-1]) <= set(want)
+    assert found[2] == want and 0 < len(found[0]) < len(found[1]) < len(want)
+    assert rows(stream.segments(True)) == rows(split.split_plan(table, True, counts))
+    flags = counts.withColumn("keep", F.col("doc_id") % 2 == 0)
+    assert rows(stream.segments("keep", flags)) == rows(split.split_plan(table, "keep", flags))
+    assert rows(stream.segments(keep_leading=True)) == rows(split.split_plan(table, docs=counts, keep_leading=True))
