@@ -31,4 +31,4 @@ def job(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes: st
 
 
 def load_all() -> None:
-    from . import pipeline, records, scalars, users_jobs, streams, stored  # noqa: F401,I001
+    from . import pipeline, records, scalars, users_jobs, streams, stored, roads  # noqa: F401,I001
