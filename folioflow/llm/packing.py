@@ -107,8 +107,9 @@ def pack(parts: DataFrame, *, capacity: int = CAPACITY, rank_blocks: int | None
     """``parts`` (``doc_id, piece, length, ...``) with ``sequence_id`` and ``offset``."""
     spark = parts.sparkSession
     blocks = rank_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = written(parts.withColumn("_block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)).cast("int")),
-                    "pieces")
+    # a row's place in the written table ranks it, so rows of one doc_id spread like any others
+    parts = written(parts.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)).cast("int")), "pieces")
     counts = written(parts.groupBy("length", "_block").agg(F.count(F.lit(1)).alias("_n")), "piece_counts")
     # at most `capacity` rows reach the driver
     histogram = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
@@ -120,12 +121,12 @@ def pack(parts: DataFrame, *, capacity: int = CAPACITY, rank_blocks: int | None
         slots = F.broadcast(slots)
     before = Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("length", "_block").orderBy("doc_id", "piece")
+    inside = Window.partitionBy("length", "_block").orderBy("_row")
     ranked = parts.withColumn("_in", F.row_number().over(inside) - 1).join(base, ["length", "_block"]).withColumn(
         "_rank", F.col("_base") + F.col("_in"))
     return ranked.join(slots, (ranked["length"] == slots["length"]) & (ranked["_rank"] >= slots["_from"])
                        & (ranked["_rank"] < slots["_to"])).select(
-        *[ranked[c] for c in parts.columns if c != "_block"],
+        *[ranked[c] for c in parts.columns if c not in ("_block", "_row")],
         (F.col("_first") + F.col("_rank") - F.col("_from")).alias("sequence_id"), slots["offset"])
 
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folioflow.llm.packing import best_fit_packing, plan
+from folioflow.llm.packing import best_fit_packing, pack, plan
 from folioflow.llm.token_files import Shard, compress, read_token_files, write_token_files
 from folioflow.llm.tokens import encoded_texts, encoder
 
@@ -128,6 +128,17 @@ def test_packing(docs, corpus, capacity):
     assert used <= 1.02 * -(-sum(w[4] for w in want) // capacity) + 1
 
 
+@pytest.mark.parametrize("doc_id", ["NULL", "7"])
+def test_packing_rows_of_one_id(spark, doc_id):
+    """Equal pieces of one id (or of none) are ranked in many blocks and all get a place of their own."""
+    parts = spark.range(5000).selectExpr(f"CAST({doc_id} AS LONG) AS doc_id", "0 AS piece", "IF(id % 3 = 0, 900L, 700L) AS length")
+    packed = pack(parts, rank_blocks=64)
+    assert packed.columns == ["doc_id", "piece", "length", "sequence_id", "offset"]
+    rows = packed.collect()
+    assert len(rows) == 5000 == len({(r["sequence_id"], r["offset"]) for r in rows})
+    check_packing(rows, None, 2048)
+
+
 def test_packing_ids_and_empty(docs, empty_docs):
     assert best_fit_packing(empty_docs).count() == 0
     for r in best_fit_packing(docs.where("doc_id < 10"), with_ids=True).collect():
