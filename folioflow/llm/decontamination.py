@@ -25,6 +25,7 @@ each; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -273,24 +274,23 @@ def search(spark: SparkSession, path: str, items: DataFrame, *, width: int = WIN
     """
     index = spark.read.parquet(path)
     item_type = items.schema["item_id"].dataType
-    found = None
+    found = []
     for part in _slices(items, width, max_slice_words):
         w = Windows(part, width)
         w.rarest_first(_counts(index, w.vocabulary))
-        one = _search(index, w, item_type, proximity)
-        if found is None:
-            found = one
-        else:                                        # a benchmark of several slices: gather the spans of each indexed row
-            found = found.union(one).groupBy("block", "place").agg(
-                F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-                F.flatten(F.collect_list("spans")).alias("spans")).select(
-                "doc_id", "n_words", _covered("spans").alias("n_hit"), "spans", "block", "place")
-    if found is None:
+        found.append(_search(index, w, item_type, proximity))
+    if not found:
         w = Windows([(None, np.zeros(1, np.uint64))], width)
         w.of = [set()]
         w.items = []
-        found = _search(index, w, item_type, proximity)
-    return found.drop("block", "place")
+        found.append(_search(index, w, item_type, proximity))
+    if len(found) == 1:
+        return found[0].drop("block", "place")
+    # a benchmark of several slices: one aggregation gathers the spans of each indexed row
+    return reduce(DataFrame.union, found).groupBy("block", "place").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("spans")).alias("spans")).select(
+        "doc_id", "n_words", _covered("spans").alias("n_hit"), "spans")
 
 
 def _covered(spans: str):

@@ -79,6 +79,19 @@ def test_slices_keep_rows_apart(spark, scratch):
             (0, 0), (0, 12, 1), (1, 12, 1), (1, 12, 1), (1, 12, 2)]
 
 
+def test_many_slices_one_aggregation(spark, scratch):
+    """Fifty slices of a benchmark give what one slice gives, with one aggregation over the documents."""
+    passages = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(50)]
+    rows = [(k, f"{passages[k]} between {passages[(k * 7 + 1) % 50]} {passages[k]}") for k in range(50)] + [(99, "nothing of it")]
+    write_index(spark.createDataFrame(rows, "doc_id long, text string"), scratch + "/index")
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    one, many = (search(spark, scratch + "/index", items, max_slice_words=n) for n in (1_000_000, 12))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+    found = lambda df: sorted((r["doc_id"], r["n_words"], r["n_hit"], sorted(map(tuple, r["spans"]))) for r in df.collect())
+    assert found(one) == found(many) and sum(r[2] for r in found(many)) == 50 * 36
+
+
 def test_proximity(spark, scratch):
     docs = spark.createDataFrame([(1, "red x x green blue"), (2, "red " + "x " * 30 + "green blue"), (3, "blue green red")],
                                  "doc_id long, text string")
