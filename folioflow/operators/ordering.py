@@ -41,21 +41,22 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
     A key of more than ``hot_rows`` rows is cut finer, by the values of its first
     two order columns, since the first one may have few.  Such keys come from one
-    count of the rows as a scalar list, no longer than the rows by ``hot_rows``.
+    count of the rows and are broadcast; there are at most rows / ``hot_rows`` of them.
     Nothing is sampled and no Spark job runs while the plan is built.  Null
     keys, blocks and order values are kept (nulls come first).
     """
-    keys = _names(key)
+    keys, names = _names(key), df.columns
     if block is None:
         whole = dict(df.dtypes)[order[0]] in ("int", "bigint", "smallint", "tinyint")
         block = F.floor(F.col(order[0]) / F.lit(block_size)).cast("long") if whole else F.col(order[0])
         if len(order) > 1:
             # a coarse block on its own, or for a hot key the values themselves (never both for one key)
-            of = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-            hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).agg(F.collect_list(of)).scalar()
+            hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select(
+                *[F.col(k).alias(f"_ff_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_ff_hot"))
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ff_h{i}")) for i, k in enumerate(keys)])
+            df = df.join(F.broadcast(hot), same, "left").select(*df.columns, F.coalesce("_ff_hot", F.lit(False)).alias("_ff_hot"))
             fine = F.struct(F.col(order[0]).alias("a"), F.col(order[1]).alias("b"))
-            is_hot = F.coalesce(F.array_contains(hot, of), F.lit(False))
-            block = F.struct(F.when(~is_hot, block).alias("coarse"), F.when(is_hot, fine).alias("fine"))
+            block = F.struct(F.when(~F.col("_ff_hot"), block).alias("coarse"), F.when(F.col("_ff_hot"), fine).alias("fine"))
     x = df.withColumn("_ff_blk", block)
     x = x.withColumn("_ff_local", F.row_number().over(Window.partitionBy(*keys, "_ff_blk").orderBy(*order)))
     counts = x.groupBy(*keys, "_ff_blk").agg(F.count(F.lit(1)).alias("_ff_n"))
@@ -64,7 +65,7 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
                             F.coalesce(F.sum("_ff_n").over(before), F.lit(0)).alias("_ff_base"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ff_k{i}")) for i, k in enumerate([*keys, "_ff_blk"])])
     out = x.join(offsets, same)
-    return out.select(*df.columns, (F.col("_ff_local") + F.col("_ff_base")).cast("int").alias(name))
+    return out.select(*names, (F.col("_ff_local") + F.col("_ff_base")).cast("int").alias(name))
 
 
 def neighbours_within(df: DataFrame, key: str | Sequence[str], order_col: str,
