@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans import complete, merge, page_functions, split
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources import tables as T
 from ..streaming import requests as rq
 from ..streaming.segments import SegmentStream
@@ -18,6 +18,11 @@ from .records import REC, RV, non_bulk
 RUN_DATE = "2024-01-20"
 
 
+def _pages(spark, sf_dir):
+    """The page table, numbered once for all its uses in a job."""
+    return materialize(T.pages(spark, sf_dir).select("doc_id", "page_no", "barcode", "returnflag"), "pages")
+
+
 class _Tracker:
     """A page log in the shared folder, read by a completion stream that can be stopped and started again."""
 
@@ -25,7 +30,8 @@ class _Tracker:
         self.spark, self.timeout_ms = spark, timeout_ms
         name = f"ff_tracker_{uuid.uuid4().hex[:8]}"
         self.log, self.out, self.state = (shared_path(spark, "streams", name, x) for x in ("log", "blocks", "state"))
-        self.counts = T.page_totals(spark, sf_dir)
+        # every batch joins the counts again
+        self.counts = materialize(T.page_totals(spark, sf_dir), "page_totals")
 
     def report(self, pages) -> None:
         self.schema = pages.schema
@@ -52,7 +58,7 @@ def completion_tracker(spark, sf_dir):
     read as a stream in batches of some files; state, progress and the emitted
     rows live below the shared ``spark.checkpoint.dir``.
     """
-    pages = T.pages(spark, sf_dir)
+    pages = _pages(spark, sf_dir)
     t = _Tracker(spark, sf_dir, timeout_ms=190_000)
     seen = pages.select("doc_id", "page_no")
     t.report(seen.union(pages.where("returnflag = 'R'").select("doc_id", "page_no")))
@@ -69,7 +75,7 @@ def late_pages(spark, sf_dir):
 
     The stream is stopped and started again between the three steps.
     """
-    pages = T.pages(spark, sf_dir).select("doc_id", "page_no")
+    pages = _pages(spark, sf_dir).select("doc_id", "page_no")
     t = _Tracker(spark, sf_dir, timeout_ms=1)
     t.report(pages.where("page_no % 2 = 1"))
     t.drain()
@@ -90,7 +96,7 @@ JOIN (SELECT doc_id, min(page_no) AS first FROM v_pages WHERE returnflag = 'R' G
   ON m.doc_id = p.doc_id AND p.page_no >= m.first""", ("v_pages",))
 def redo_from_checkpoint(spark, sf_dir):
     """T5 + A11: a stream that saw all pages but those of returned items stops; what to redo is read from its checkpoint."""
-    pages = T.pages(spark, sf_dir)
+    pages = _pages(spark, sf_dir)
     t = _Tracker(spark, sf_dir, timeout_ms=190_000)
     t.report(pages.where("returnflag <> 'R'").select("doc_id", "page_no"))
     t.drain()
@@ -101,9 +107,9 @@ def redo_from_checkpoint(spark, sf_dir):
 @job("segments_stream", "SELECT * FROM plan", PV, SPLIT)
 def segments_stream(spark, sf_dir):
     """W4 on a stream: pages come in two parts, not in page order, the stream stops in between; its segments equal the batch plan."""
-    pages = T.pages(spark, sf_dir).select("doc_id", "page_no", "barcode")
+    pages = _pages(spark, sf_dir).select("doc_id", "page_no", "barcode")
     folder = shared_path(spark, "streams", f"ff_segments_{uuid.uuid4().hex[:8]}")
-    counts = T.page_totals(spark, sf_dir)
+    counts = materialize(T.page_totals(spark, sf_dir), "page_totals")
     for odd in (0, 1):
         pages.where(F.col("page_no") % 2 == odd).write.mode("append").parquet(folder + "/pages")
         SegmentStream(spark, folder, counts).drain(spark.readStream.schema(pages.schema).parquet(folder + "/pages"))

@@ -22,13 +22,16 @@ import datetime as _dt
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.filters import TRIGGER_MESSAGE, wake_messages
 from ..session import ship_package
+from . import shards as sh
 
 # Fixed values of the queue contract.
 TASK_NAME = "ai.pdf_request"          # task every message is routed to
@@ -119,57 +122,75 @@ def pick_next_records(queue: DataFrame, outbox: str, per_message: int = 1,
 
 
 TRACK_OUT = "doc_id long, block int, page_no int, pages_seen int, block_pages int, num_pages int, status string"
-TRACK_STATE = "seen binary, num_pages int, status string"
+TRACK_STATE = "pairs binary, seen binary"
 BLOCK_PAGES = 4096
+_OPEN, _TIMED_OUT, _COMPLETE = 0, 1, 2
 
 
 def _tracker(timeout_ms: int, block_pages: int):
-    """State function of one block of pages; its parameters are captured here so executors see them."""
+    """State function of one shard of blocks; its parameters are captured here so executors see them."""
     names = [c.split()[0] for c in TRACK_OUT.split(", ")]
 
     def track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        doc, block = int(key[0]), int(key[1])
-        bits, n, status = state.get if state.exists else (bytes(-(-block_pages // 8)), 0, "open")
-        bits, out = int.from_bytes(bytes(bits), "little"), []
-
-        def emit(word: str, page: int | None = None) -> None:
-            size = max(0, min(block_pages, n - block * block_pages))
-            out.append((doc, block, page, bits.bit_count(), size, n, word))
-
-        if state.hasTimedOut:
-            if status == "open":                     # the pages stay: later ones still count
-                status = "timed_out"
-                emit(status)
-        else:
-            for b in batches:
-                for page, pages in zip(b["page_no"], b["num_pages"]):
-                    n = int(pages)
-                    at = int(page) - 1 - block * block_pages
-                    if 1 <= page <= n and 0 <= at < block_pages and not bits >> at & 1:
-                        bits |= 1 << at              # a page reported again changes nothing
-                        if status == "timed_out":
-                            emit("late", int(page))
-            size = max(0, min(block_pages, n - block * block_pages))
-            if status != "complete" and size and bits.bit_count() == size:
-                status = "complete"
-                emit(status)
-        state.update((bits.to_bytes(-(-block_pages // 8), "little"), n, status))
-        if status == "open":
-            state.setTimeoutDuration(timeout_ms)
-        if out:
-            yield pd.DataFrame(out, columns=names).astype({"page_no": "Int32"})
+        old, bits = sh.opened(*(state.get if state.exists else (b"", b"")))
+        now = state.getCurrentProcessingTimeMs()
+        rows = [] if state.hasTimedOut else [b[["doc_id", "block", "page_no", "num_pages"]].to_numpy(np.int64) for b in batches]
+        doc, block, page, n = np.concatenate([np.zeros((0, 4), np.int64), *rows]).T
+        pairs, was, of = sh.joined(old, doc, block)
+        pairs["n"][of] = n
+        at = page - 1 - block * block_pages
+        real = (page >= 1) & (page <= n) & (at >= 0) & (at < block_pages)
+        np.maximum.at(pairs["width"], of[real], at[real] + 1)
+        seen, start = sh.widened(old, bits, pairs, was), sh.offsets(pairs)
+        upto = sh.counted(seen)
+        before = upto[start[1:]] - upto[start[:-1]]
+        new = np.unique(start[of[real]] + at[real])
+        new = new[~seen[new]]                        # a page reported again changes nothing
+        seen[new] = True
+        upto = sh.counted(seen)
+        count = upto[start[1:]] - upto[start[:-1]]
+        size = np.clip(pairs["n"].astype(np.int64) - pairs["block"].astype(np.int64) * block_pages, 0, block_pages)
+        touched = np.zeros(len(pairs), bool)
+        touched[of] = True
+        out = []
+
+        def emit(which: np.ndarray, count: np.ndarray, word: str, page=None) -> None:
+            if len(which):
+                rows = (pairs["doc"][which], pairs["block"][which], page, count, size[which], pairs["n"][which], word)
+                out.append(pd.DataFrame(dict(zip(names, rows))).astype({"page_no": "Int32"}))
+
+        owner = np.searchsorted(start, new, side="right") - 1
+        rank = np.arange(len(new)) - np.searchsorted(owner, owner)
+        is_late = pairs["status"][owner] == _TIMED_OUT
+        late = owner[is_late]
+        emit(late, before[late] + rank[is_late] + 1, "late", pairs["block"][late].astype(np.int64) * block_pages + new[is_late] - start[late] + 1)
+        whole = np.flatnonzero(touched & (pairs["status"] != _COMPLETE) & (size > 0) & (count == size))
+        pairs["status"][whole] = _COMPLETE
+        emit(whole, count[whole], "complete")
+        # a block with new pages starts to wait anew; of one that timed out the pages stay: later ones still count
+        pairs["at_ms"][touched] = now + timeout_ms
+        over = np.flatnonzero(~touched & (pairs["status"] == _OPEN) & (pairs["at_ms"] < now))
+        pairs["status"][over] = _TIMED_OUT
+        emit(over, count[over], "timed_out")
+        state.update(sh.closed(pairs, seen))
+        waits = pairs["at_ms"][pairs["status"] == _OPEN]
+        if len(waits):
+            state.setTimeoutDuration(max(1, int(waits.min()) - now))
+        yield from out
 
     return track
 
 
 def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int = 190_000,
-                     block_pages: int = BLOCK_PAGES) -> DataFrame:
+                     block_pages: int = BLOCK_PAGES, shards: int = sh.SHARDS) -> DataFrame:
     """Stateful completion per block of pages over a stream of finished pages.
 
     ``done_pages`` (streaming: doc_id, page_no) is joined with the static page
     counts.  State is kept per (document, block of ``block_pages`` pages) as a
     bitmap of the pages seen, so a repeated report counts once and a hot
-    document is spread over its blocks.  A block emits ``complete`` when all its
+    document is spread over its blocks; the blocks are dealt over ``shards``
+    stateful groups (:mod:`folioflow.streaming.shards`), since a group costs more
+    than a usual document.  Neither number may change over a restart.  A block emits ``complete`` when all its
     pages are in, or ``timed_out`` when no page arrived for ``timeout_ms`` (the
     source waited 1+2+...+19 = 190 s).  Its pages stay in the state: a page that
     comes after that is emitted as ``late`` and still counts, so the block
@@ -179,10 +200,8 @@ def track_completion(done_pages: DataFrame, counts: DataFrame, timeout_ms: int =
     expires and exact timers, at a higher cost per block.
     """
     ship_package(done_pages.sparkSession)
-    x = done_pages.select("doc_id", F.col("page_no").cast("int").alias("page_no")).join(
-        counts.select("doc_id", F.col("num_pages").cast("int").alias("num_pages")), "doc_id", "inner")
-    x = x.withColumn("block", F.floor((F.col("page_no") - 1) / block_pages).cast("int"))
-    return x.groupBy("doc_id", "block").applyInPandasWithState(
+    x = sh.paged(done_pages.select("doc_id", F.col("page_no").cast("int").alias("page_no")), counts, block_pages, shards)
+    return x.groupBy("shard").applyInPandasWithState(
         _tracker(timeout_ms, block_pages), TRACK_OUT, TRACK_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
@@ -210,12 +229,18 @@ def late_pages(events: DataFrame) -> DataFrame:
 
 def tracked_pages(spark: SparkSession, checkpoint: str, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """T5: the pages in the state of a stopped :func:`track_completion` query (doc_id, page_no), from its checkpoint."""
-    state = spark.read.format("statestore").option("path", checkpoint).load().select("key.*", F.hex("value.groupState.seen").alias("seen"))
-    octets = state.select("doc_id", "block", F.explode(F.sequence(F.lit(0), F.expr("length(seen) div 2 - 1"))).alias("k"), "seen").select(
-        "doc_id", "block", "k", F.conv(F.expr("substring(seen, 2 * k + 1, 2)"), 16, 10).cast("int").alias("bits")).where("bits > 0")
-    return octets.select("doc_id", "block", "k", F.explode(F.filter(
-        F.sequence(F.lit(0), F.lit(7)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1)).alias("bit")).select(
-        "doc_id", (F.col("block") * block_pages + F.col("k") * 8 + F.col("bit") + 1).cast("int").alias("page_no"))
+    ship_package(spark)
+
+    def pages_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                pairs, bits = sh.opened(r["pairs"], r["seen"])
+                of, place = sh.placed(pairs, bits)
+                page = pairs["block"][of].astype(np.int64) * block_pages + place + 1
+                yield pa.RecordBatch.from_arrays([pa.array(pairs["doc"][of]), pa.array(page.astype(np.int32))], ["doc_id", "page_no"])
+
+    state = spark.read.format("statestore").option("path", checkpoint).load().select("value.groupState.pairs", "value.groupState.seen")
+    return state.mapInArrow(pages_of, "doc_id long, page_no int")
 
 
 @contextmanager

@@ -261,3 +261,30 @@ def test_segments_stream_equals_batch_plan(spark, scratch):
     flags = counts.withColumn("keep", F.col("doc_id") % 2 == 0)
     assert rows(stream.segments("keep", flags)) == rows(split.split_plan(table, "keep", flags))
     assert rows(stream.segments(keep_leading=True)) == rows(split.split_plan(table, docs=counts, keep_leading=True))
+
+
+def test_many_documents_share_stateful_groups(spark, scratch):
+    """State rows are bounded by the shards, not by the documents; late pages and statuses stay exact over a restart."""
+    src, out, ck = (os.path.join(scratch, x) for x in ("pages", "out", "ck"))
+    sizes = {d: 1 + d % 6 for d in range(1, 401)}
+    counts = spark.createDataFrame(list(sizes.items()), "doc_id long, num_pages int")
+
+    def run(rows, name):
+        _logged(spark, src, rows, name)
+        stream = spark.readStream.schema("doc_id long, page_no int").parquet(src + "/*")
+        w = rq.track_completion(stream, counts, timeout_ms=1, block_pages=4, shards=5).writeStream.format("parquet")
+        with rq.drained(spark):
+            w.option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+
+    pages = [(d, p) for d, n in sizes.items() for p in range(1, n + 1)]
+    run([x for x in pages if x[1] % 2] + [(None, 1), (1, None)], "a")
+    run([(-1, 0)], "heartbeat")
+    assert spark.read.format("statestore").option("path", ck).load().count() <= 5
+    assert {tuple(r) for r in rq.tracked_pages(spark, ck, block_pages=4).collect()} == {x for x in pages if x[1] % 2}
+    run([x for x in pages if x[1] % 2 == 0] * 2, "b")
+    events = spark.read.parquet(out)
+    # pages 5 and 6 are in a block of their own, so page 6 comes after that one's time-out too
+    assert sorted(map(tuple, rq.late_pages(events).collect())) == [x for x in pages if x[1] % 2 == 0]
+    assert {tuple(r) for r in rq.document_status(events).collect()} == {(d, n, n, "complete") for d, n in sizes.items()}
+    last = events.where("status = 'late'").groupBy("doc_id", "block").agg(F.max("pages_seen").alias("seen"), F.max("block_pages").alias("size"))
+    assert last.where("seen <> size").count() == 0
