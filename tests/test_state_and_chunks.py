@@ -194,3 +194,30 @@ def test_search_many_against_single_searches(spark):
         got.setdefault(r.search_id, set()).add(r.id)
     for k, words in enumerate(asked):
         assert got.get(k, set()) == {r.id for r in filters.search_users(users, words).collect()}, words
+
+
+def test_search_many_searches_equal_keywords_once(spark, scratch):
+    """Searches with the same words share one pass over the users; each still gets all of its rows."""
+    import os
+    import re
+    from folioflow.operators import filters
+    users, searches = os.path.join(scratch, "users"), os.path.join(scratch, "searches")
+    spark.range(40).selectExpr("id", "concat('name', id) AS name", "'q@x.org' AS email").write.parquet(users)
+    spark.range(300).selectExpr("id AS search_id", "concat('NAME', id % 3) AS keywords").write.parquet(searches)
+    found = filters.search_many(spark.read.parquet(users), spark.read.parquet(searches))
+    want = {(s, u) for s in range(300) for u in range(40) if str(u).startswith(str(s % 3))}
+    got = [(r.search_id, r.id) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    # the users are verified before the searches of a set are joined: no join below the filter knows a search
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    forall = next(x for x in plan.splitlines() if "forall(" in x)
+    assert "search_id" not in forall
+    below = plan[plan.index(forall):]
+    depth = len(re.match(r"[\s:+|-]*", forall).group())
+    inside = []
+    for line in below.splitlines()[1:]:
+        if len(re.match(r"[\s:+|-]*", line).group()) <= depth:
+            break
+        inside.append(line)
+    # below it searches appear only where equal keyword sets are reduced to one
+    assert not any(x.lstrip(" :+|-").startswith("Project [search_id") for x in inside)
