@@ -1,8 +1,9 @@
 """A request queue that is ordered once and consumed by a cursor under a rate cap.
 
-:func:`rank_queue` writes the queue in its order with a rank.  A batch then
-picks the next ranks: a range filter on a table sorted by rank, so neither the
-queue nor the earlier picks are sorted or read again.
+:func:`rank_queue` writes the queue in its order with a rank, ``FOLDER_RANKS``
+ranks a folder.  A batch then picks the next ranks: a range filter that opens only
+the folders of its ranks, so neither the queue nor the earlier picks are sorted or
+read again, and a batch has as many tasks as its own ranks need.
 
 The cursor is a small log (:mod:`folioflow.sinks.state_log`), one row per batch:
 the ranks it was given, the requests still owed, and the tokens left in the
@@ -17,12 +18,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sinks import state_log
 
 ENTRY = "queue string, at_ms long, first_rank long, last_rank long, owed long, tokens double"
+#: ranks in one folder of the ranked table
+FOLDER_RANKS = 1 << 17
 #: batches after which the cursor log is compacted
 COMPACT_EVERY = 256
 
@@ -40,11 +43,23 @@ def rank_queue(queue: DataFrame, path: str, order: Sequence[str] = ("priority_id
     before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("_shard", "_lo", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     ranked = placed.join(F.broadcast(bases), "_shard").withColumn("rank", F.col("_base") + F.col("_at") - F.col("_lo") + 1)
-    ranked.drop("_shard", "_at", "_lo", "_base").sortWithinPartitions("rank").write.mode("overwrite").parquet(f"{path}/ranked")
+    foldered = ranked.drop("_shard", "_at", "_lo", "_base").withColumn("_folder", _folder(F.col("rank")))
+    foldered.sortWithinPartitions("rank").write.mode("overwrite").partitionBy("_folder").parquet(f"{path}/ranked")
+
+
+def _folder(rank: Column) -> Column:
+    return F.floor((rank - 1) / FOLDER_RANKS).cast("int")
 
 
 def ranked_queue(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/ranked")
+    return spark.read.parquet(f"{path}/ranked").drop("_folder")
+
+
+def ranks_between(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """The ranks ``first`` to ``last`` of the queue; only their folders are listed and opened."""
+    folders = [f"{path}/ranked/_folder={k}" for k in range((first - 1) // FOLDER_RANKS, (last - 1) // FOLDER_RANKS + 1)]
+    rows = spark.read.option("basePath", f"{path}/ranked").parquet(*folders).drop("_folder")
+    return rows.where(F.col("rank").between(first, last))
 
 
 class QueueCursor:
@@ -97,6 +112,6 @@ def pick_by_cursor(spark: SparkSession, queue_path: str, outbox: str, cursor: Qu
     def handle(batch: DataFrame, batch_id: int) -> None:
         first, last = cursor.take(batch_id, batch.count() * per_message, size)
         if last >= first:
-            queue.where(F.col("rank").between(first, last)).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+            ranks_between(spark, queue_path, first, last).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return handle

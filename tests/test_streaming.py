@@ -288,3 +288,16 @@ def test_many_documents_share_stateful_groups(spark, scratch):
     assert {tuple(r) for r in rq.document_status(events).collect()} == {(d, n, n, "complete") for d, n in sizes.items()}
     last = events.where("status = 'late'").groupBy("doc_id", "block").agg(F.max("pages_seen").alias("seen"), F.max("block_pages").alias("size"))
     assert last.where("seen <> size").count() == 0
+
+
+def test_cursor_opens_only_the_folders_of_its_ranks(spark, scratch, monkeypatch):
+    """A batch reads the folders of its own ranks, however long the queue is; ranks over an edge come whole."""
+    from folioflow.streaming import queue_cursor as qc
+    monkeypatch.setattr(qc, "FOLDER_RANKS", 16)
+    at = lambda x: os.path.join(scratch, x)
+    qc.rank_queue(spark.range(200).select(F.col("id").alias("queue_id"), F.lit(1).alias("priority_id")), at("queue"))
+    assert qc.ranked_queue(spark, at("queue")).columns == ["queue_id", "priority_id", "rank"]
+    part = qc.ranks_between(spark, at("queue"), 10, 20)
+    assert sorted(r["rank"] for r in part.collect()) == list(range(10, 21))
+    folders = {f.split("_folder=")[1].split("/")[0] for f in part.inputFiles()}
+    assert folders == {"0", "1"} and len(qc.ranked_queue(spark, at("queue")).inputFiles()) > len(part.inputFiles())
