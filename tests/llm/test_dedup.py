@@ -285,3 +285,38 @@ def test_rows_of_one_id(spark):
     assert left == {"one": a, "two": "", "three": c, "four": a, "five": c + " end", "six": ""}
     # of the copies the first by id stays; rows without an id stay
     assert {r["note"] for r in drop_near_duplicates(docs).collect()} == {"one", "three", "four", "five"}
+
+
+def test_lines_keep_little_on_disk(spark, scratch):
+    """The tables kept for lines hold each distinct line once, not its occurrences too."""
+    from pathlib import Path
+
+    from folioflow.session import ensure_checkpoint_dir
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, "\n".join(" ".join("".join(rng.choice(letters, 6)) for _ in range(150)) for _ in range(4))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{scratch}/docs", compression="zstd")
+    size = lambda at: sum(p.stat().st_size for p in Path(at).rglob("*.parquet"))
+    kept = f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/llm"
+    before = size(kept)
+    out = dedup_lines(spark.read.parquet(f"{scratch}/docs"))
+    assert sorted(map(tuple, out.collect())) == rows
+    assert size(kept) - before < 1.8 * size(f"{scratch}/docs")
+
+
+def test_line_pairs_in_parts(spark, monkeypatch):
+    """Pairs measured in several parts give the groups of brute force."""
+    from folioflow.llm import line_dedup
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
+    # lines of one template share buckets; only their near copies are links
+    lines = [" ".join(["the", "same", "long", "words", "for", "each"] + [word() for _ in range(9)]) for _ in range(40)]
+    rows = list(enumerate(lines + [x[:-1] + "0" for x in lines[:10]]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts, measured = [], line_dedup._measured
+    monkeypatch.setattr(line_dedup, "_measured", lambda pairs, *a: parts.append(pairs.count()) or measured(pairs, *a))
+    monkeypatch.setattr(line_dedup, "PART_PAIRS", 20)
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(docs).collect()}
+    assert got == {i: t if i < 40 else "" for i, t in rows}
+    assert len(parts) > 3 and max(parts) < sum(parts)
