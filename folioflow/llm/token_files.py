@@ -44,27 +44,41 @@ SHARD_TOKENS = 1 << 20
 MIN_COUNT = 16
 _BINS = 19
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_MIX_A, _MIX_B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
-def _pairs(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+def _bins(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a * _MIX_A ^ b) * _MIX_B) >> np.uint32(32 - _BINS)
 
 
 def _frequent(seq: np.ndarray, at: np.ndarray, min_count: int) -> tuple[np.ndarray, ...]:
     """Of the pairs that start at ``at``: places of those that occur ``min_count`` times, each one's pair, pairs, counts.
 
     Hash bins drop most rare pairs first (a bin holds at least as many places as
-    any of its pairs); what is left is counted exactly.
+    any of its pairs); what is left is counted exactly, by sorting the pairs alone.
+    A place finds its pair by its bin, or by search if frequent pairs share the bin.
     """
-    key = _pairs(seq, at)
-    bins = ((key * _SPREAD) >> np.uint64(64 - _BINS)).astype(np.intp)
-    often = np.bincount(bins, minlength=1 << _BINS) >= min_count
-    left = often[bins]
-    at, key = at[left], key[left]
-    pair, of, count = np.unique(key, return_inverse=True, return_counts=True)
+    a, b = seq[at], seq[at + 1]
+    bins = _bins(a, b)
+    left = np.flatnonzero((np.bincount(bins, minlength=1 << _BINS) >= min_count)[bins])
+    at, bins = at[left], bins[left]
+    key = (a[left].astype(np.uint64) << np.uint64(32)) | b[left]
+    ranked = np.sort(key)
+    first = np.flatnonzero(np.concatenate([ranked[:1] == ranked[:1], ranked[1:] != ranked[:-1]]))
+    count = np.diff(np.append(first, len(ranked)))
     enough = count >= min_count
-    left = enough[of]
-    return at[left], (np.cumsum(enough) - 1)[of[left]], pair[enough], count[enough]
+    pair, count = ranked[first[enough]], count[enough]
+    if not len(pair):
+        return at[:0], np.zeros(0, np.int64), pair, count
+    slot = _bins((pair >> np.uint64(32)).astype(np.uint32), pair.astype(np.uint32))
+    of_bin = np.zeros(1 << _BINS, np.int32)
+    of_bin[slot] = np.arange(len(pair))
+    of = of_bin[bins]
+    shared = np.bincount(slot, minlength=1 << _BINS) > 1
+    again = np.flatnonzero(shared[bins])
+    of[again] = np.minimum(np.searchsorted(pair, key[again]), len(pair) - 1)
+    found = np.flatnonzero(pair[of] == key)
+    return at[found], of[found].astype(np.int64), pair, count
 
 
 def _chosen(at: np.ndarray, of: np.ndarray, pair: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -162,3 +162,35 @@ def test_plan_places_every_rank_once(histogram):
             assert offset == at
             at += length
         assert at <= capacity
+
+
+def test_a_slice_is_taken_apart_in_blocks(monkeypatch):
+    from folioflow.llm import tokens
+    texts = ["", "One two 34 don't caf\u00c9", None, "x" * 900, "a long\ttext " * 40, "", "end"] * 5
+    enc, seen, step = tokens.Encoder(), [], tokens.Encoder.encode_slice
+    (want,) = list(encoded_texts(enc, pa.array(texts), 7))
+
+    def counted(self, data, offsets):
+        seen.append((len(data), len(offsets) - 1))
+        return step(self, data, offsets)
+
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 600)
+    monkeypatch.setattr(tokens.Encoder, "encode_slice", counted)
+    (got,) = list(encoded_texts(enc, pa.array(texts), 7))
+    assert len(seen) > 5 and all(size <= 600 or n == 1 for size, n in seen)
+    assert got[0] == want[0] == 0 and np.array_equal(got[1], want[1]) and np.array_equal(got[2], want[2])
+
+
+def test_frequent_pairs_are_counted_exactly_in_shared_bins(monkeypatch):
+    from folioflow.llm import token_files
+    rng = np.random.default_rng(4)
+    seq = rng.integers(0, 12, 3000).astype(np.uint32)
+    at = np.flatnonzero(rng.random(len(seq) - 1) < 0.8)
+    pair, of, count = np.unique(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1], return_inverse=True, return_counts=True)
+    for bins in (1, 3, 19):
+        monkeypatch.setattr(token_files, "_BINS", bins)
+        for least in (2, 15, 20, 5000):
+            enough = count >= least
+            got = token_files._frequent(seq, at, least)
+            assert np.array_equal(got[0], at[enough[of]]) and np.array_equal(got[2], pair[enough])
+            assert np.array_equal(got[3], count[enough]) and np.array_equal(got[2][got[1]], pair[of[enough[of]]])
