@@ -33,7 +33,8 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     """1-based ``row_number()`` over ``partition by key order by order`` without a hot task.
 
     Rows are numbered inside blocks (a window over ``(key, block)``); block
-    offsets come from a per-block count table (one row per key and block).
+    offsets come from a per-block count table (one row per key and block but the
+    key's first, which has no offset; without such rows no row is sorted for the join).
     ``block`` is any expression that never falls while the first order column
     rises; the default is ``div block_size`` for an integer column and the
     column itself otherwise.  Give a prefix (``substring``) for strings with
@@ -62,10 +63,10 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     counts = x.groupBy(*keys, "_ff_blk").agg(F.count(F.lit(1)).alias("_ff_n"))
     before = Window.partitionBy(*keys).orderBy("_ff_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(k).alias(f"_ff_k{i}") for i, k in enumerate([*keys, "_ff_blk"])],
-                            F.coalesce(F.sum("_ff_n").over(before), F.lit(0)).alias("_ff_base"))
+                            F.sum("_ff_n").over(before).alias("_ff_base")).where("_ff_base > 0")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ff_k{i}")) for i, k in enumerate([*keys, "_ff_blk"])])
-    out = x.join(offsets, same)
-    return out.select(*names, (F.col("_ff_local") + F.col("_ff_base")).cast("int").alias(name))
+    out = x.join(offsets, same, "left")
+    return out.select(*names, (F.col("_ff_local") + F.coalesce("_ff_base", F.lit(0))).cast("int").alias(name))
 
 
 def neighbours_within(df: DataFrame, key: str | Sequence[str], order_col: str,

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 PAGE_KINDS = ["thumbs", "png", "xml", "pdf", "txt"]
 DOC_KINDS = ["source", "state", "manifest"]
+#: pages of a document that share one row of bits
+PAGE_BITS = 32
 
 
 def kind_counts(artifacts: DataFrame, kinds: Sequence[str]) -> DataFrame:
@@ -109,23 +111,28 @@ def resume_route(state: DataFrame, artifacts: DataFrame, pages: DataFrame) -> Da
     recognition jobs redo pages missing a page PDF, text jobs pages missing a
     text file.  Returns doc_id, have_ocr, have_sphinx, missing_kind, first_missing.
     """
-    has_temp = artifacts.where(F.col("kind") == "temp").select("doc_id").distinct() \
-                        .withColumn("has_temp", F.lit(True))
-    s = state.join(has_temp, "doc_id", "left")
+    # one grouped pass: pages and their files as bits of blocks of pages, then the lowest page without each kind
+    none, bit = F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("page_no", F.lit(PAGE_BITS)).cast("int"))
+    block = F.floor(F.col("page_no") / PAGE_BITS).alias("_block")
+    of_kind = lambda k: F.when(F.col("kind") == k, bit).otherwise(none).alias(f"_{k}")
+    rows = pages.select("doc_id", block, bit.alias("_page"), none.alias("_pdf"), none.alias("_txt"), F.lit(False).alias("_temp")).union(
+        artifacts.where(F.col("kind").isin("pdf", "txt", "temp")).select(
+            "doc_id", block, none.alias("_page"), of_kind("pdf"), of_kind("txt"), (F.col("kind") == "temp").alias("_temp")))
+    blocks = rows.groupBy("doc_id", "_block").agg(*[F.bit_or(c).alias(c) for c in ("_page", "_pdf", "_txt")],
+                                                  F.bool_or("_temp").alias("_temp"))
+
+    def lowest(kind):
+        left = F.col("_page").bitwiseAND(F.bitwise_not(F.col(f"_{kind}")))
+        return F.min(F.when(left != 0, F.col("_block") * PAGE_BITS + F.bit_count(left.bitwiseAND(-left) - 1))).alias(f"fm_{kind}")
+
+    first = blocks.groupBy("doc_id").agg(F.bool_or("_temp").alias("has_temp"), lowest("pdf"), lowest("txt"))
+    s = state.join(first, "doc_id", "left")
     t = F.coalesce(F.col("has_temp"), F.lit(False))
-    s = s.select("doc_id",
+    s = s.select("doc_id", "fm_pdf", "fm_txt",
                  (t & (F.coalesce(F.col("have_ocr"), F.lit("f")) == "t")).alias("have_ocr"),
                  (t & (F.coalesce(F.col("have_sphinx"), F.lit("f")) == "t")).alias("have_sphinx"))
     s = s.withColumn("missing_kind", F.when(F.col("have_ocr"), F.lit("pdf"))
                      .when(F.col("have_sphinx"), F.lit("txt")))
-    # one pass over the pages: the wanted kinds that each page has, then the lowest page without each
-    have = artifacts.where(F.col("kind").isin("pdf", "txt")).groupBy("doc_id", "page_no").agg(
-        F.count_if(F.col("kind") == "pdf").alias("_pdf"), F.count_if(F.col("kind") == "txt").alias("_txt"))
-    none = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
-    first = pages.select("doc_id", "page_no").join(have, ["doc_id", "page_no"], "left").groupBy("doc_id").agg(
-        F.min(F.when(none("_pdf"), F.col("page_no"))).alias("fm_pdf"),
-        F.min(F.when(none("_txt"), F.col("page_no"))).alias("fm_txt"))
-    s = s.join(first, "doc_id", "left")
     fm = F.when(F.col("missing_kind") == "pdf", F.col("fm_pdf")).when(F.col("missing_kind") == "txt", F.col("fm_txt"))
     return s.select("doc_id", "have_ocr", "have_sphinx", "missing_kind", fm.cast("int").alias("first_missing"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from folioflow.operators.ordering import neighbours_within, ordinal_within
-from folioflow.plans import merge, page_functions
+from folioflow.plans import complete, merge, page_functions
 
 SF = "/root/testdata/sf0.001"
 # J5 attaches run settings with a one-row-per-run broadcast; every other job is equi-joined.
@@ -114,3 +114,42 @@ def test_page_function_failure_is_isolated(spark):
 def test_context_is_broadcast_while_small(spark):
     p = _plan(queries()["with_context"](spark, SF))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_row_number_joins_only_blocks_after_the_first(spark):
+    df = spark.createDataFrame([(d, k, 5 * d + k) for d in range(40) for k in range(1 + d % 7)], "doc_id int, k int, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ordinal_within(df, "doc_id", ["k", "v"], name="o")
+        assert all(o == k + 1 for k, o in got.select("k", "o").collect())
+        plan = got.select("k", "o")
+        plan.collect()
+        # no document has a second block, so nothing is left to sort and join
+        assert "SortMergeJoin" not in plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        got = ordinal_within(df, "doc_id", ["k", "v"], name="o", block_size=2)
+        assert all(o == k + 1 for k, o in got.select("k", "o").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_resume_route_in_blocks_of_pages(spark):
+    pages = [(d, p) for d in range(1, 9) for p in range(1, 31 * d)] + [(1, 3), (None, 1), (2, None), (9, 70)]
+    files = [(d, "temp", 0) for d in (1, 2, 3, 4, 5, 9)] + [(5, "temp", 0), (None, "temp", 0), (7, "png", 1), (6, "temp", None)]
+    files += [(d, "pdf", p) for d, p in pages if d and d != 9 and p and p < 16 * d] + [(1, "pdf", 2), (4, "pdf", 500), (4, "pdf", None)]
+    files += [(d, "txt", p) for d, p in pages if d and p and (p % 32 or d == 2)]
+    state = [(d, "t" if d and d % 2 else "f", "t") for d in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, None)] + [(3, "f", "t"), (3, None, "f")]
+    got = complete.resume_route(
+        spark.createDataFrame(state, "doc_id int, have_ocr string, have_sphinx string"),
+        spark.createDataFrame(files, "doc_id int, kind string, page_no int"),
+        spark.createDataFrame(pages, "doc_id int, page_no int"))
+    want = []
+    for d, ocr, sphinx in state:
+        temp = d is not None and any(f[:2] == (d, "temp") for f in files)
+        kind = "pdf" if temp and ocr == "t" else "txt" if temp and sphinx == "t" else None
+        have = {p for e, k, p in files if e == d and k == kind}
+        lacks = [p for e, p in pages if e == d and p is not None and p not in have] if kind else []
+        want.append((d, temp and ocr == "t", temp and sphinx == "t", kind, min(lacks, default=None)))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert dict(got.dtypes)["first_missing"] == "int"
+    # pages and files are grouped together; the only join is that with the saved jobs
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
