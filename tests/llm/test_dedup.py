@@ -320,3 +320,50 @@ def test_line_pairs_in_parts(spark, monkeypatch):
     got = {r["doc_id"]: r["text"] for r in dedup_lines(docs).collect()}
     assert got == {i: t if i < 40 else "" for i, t in rows}
     assert len(parts) > 3 and max(parts) < sum(parts)
+
+
+def test_long_lines_of_common_words(spark, monkeypatch):
+    """Long lines that share common words are rarely compared; their near copies go, also where the tables change."""
+    from folioflow.llm import line_dedup
+    rng = np.random.default_rng(10)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    common = [word(3) for _ in range(40)]
+    lines = []
+    for k in range(300):
+        # 150 to 330 characters, so some pairs have one line on each side of LONG
+        words = [word(9) for _ in range(8 + k % 10)] + list(rng.choice(common, 18 + k % 12))
+        lines.append(" ".join(words[j] for j in rng.permutation(len(words))))
+    copies = [x + " " + word(9) + " " + word(9) for x in lines[:60]]
+    assert sum(len(x) < line_dedup.LONG <= len(y) for x, y in zip(lines, copies)) >= 5
+    docs = spark.createDataFrame(list(enumerate(lines + copies)), "doc_id long, text string")
+    pairs, measured = [], line_dedup._measured
+    monkeypatch.setattr(line_dedup, "_measured", lambda p, *a: pairs.append(p.count()) or measured(p, *a))
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(docs).collect()}
+    assert got == {i: x if i < 300 else "" for i, x in enumerate(lines + copies)}
+    assert sum(pairs) < 2000
+
+
+def test_measured_pairs_are_exact(spark):
+    """Small bounds and beginnings first: the same pairs as by the whole edit distance."""
+    from folioflow.llm import line_dedup
+    rng = np.random.default_rng(11)
+    letters = list("abcdefgh ")
+    lines, pairs = [], []
+    for k in range(400):
+        x = list(rng.choice(letters, int(rng.integers(20, 600))))
+        y = list(x)
+        for _ in range(int(len(x) * rng.choice([0, .02, .1, .18, .25]))):
+            # edits at one end, or anywhere
+            at = int(rng.integers(max(1, len(y) // 4 if k % 3 == 0 else len(y))))
+            at = len(y) - 1 - at if k % 2 else at
+            y[at:at + 1] = [[], ["z"], [y[at], "z"]][[0, 1, 2, int(rng.integers(3))][k % 4]]
+            y = y or ["z"]
+        lines += [(2 * k, "".join(x)), (2 * k + 1, "".join(y))]
+        pairs.append((2 * k, 2 * k + 1))
+    classes = spark.createDataFrame(lines, "id long, line string")
+    got = line_dedup._measured(spark.createDataFrame(pairs, "a long, b long"), classes, classes, 0.8).collect()
+    text = dict(lines)
+    both = spark.createDataFrame([(a, b, text[a], text[b]) for a, b in pairs], "a long, b long, x string, y string")
+    want = both.selectExpr("a", "b", "levenshtein(x, y) AS d", "greatest(length(x), length(y)) AS n").collect()
+    want = {(r["a"], r["b"]) for r in want if r["d"] <= int(r["n"] * 0.2 + 1e-9)}
+    assert {(r["a"], r["b"]) for r in got} == want and 100 < len(want) < 390
