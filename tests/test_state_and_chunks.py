@@ -221,3 +221,17 @@ def test_search_many_searches_equal_keywords_once(spark, scratch):
         inside.append(line)
     # below it searches appear only where equal keyword sets are reduced to one
     assert not any(x.lstrip(" :+|-").startswith("Project [search_id") for x in inside)
+
+
+def test_searches_are_not_sent_through_the_driver(spark, scratch):
+    """The copies of the searches come from a small file and are many; they are shuffled, not broadcast."""
+    import os
+    from folioflow.operators import filters
+    users, searches = os.path.join(scratch, "users"), os.path.join(scratch, "searches")
+    spark.range(40).selectExpr("id", "concat('name', id) AS name", "'q@x.org' AS email").write.parquet(users)
+    spark.range(5000).selectExpr("id AS search_id", "concat('NAME', id % 3) AS keywords").write.parquet(searches)
+    found = filters.search_many(spark.read.parquet(users), spark.read.parquet(searches))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the join of the searches is the topmost one
+    join = next(x for x in plan.splitlines() if "Join" in x)
+    assert "SortMergeJoin" in join and "_part" in join, join
