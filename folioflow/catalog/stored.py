@@ -170,9 +170,8 @@ def capped_request_stream(spark, sf_dir):
     q = rq.start_request_stream(spark, f"{root}/messages", "event_id long, value string, ts timestamp_ntz", f"{root}/state",
                                 batch, trigger="purchase", max_files_per_trigger=2, available_now=True)
     q.awaitTermination()
-    nothing = T.messages(spark, sf_dir).limit(0)
-    while cursor.owed():
-        batch(nothing, seen[-1] + 1)
+    if cursor.owed():
+        qc.serve_owed(spark, f"{root}/queue", f"{root}/outbox", cursor, seen[-1] + 1)
     picked = spark.read.parquet(f"{root}/outbox")
     sizes = picked.groupBy("batch_id").agg((F.count(F.lit(1)) <= cap).alias("within_cap"))
     return picked.join(sizes, "batch_id").select("queue_id", "rank", "within_cap")

@@ -25,6 +25,12 @@ def append(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").json(f"{path}/batches/{_BATCH}={int(batch_id)}", ignoreNullFields=False)
 
 
+def append_many(rows: DataFrame, path: str) -> None:
+    """Save the batches that ``rows`` names in its column ``batch_id`` in one write; each replaces itself."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BATCH).json(
+        f"{path}/batches", ignoreNullFields=False)
+
+
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).json(path)

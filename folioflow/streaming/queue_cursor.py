@@ -10,7 +10,8 @@ the ranks it was given, the requests still owed, and the tokens left in the
 bucket.  A batch that is replayed finds its own row and picks the same ranks,
 whatever the clock says by then.  Tokens flow in at ``rate`` a second up to
 ``burst``, so no batch holds more tasks than that; woken requests beyond it are
-owed and served by later batches.
+owed and served by later batches.  :func:`serve_owed` does that for many
+heartbeats at once, each a batch with its own row in the log and its own picks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sinks import state_log
@@ -28,6 +29,8 @@ ENTRY = "queue string, at_ms long, first_rank long, last_rank long, owed long, t
 FOLDER_RANKS = 1 << 17
 #: batches after which the cursor log is compacted
 COMPACT_EVERY = 256
+#: heartbeats that are logged and picked by one job
+BEATS = 256
 
 
 def rank_queue(queue: DataFrame, path: str, order: Sequence[str] = ("priority_id", "queue_id")) -> None:
@@ -80,18 +83,42 @@ class QueueCursor:
         own = [r for r in rows if r["batch_id"] == batch_id]
         if own:
             return own[0]["first_rank"], own[0]["last_rank"]
-        last = rows[0] if rows else None
+        entry = self._next(rows[0] if rows else None, woken, size)
+        state_log.append(self.spark.createDataFrame([entry], ENTRY), self.path, batch_id)
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            state_log.compact(self.spark, self.path, ENTRY, "queue", upto=batch_id - 1)
+        return entry["first_rank"], entry["last_rank"]
+
+    def _next(self, last: Row | None, woken: int, size: int) -> Row:
+        """The entry of the batch after ``last``."""
         now = int(self.clock() * 1000)
         done, owed, tokens = (last["last_rank"], last["owed"], last["tokens"]) if last else (0, 0, self.burst)
         if last:
             tokens = min(self.burst, tokens + self.rate * max(0, now - last["at_ms"]) / 1000)
         owed = min(owed + woken, size - done)        # requests beyond the end of the queue find nothing
         n = min(owed, int(tokens))
-        entry = (self.name, max(now, last["at_ms"] if last else now), done + 1, done + n, owed - n, float(tokens - n))
-        state_log.append(self.spark.createDataFrame([entry], ENTRY), self.path, batch_id)
-        if batch_id and batch_id % COMPACT_EVERY == 0:
-            state_log.compact(self.spark, self.path, ENTRY, "queue", upto=batch_id - 1)
-        return entry[2], entry[3]
+        return Row(queue=self.name, at_ms=max(now, last["at_ms"] if last else now), first_rank=done + 1, last_rank=done + n,
+                   owed=owed - n, tokens=float(tokens - n))
+
+    def beats(self, batch_id: int, size: int, most: int = BEATS) -> list[tuple[int, int, int]]:
+        """``batch id, first and last rank`` of the heartbeats from ``batch_id`` on until nothing is owed, ``most`` at once.
+
+        Heartbeats that stand in the log already are handed out again as they are.
+        """
+        rows = self._rows()
+        out = [(r["batch_id"], r) for r in rows.where(F.col("batch_id").between(batch_id, batch_id + most - 1)).orderBy("batch_id").collect()]
+        last = out[-1][1] if out else rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).limit(1).first()
+        at, new = out[-1][0] + 1 if out else batch_id, []
+        while last and last["owed"] > 0 and len(out) + len(new) < most:
+            last = self._next(last, 0, size)
+            new.append((at, last))
+            at += 1
+        if new:
+            first = new[0][0]
+            state_log.append_many(self.spark.createDataFrame([(*r, k) for k, r in new], f"{ENTRY}, batch_id long").coalesce(1), self.path)
+            if first and new[-1][0] // COMPACT_EVERY > (first - 1) // COMPACT_EVERY:
+                state_log.compact(self.spark, self.path, ENTRY, "queue", upto=batch_id - 1)
+        return [(k, r["first_rank"], r["last_rank"]) for k, r in out + new]
 
     def owed(self) -> int:
         row = self._rows().agg(F.max_by("owed", "batch_id")).first()
@@ -115,3 +142,26 @@ def pick_by_cursor(spark: SparkSession, queue_path: str, outbox: str, cursor: Qu
             ranks_between(spark, queue_path, first, last).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return handle
+
+
+def serve_owed(spark: SparkSession, queue_path: str, outbox: str, cursor: QueueCursor, batch_id: int, beats: int = BEATS) -> int:
+    """Heartbeats from ``batch_id`` on until nothing is owed; returns the batch id after the last.
+
+    As if :func:`pick_by_cursor` had served a batch without messages each time:
+    every heartbeat takes its own tokens at its own time and its ranks go to
+    ``outbox/batch_id=<id>``, but up to ``beats`` of them are written by one job.
+    """
+    size = ranked_queue(spark, queue_path).count()
+    while taken := cursor.beats(batch_id, size, beats):
+        some = [x for x in taken if x[2] >= x[1]]
+        if some:
+            ranks = spark.createDataFrame(some, "batch_id long, first long, last long").select(
+                "batch_id", F.explode(F.sequence("first", "last")).alias("rank"))
+            picked = ranks_between(spark, queue_path, some[0][1], some[-1][2]).join(ranks.hint("merge"), "rank")
+            columns = [c for c in picked.columns if c not in ("rank", "batch_id")]
+            picked.hint("rebalance", "batch_id").select(*columns, "rank", "batch_id").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(outbox.rstrip("/"))
+        batch_id = taken[-1][0] + 1
+        if not cursor.owed():
+            break
+    return batch_id

@@ -301,3 +301,37 @@ def test_cursor_opens_only_the_folders_of_its_ranks(spark, scratch, monkeypatch)
     assert sorted(r["rank"] for r in part.collect()) == list(range(10, 21))
     folders = {f.split("_folder=")[1].split("/")[0] for f in part.inputFiles()}
     assert folders == {"0", "1"} and len(qc.ranked_queue(spark, at("queue")).inputFiles()) > len(part.inputFiles())
+
+
+def test_owed_requests_are_served_by_few_jobs(spark, scratch, monkeypatch):
+    """Heartbeats are logged and picked many at a time; batches and log are those of one heartbeat after the other."""
+    from folioflow.sinks import state_log
+    from folioflow.streaming import queue_cursor as qc
+    at = lambda *x: os.path.join(scratch, *x)
+    qc.rank_queue(spark.range(90).select(F.col("id").alias("queue_id"), (F.col("id") % 3).cast("int").alias("priority_id")), at("queue"))
+    reads, between = [], qc.ranks_between
+    monkeypatch.setattr(qc, "ranks_between", lambda *a: reads.append(a) or between(*a))
+    monkeypatch.setattr(qc, "COMPACT_EVERY", 8)
+    found, logs = {}, {}
+    for way in ("single", "many"):
+        ticks = iter(range(0, 1000, 2))
+        cursor = qc.QueueCursor(spark, at(way, "cursor"), rate=2.5, burst=7, clock=lambda: next(ticks))
+        handle = qc.pick_by_cursor(spark, at("queue"), at(way, "out"), cursor)
+        handle(spark.range(60), 0)
+        if way == "single":
+            k = 0
+            while cursor.owed():
+                k += 1
+                handle(spark.range(0), k)
+            end = k + 1
+        else:
+            reads.clear()
+            assert qc.serve_owed(spark, at("queue"), at(way, "out"), cursor, 1, beats=5) == end
+            assert len(reads) == -(-(end - 1) // 5) < 4
+            # a replay hands out the same ranks; nothing owed, nothing done
+            assert cursor.beats(end - 1, 90) == [(end - 1, 58, 60)]
+            assert qc.serve_owed(spark, at("queue"), at(way, "out"), cursor, end) == end
+        found[way] = sorted((r.batch_id, r["rank"], r.queue_id) for r in spark.read.parquet(at(way, "out")).collect())
+        logs[way] = {tuple(r) for r in state_log.entries(spark, at(way, "cursor"), qc.ENTRY).where(f"batch_id >= {end - 2}").collect()}
+    assert found["many"] == found["single"] and [x[1] for x in found["many"]] == list(range(1, 61))
+    assert logs["many"] == logs["single"]
