@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.llm import suffix_dedup
 from folioflow.llm.common import components
@@ -368,3 +369,20 @@ def test_measured_pairs_are_exact(spark):
     want = both.selectExpr("a", "b", "levenshtein(x, y) AS d", "greatest(length(x), length(y)) AS n").collect()
     want = {(r["a"], r["b"]) for r in want if r["d"] <= int(r["n"] * 0.2 + 1e-9)}
     assert {(r["a"], r["b"]) for r in got} == want and 100 < len(want) < 390
+
+
+def test_components_are_not_sent_through_the_driver(spark, scratch):
+    """Tables of ids that are small on disk and large in memory are joined with a shuffle, whatever the session's threshold."""
+    from folioflow.llm import common
+    spark.range(200_000).selectExpr("id", "id % 20000 AS comp").write.parquet(f"{scratch}/members")
+    members = spark.read.parquet(f"{scratch}/members")
+    facts = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(common.by_component(members, facts))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    assert "BroadcastHashJoin" in plan(members.join(facts, "comp"))
+    with common.measured_broadcasts(spark):
+        assert "BroadcastHashJoin" not in plan(members.join(facts, "comp"))
+        assert "BroadcastHashJoin" in plan(members.join(F.broadcast(facts), "comp"))
+    assert spark.conf.get(setting) == before and spark.conf.get(common.MEASURED_BROADCAST, None) is None
