@@ -386,3 +386,22 @@ def test_components_are_not_sent_through_the_driver(spark, scratch):
         assert "BroadcastHashJoin" not in plan(members.join(facts, "comp"))
         assert "BroadcastHashJoin" in plan(members.join(F.broadcast(facts), "comp"))
     assert spark.conf.get(setting) == before and spark.conf.get(common.MEASURED_BROADCAST, None) is None
+
+
+def test_rest_of_line_pairs_without_wide_rows(spark, monkeypatch):
+    """Pairs left at the end are listed from narrow rows, once each, though they share several buckets."""
+    from folioflow.llm import line_dedup
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    # lines of one beginning share many buckets and are no copies of each other
+    begin = " ".join(word() for _ in range(12))
+    lines = [begin + " " + " ".join(word() for _ in range(7)) for _ in range(30)]
+    rows = list(enumerate(lines + [x + "0" for x in lines[:5]]))
+    groups, verified, wide, asked = line_dedup.linked_groups, line_dedup._verified, [], []
+    monkeypatch.setattr(line_dedup, "linked_groups", lambda *a, **kw: wide.append(kw.get("extra")) or groups(*a, **kw))
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *a: asked.append(sorted(map(tuple, pairs.collect()))) or verified(pairs, *a))
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t if i < 30 else "" for i, t in rows}
+    assert wide == [None]
+    listed = [p for pairs in asked for p in pairs]
+    assert len(listed) == len(set(listed)) > 200
